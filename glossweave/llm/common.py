@@ -16,7 +16,7 @@ NULL_KEY = -(2**63)
 _SEP = np.zeros(256, bool)
 _SEP[list(SEPARATORS)] = True
 _RNG = np.random.Generator(np.random.PCG64(20240607))
-_BYTE = _RNG.integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
+BYTE = _RNG.integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
 MULT = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -113,7 +113,7 @@ class Words:
         self.end = self.start + lengths
         power = np.cumprod(np.full(int(lengths.max()), MULT, np.uint64))
         place = np.arange(len(at)) - np.repeat(begins, lengths)
-        self.hash = mix(np.add.reduceat(_BYTE[letters] * power[place], begins))
+        self.hash = mix(np.add.reduceat(BYTE[letters] * power[place], begins))
 
 
 def blocks(batches, size: int):

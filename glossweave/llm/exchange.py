@@ -21,7 +21,7 @@ from . import common
 #: Bytes of packed strings that a map task gathers before it sends them on.
 FLUSH = 96 << 20
 #: Bytes of text scanned at once.
-BLOCK = 4 << 20
+BLOCK = 1 << 20
 #: Columns of the places in a message: document key, text hash, first unit, units, minimiser, more.
 WIDTH = 6
 _SPANS = "k bigint, h int, spans binary"

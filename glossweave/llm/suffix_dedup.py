@@ -34,6 +34,7 @@ def _scan(window: int):
         least = _anchors(np.frombuffer(body, np.uint8), piece, window)
         change = np.flatnonzero(np.diff(least)) + 1
         at, spot = 0, 0
+        places, strings, seen = out.places, out.strings, out.seen
         for (k, h), text in zip(rows, texts, strict=True):
             a, b = at, at + len(text) - window + 1
             at += len(text)
@@ -47,29 +48,27 @@ def _scan(window: int):
             # places count modulo 2**28; a window's anchor is at its start or after
             where = cuts[:-1] + ((where - cuts[:-1]) & ((1 << 28) - 1))
             mins = (own >> _LOW_BITS).tolist()
-            cuts = cuts.tolist()
-            for i, (m, w) in enumerate(zip(mins, where.tolist(), strict=True)):
-                left, right = cuts[i], cuts[i + 1] + window - 1
+            offsets = (where - cuts[:-1]).tolist()
+            rights = (cuts[1:] + (window - 1)).tolist()
+            out.held += sum(rights) - int(cuts[:-1].sum()) + 160 * len(mins)
+            for left, right, m, w in zip(cuts.tolist(), rights, mins, offsets):  # noqa: B905
                 string = body[left:right]
-                old = out.seen.get(string)
-                if old is None:
-                    out.seen[string] = len(out.places)
-                    out.places.append((k, h, left - a, right - left, m, w - left))
-                    out.strings.append(string)
-                    out.held += len(string) + 160
-                elif (k, h, left - a) != out.places[old][:3]:
-                    out.places.append((k, h, left - a, right - left, -1, 0))
-                    out.strings.append(b"")
-                    k0, h0, start0, length0, m0, w0 = out.places[old]
-                    if w0 >= 0:  # the first repeats too; less than 0 tells the bucket so
-                        out.places[old] = (k0, h0, start0, length0, m0, -1 - w0)
+                old = seen.setdefault(string, len(places))
+                if old == len(places):
+                    places.append((k, h, left - a, right - left, m, w))
+                    strings.append(string)
+                elif (k, h, left - a) != places[old][:3]:
+                    places.append((k, h, left - a, right - left, -1, 0))
+                    strings.append(b"")
+                    if places[old][5] >= 0:  # the first repeats too; less than 0 tells the bucket so
+                        places[old] = (*places[old][:5], -1 - places[old][5])
 
     return scan
 
 
 def _anchors(data: np.ndarray, piece: int, window: int) -> np.ndarray:
     """For each window: the least hash of its pieces above that piece's place."""
-    sums = common.mix(data.astype(np.uint64) + np.uint64(1))
+    sums = common.BYTE[data]
     size, radix, parts = 1, _RADIX, []
     while True:  # hashes of 1, 2, 4, ... bytes; those in piece's binary form are joined
         if piece & size:
@@ -79,18 +78,25 @@ def _anchors(data: np.ndarray, piece: int, window: int) -> np.ndarray:
         sums = sums[:-size] * radix + sums[size:]
         size, radix = size * 2, np.uint64(int(radix) ** 2 % 2**64)
     n, offset = len(data) - piece + 1, 0
-    total = np.zeros(n, np.uint64)
+    total = None
     for size, part, radix in reversed(parts):
-        total = total * radix + part[offset : offset + n]
+        own = part[offset : offset + n]
+        if total is None:
+            total = own.copy()
+        else:
+            total *= radix
+            total += own
         offset += size
-    total = common.mix(total)
+    total ^= total >> np.uint64(31)
+    total *= common.MULT
     total &= ~_LOW
     total |= np.arange(n, dtype=np.uint64) & _LOW
     return common.sliding_min(total, window - piece + 1)
 
 
 def shallow_groups(suffixes: list[bytes], depth: int) -> list[list[int]]:
-    """Multikey quicksort over 8-byte characters to `depth`: the groups that agree so far."""
+    """Multikey quicksort over 8-byte characters to `depth`, which all have: the groups that agree so far."""
+    heads = np.frombuffer(b"".join(s[:depth] for s in suffixes), ">u8").reshape(-1, depth // 8).T.astype(np.uint64)
     done, todo = [], [(np.arange(len(suffixes)), 0)]
     while todo:
         own, at = todo.pop()
@@ -99,7 +105,7 @@ def shallow_groups(suffixes: list[bytes], depth: int) -> list[list[int]]:
         if at >= depth:
             done.append(own.tolist())
             continue
-        keys = np.fromiter((int.from_bytes(suffixes[i][at : at + 8], "big") for i in own.tolist()), np.uint64, len(own))
+        keys = heads[at // 8, own]
         pivot = np.partition(keys, len(keys) // 2)[len(keys) // 2]
         todo += [(own[keys < pivot], at), (own[keys == pivot], at + 8), (own[keys > pivot], at)]
     return done
