@@ -1 +1 @@
-
+from . import queries  # noqa: F401
