@@ -27,15 +27,20 @@ WIDTH = 6
 _SPANS = "k bigint, h int, spans binary"
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    return docs.select(common.doc_key().alias("k"), F.hash("text").alias("h"), F.col("text").cast("binary").alias("text"))
+def with_keys(docs: DataFrame) -> DataFrame:
+    """The documents with _key: k, their id, and h, a hash of the text where ids repeat; 0 where none does."""
+    again = docs.groupBy(common.doc_key().alias("k")).count().where("count > 1").limit(1).count()
+    return docs.withColumn("_key", F.struct(common.doc_key().alias("k"), (F.hash("text") if again else F.lit(0)).alias("h")))
 
 
 class Outbox:
-    """What one map task sends: for each bucket the places and strings of super-k-mers."""
+    """What one map task sends: for each bucket the places and strings of super-k-mers.
 
-    def __init__(self, buckets: int):
-        self.buckets, self.press = buckets, zstandard.ZstdCompressor(level=3)
+    bits: how much of a minimiser travels; the bucket already tells the rest apart, or the string does.
+    """
+
+    def __init__(self, buckets: int, bits: int):
+        self.buckets, self.bits, self.press = buckets, bits, zstandard.ZstdCompressor(level=3)
         self.clear()
 
     def clear(self) -> None:
@@ -51,6 +56,7 @@ class Outbox:
         places = np.array(self.places, np.int64)
         spread = np.where(places[:, 4] == -1, places[:, 0] + places[:, 2], places[:, 4])
         bucket = (common.mix(spread.astype(np.uint64)) % np.uint64(self.buckets)).astype(np.int64)
+        places[:, 4] = np.where(places[:, 4] == -1, -1, places[:, 4] & ((1 << self.bits) - 1))
         order = np.argsort(bucket, kind="stable")
         cuts = np.flatnonzero(np.diff(bucket[order], prepend=-1))
         ids, blobs = [], []
@@ -76,18 +82,19 @@ def opened(blob: bytes) -> tuple[np.ndarray, list[bytes]]:
     return places, [body[e - s : e] for s, e in zip(sizes.tolist(), ends.tolist(), strict=True)]
 
 
-def repeats(docs: DataFrame, scan: Callable, judge: Callable) -> DataFrame:
+def repeats(keyed: DataFrame, scan: Callable, judge: Callable, bits: int, key: Callable | None = None) -> DataFrame:
     """Rows (k, h, spans) with the spans that repeat, as pairs of 32-bit integers (start, length).
 
     scan(rows, texts, outbox) adds a block's super-k-mers to the outbox; judge(places, strings)
-    yields (k, h, start, length) for a bucket, given its places and strings.
+    yields (k, h, start, length) for a bucket, given its places and strings. key(places, strings) gives what
+    strings with one anchor have in common; the minimiser's `bits` low bits otherwise.
     A bucket has the minimisers of one hash class; there are 16 for each shuffle partition, so
     raise spark.sql.shuffle.partitions with the input to keep buckets small.
     """
-    buckets = 16 * common.partitions(docs)
+    buckets = 16 * common.partitions(keyed)
 
     def send(batches):
-        out = Outbox(buckets)
+        out = Outbox(buckets, bits)
         for rows, texts in common.blocks(batches, BLOCK):
             scan(rows, texts, out)
             if out.held >= FLUSH:
@@ -104,21 +111,21 @@ def repeats(docs: DataFrame, scan: Callable, judge: Callable) -> DataFrame:
             found[k, h].append((start, length))
         packed = np.flatnonzero(~kept)
         # only a minimiser that came twice can hold a repeated window
-        _, inverse, counts = np.unique(places[packed, 4], return_inverse=True, return_counts=True)
+        common_to = key(places[packed], [strings[i] for i in packed]) if key else places[packed, 4]
+        _, inverse, counts = np.unique(common_to, return_inverse=True, return_counts=True)
         often = packed[(counts[inverse] > 1) | (places[packed, 5] < 0)]
         for k, h, start, length in judge(places[often], [strings[i] for i in often]):
             found[k, h].append((start, length))
         return pa.table({"k": pa.array([k for k, _ in found], pa.int64()), "h": pa.array([h for _, h in found], pa.int32()), "spans": pa.array([np.array(x, np.int32).tobytes() for x in found.values()], pa.binary())})
 
-    sent = keyed(docs).mapInArrow(send, "bucket int, blob binary")
+    sent = keyed.select("_key.k", "_key.h", F.col("text").cast("binary").alias("text")).mapInArrow(send, "bucket int, blob binary")
     return sent.groupBy("bucket").applyInArrow(receive, _SPANS)
 
 
-def finish(docs: DataFrame, spans: DataFrame, fn: Callable, outputs: dict[str, str]) -> DataFrame:
+def finish(keyed: DataFrame, spans: DataFrame, fn: Callable, outputs: dict[str, str]) -> DataFrame:
     """The documents with what fn(text, starts, ends) gives for each; spans sorted and merged."""
-    each = spans.groupBy("k", "h").agg(F.collect_list("spans").alias("_spans"))
-    keys = docs.withColumns({"_k": common.doc_key(), "_h": F.hash("text")})
-    joined = keys.join(each, (keys["_k"] == each["k"]) & (keys["_h"] == each["h"]), "left").drop("k", "h", "_k", "_h")
+    each = spans.groupBy(F.col("k").alias("_k"), F.col("h").alias("_h")).agg(F.collect_list("spans").alias("_spans"))
+    joined = keyed.join(each, (keyed["_key"]["k"] == each["_k"]) & (keyed["_key"]["h"] == each["_h"]), "left").drop("_key", "_k", "_h")
 
     def run(rows, lists):
         texts = common.field(rows, "text").to_pylist()

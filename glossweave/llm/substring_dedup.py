@@ -142,7 +142,8 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     texts, equal places don't precede each other. Other columns pass; those with an output's
     name are replaced.
     """
-    spans = exchange.repeats(docs, _scan(window), _judge(window))
+    keyed = exchange.with_keys(docs)
+    spans = exchange.repeats(keyed, _scan(window), _judge(window), 18)
 
     def finish(text, starts, ends):
         words = (text or "").encode().translate(_TO_SPACE).split(b" ") if text else []
@@ -154,7 +155,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         removed = sum(ends) - sum(starts)
         return len(words), removed, b" ".join(kept + words[at:]).decode()
 
-    return exchange.finish(docs, spans, finish, {"n_words": "bigint", "n_removed": "bigint", "kept_text": "string"})
+    return exchange.finish(keyed, spans, finish, {"n_words": "bigint", "n_removed": "bigint", "kept_text": "string"})
 
 
 _TO_SPACE = bytes(32 if c in common.SEPARATORS else c for c in range(256))

@@ -196,6 +196,12 @@ def shared_windows(lefts: list[bytes], rights: list[bytes], window: int, group:
     return found
 
 
+def _anchored(places: np.ndarray, strings: list[bytes]) -> np.ndarray:
+    """The first key of the suffix at each anchor."""
+    offsets = np.where(places[:, 5] >= 0, places[:, 5], -1 - places[:, 5]).tolist()
+    return np.frombuffer(b"".join(s[o : o + 8] for s, o in zip(strings, offsets, strict=True)), ">u8")
+
+
 def _judge(window: int):
     piece = min(SHALLOW, window // 8 * 8) or 8
 
@@ -243,7 +249,8 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     are one document: they don't repeat each other. Null ids are ids. Other columns pass; those
     with an output's name are replaced.
     """
-    spans = exchange.repeats(docs, _scan(window), _judge(window))
+    keyed = exchange.with_keys(docs)
+    spans = exchange.repeats(keyed, _scan(window), _judge(window), 0, _anchored)
 
     def finish(text, starts, ends):
         body, at, kept = (text or "").encode(), 0, []
@@ -252,7 +259,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             at = e
         return len(body), sum(ends) - sum(starts), len(starts), b"".join([*kept, body[at:]])
 
-    return exchange.finish(docs, spans, finish, {"n_bytes": "bigint", "n_removed": "bigint", "n_spans": "bigint", "kept": "binary"})
+    return exchange.finish(keyed, spans, finish, {"n_bytes": "bigint", "n_removed": "bigint", "n_spans": "bigint", "kept": "binary"})
 
 
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
