@@ -1,0 +1,278 @@
+"""Operators against brute force, and the cases that each must define."""
+
+import collections
+import os
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+from conftest import DATA, same_rows
+from pyspark.sql import functions as F
+
+from glossweave.llm import bpe_codec, components, jaccard_join, language_id, packing, pii, quality_rules, queries, substring_dedup, suffix_dedup, token_counts, topk_search
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+BYTE_BPE, WORD_BPE = token_counts.vocabulary_path("byte_bpe_50k.json"), token_counts.vocabulary_path("word_bpe_49k.json")
+ODD_SCHEMA = "doc_id long, text string, K string, h int, lang string, n_tokens string"
+LONG = "word " * 3000
+#: Null ids and texts, empty and long texts, repeated rows, one id with two texts, clashing names.
+ODD = [(None, "a b c", "x", 1, None, "t"), (1, None, None, None, "en", None), (2, "", "x", 2, "en", "t"), (3, LONG, "x", 3, "en", "t"), (4, "same text here", "x", 4, "fr", "t"),
+    (4, "same text here", "x", 4, "fr", "t"), (5, "one text", "x", 5, "fr", "t"), (5, "another text of this id", "y", 6, "de", "t"), (6, "a@b.cd 4111 1111 1111 1111 1.2.3.4 +1 (222) 333-4444", "x", 7, "en", "t")]
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    return spark.createDataFrame(ODD, ODD_SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def docs(duck):
+    return sorted((k, t or "") for k, t in duck.sql("SELECT doc_id, text FROM documents").fetchall())
+
+
+def random_texts(words, n, seed, joint=" "):
+    r, out = random.Random(seed), []
+    for _ in range(n):
+        x = [r.choice(words) for _ in range(r.choice([0, 3, 30, 120]))]
+        if out and r.random() < 0.6:
+            y = r.choice(out).split(joint) if joint else list(r.choice(out))
+            a = r.randint(0, len(y))
+            x = x[:10] + y[a : a + 40] + x[10:]
+        out.append(joint.join(x))
+    return out
+
+
+@pytest.mark.parametrize("name", sorted(queries.SQL))
+def test_query_agrees_with_sql(name, spark, duck):
+    same_rows(queries.QUERIES[name](spark, DATA), duck.sql(queries.SQL[name]))
+
+
+OPERATORS = {
+    "2": substring_dedup.remove_repeats,
+    "3": jaccard_join.join,
+    "4": lambda d: token_counts.count_tokens(d, BYTE_BPE),
+    "6": quality_rules.clean,
+    "7": lambda d: packing.pack(d, BYTE_BPE),
+    "8": suffix_dedup.remove_repeats,
+    "9": lambda d: bpe_codec.encode_decode(d, WORD_BPE),
+    "10": pii.detect,
+}
+
+
+@pytest.mark.parametrize("op", OPERATORS)
+def test_odd_rows_and_empty_tables(op, odd):
+    got = OPERATORS[op](odd)
+    assert got.count() == len(ODD) or op == "7"
+    assert OPERATORS[op](odd.limit(0)).count() == 0
+    if op not in "37":
+        assert {"K", "h", "lang"} <= set(got.columns)
+        assert sorted(str(r["doc_id"]) for r in got.collect()) == sorted(str(r[0]) for r in ODD)
+
+
+def brute_words(docs, size):
+    seen, gone = {}, collections.defaultdict(set)
+    for k, t in sorted(docs):
+        w = WORD.findall(t)
+        for i in range(len(w) - size + 1):
+            if seen.setdefault(tuple(w[i : i + size]), (k, i)) != (k, i):
+                gone[k].update(range(i, i + size))
+    return {k: (len(w := WORD.findall(t)), len(gone[k]), " ".join(x for i, x in enumerate(w) if i not in gone[k])) for k, t in docs}
+
+
+def test_substring_dedup(spark):
+    rows = list(enumerate(random_texts(["a", "b", "c"], 80, 1)))
+    rows[7] = (7, "a " * 200)
+    for size in (6, 20):
+        got = substring_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), size).collect()
+        assert {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept_text"]) for r in got} == brute_words(rows, size)
+
+
+def brute_bytes(docs, size):
+    n, out = collections.Counter(t[i : i + size] for _, t in docs for i in range(len(t) - size + 1)), {}
+    for k, t in docs:
+        gone = np.zeros(len(t) + 2, bool)
+        for i in range(len(t) - size + 1):
+            if n[t[i : i + size]] > 1:
+                gone[i + 1 : i + size + 1] = True
+        out[k] = (len(t), int(gone.sum()), int((np.diff(gone.astype(int)) == 1).sum()), bytes(c for c, g in zip(t, gone[1:], strict=False) if not g))
+    return out
+
+
+def test_suffix_dedup(spark, docs):
+    rows = list(enumerate(random_texts(list("ab"), 80, 2, "")))
+    rows[7] = (7, "a" * 150)
+    for size, own in ((8, rows), (30, rows), (200, docs)):
+        got = suffix_dedup.remove_repeats(spark.createDataFrame(own, "doc_id long, text string"), size).collect()
+        want = brute_bytes([(k, t.encode()) for k, t in own], size)
+        assert {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], bytes(r["kept"])) for r in got} == want
+
+
+def test_blind_trie_orders_and_agrees():
+    r = random.Random(3)
+    strings = [bytes(r.choice(b"ab") for _ in range(r.randint(1, 9))) for _ in range(60)]
+    deepest = collections.defaultdict(int)
+    for depth, ids in suffix_dedup.BlindTrie(strings, list(range(60))).nodes():
+        for i in ids:
+            for j in ids:
+                deepest[i, j] = max(deepest[i, j], depth)
+    for i in range(60):
+        for j in range(i):
+            assert deepest[i, j] == suffix_dedup.common_prefix(strings[i], strings[j]) == len(os.path.commonprefix([strings[i], strings[j]]))
+
+
+def brute_join(docs, width=5, least=0.8):
+    words = {k: tuple(WORD.findall(t)) for k, t in docs}
+    sets = {k: {w[i : i + width] for i in range(len(w) - width + 1)} or ({w} if w else set()) for k, w in words.items()}
+    first = {}
+    for k, w in sorted(words.items()):
+        first.setdefault(w if w else k, k)
+    up, links = {k: k for k in words}, collections.Counter()
+
+    def root(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    reps = sorted(first.values())
+    for n, a in enumerate(reps):
+        for b in reps[n + 1 :]:
+            both = len(sets[a] & sets[b])
+            if both and both >= least * (len(sets[a]) + len(sets[b]) - both) - 1e-9:
+                links[a] += 1
+                links[b] += 1
+                x, y = sorted((root(a), root(b)))
+                up[y] = x
+    return {k: (root(first[w if w else k]), links[first[w if w else k]]) for k, w in words.items()}
+
+
+def test_jaccard_join(spark, monkeypatch):
+    r, rows = random.Random(4), []
+    base = [f"w{r.randint(0, 400)}" for _ in range(60)]
+    for i in range(70):  # one large group of near copies, others, short texts
+        w = list(base) if i % 3 else [f"v{r.randint(0, 400)}" for _ in range(r.choice([0, 2, 4, 5, 40]))]
+        for _ in range(i % 4 if w else 0):
+            w[r.randrange(len(w))] = "x"
+        rows.append((i, " ".join(w)))
+    monkeypatch.setattr(jaccard_join, "GROUP", 8)  # so that blocks meet in pairs
+    got = jaccard_join.join(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["k"]: (r["class_id"], r["n_links"]) for r in got} == brute_join(rows)
+
+
+def test_components(spark):
+    links = [(i, i + 1) for i in range(0, 40)] + [(100, 90), (90, 95), (7, 7)]
+    got = components.components(spark.createDataFrame(links, "a long, b long")).collect()
+    assert {r["id"]: r["root"] for r in got} == {i: 0 for i in range(41)} | {90: 90, 95: 90, 100: 90}
+
+
+def test_encoders_agree_with_the_library():
+    from tokenizers import Tokenizer
+
+    r = random.Random(5)
+    parts = ["a", "The", " ", "  ", "\n", "\t", "'s", "don't", "<|endoftext|>", "<|startoftext|>", "é", "́", "ß", "İ", "ΑΣ", "23", "½", "\x1c", "\x85", "漢字", "😀", "한", "가", "!!", "ﬁ", "ǅ", "<|", "K", "x" * 40]
+    one, two = Tokenizer.from_file(BYTE_BPE), Tokenizer.from_file(WORD_BPE)
+    count, codec = token_counts.Encoder(BYTE_BPE, len, sum, {" a": 1}), bpe_codec.Codec(WORD_BPE)
+    texts = ["".join(r.choice(parts) for _ in range(r.randint(0, 12))) for _ in range(1500)]
+    for t, (raw, decoded) in zip(texts, codec.all(texts), strict=True):
+        assert count(t) == len(one.encode(t, add_special_tokens=False).ids)
+        ids = two.encode(t, add_special_tokens=False).ids
+        assert np.array(ids, "<u4").tobytes() == raw
+        assert two.decode(ids, skip_special_tokens=False).encode() == decoded
+
+
+def test_rank_arrays_agree_with_the_matrix():
+    codec = bpe_codec.Codec(WORD_BPE)
+    for word in ("a", "reading", "ththandnd", "!!!!!!", "antidisestablishment"):
+        ids = np.frombuffer(codec.all([word])[0][0], "<u4").tolist()
+        assert ids == [codec.bpe.ids[x] for x in codec.bpe.encode(word)]
+
+
+def test_plan_places_every_piece_once():
+    r = random.Random(6)
+    for _ in range(100):
+        capacity = r.choice([10, 30, 2048])
+        counts = {r.randint(1, capacity): r.randint(1, 40) for _ in range(r.randint(1, 30))}
+        seen, filled = collections.Counter(), collections.defaultdict(list)
+        for length, first, n, sequence, each, offset in packing.plan(counts, capacity):
+            for i in range(n):
+                filled[sequence + i // each].append((offset + i % each * length, length))
+                seen[length, first + i] += 1
+        assert set(seen.values()) == {1} and len(seen) == sum(counts.values())
+        for places in filled.values():
+            at = 0
+            for offset, length in sorted(places):
+                assert offset == at
+                at += length
+            assert at <= capacity
+
+
+def test_packing(spark, docs):
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(BYTE_BPE)
+    got = packing.pack(spark.createDataFrame(docs, "doc_id long, text string"), BYTE_BPE).toPandas()
+    by_sequence = got.sort_values(["sequence_id", "offset"]).groupby("sequence_id").length
+    assert by_sequence.sum().max() <= 2048 and got.sequence_id.nunique() <= 1.02 * got.length.sum() / 2048 + 1
+    for k, own in got.sort_values("piece").groupby("doc_id"):
+        ids = np.array([*library.encode(dict(docs)[k], add_special_tokens=False).ids, 0], "<u4").tobytes()
+        assert b"".join(own.ids) == ids and all(zlib.crc32(x) == c for x, c in zip(own.ids, own.ids_crc32, strict=True))
+        assert (own.length[own.piece > 0] == 2048).all()
+
+
+def test_pii_agrees_with_the_plain_expressions():
+    r = random.Random(7)
+    plain = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
+    parts = ["@", ".", "a", "b1", "%", "-", "+", "1", "23", "4111 1111 1111 1111", "256", "1.2.3.4", " ", "(", "example.com", "é", "_"]
+    for _ in range(20000):
+        t, want = "".join(r.choice(parts) for _ in range(r.randint(0, 14))), []
+        for kind, p in plain.items():
+            for m in re.finditer(p, t):
+                digits = re.sub("[^0-9]", "", m[0])
+                if (kind == "ip" and any(int(x) > 255 for x in m[0].split("."))) or (kind == "card" and not (13 <= len(digits) <= 19 and pii.luhn(digits))) or (kind == "phone" and not 9 <= len(digits) <= 15):
+                    continue
+                want.append((kind, *m.span()))
+        assert [tuple(s)[:3] for s in pii.find(t) if s.kind in pii.BASE_KINDS] == want
+    kinds = [s.kind for s in pii.find("pay to IBAN GB82 WEST 1234 5698 7654 32, or call 030 123 4567")]
+    assert kinds == ["iban", "national"] and not pii.find("IBAN GB82 WEST 1234 5698 7654 33")
+    assert pii.redact("x a@b.cd y", pii.find("x a@b.cd y")) == "x [EMAIL] y" and pii.redact(None, []) is None
+
+
+def test_language_id(spark, duck):
+    got = queries.QUERIES["op1_language_id"](spark, DATA).toPandas()
+    langs = dict(duck.sql("SELECT doc_id, lang FROM documents").fetchall())
+    assert all(h == (zlib.crc32(str(k).encode()) % 4 == 2) for k, h in zip(got.doc_id, got.held_out, strict=True))
+    held = got[got.held_out]
+    assert (held.lang_pred == held.doc_id.map(langs)).mean() > 0.95 and got.score.between(0, 1).all()
+    assert language_id.Model([], []).predict(["text"]) == (["und"], [0.0])
+    model = language_id.Model(["the cat and the dog", "der hund und die katze"], ["en", "de"])
+    assert model.predict([None, "", "123 !", "the dog and"])[0] == ["und", "und", "und", "en"]
+
+
+def test_topk_odd_vectors(spark):
+    rows = [(0, [1.0, 0.5]), (20, [1.0, 0.5]), (1, None), (2, [float("nan"), 1.0]), (3, [None, 1.0]), (4, [2.0]), (5, [-1.0, 0.0]), (None, [1.0, 1.0])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    fine = table.where(topk_search.usable(F.col("embedding"))).select("vec_id", topk_search.quantized(F.col("embedding")).alias("values"))
+    got = topk_search.search(fine, F.col("vec_id") % 20 == 0, 2).orderBy("query_id", "rank").collect()
+    assert [tuple(r) for r in got] == [(0, 1, 4, 8192), (0, 2, 20, 5120), (20, 1, 4, 8192), (20, 2, 0, 5120)]
+    assert topk_search.search(fine.limit(0), F.col("vec_id") % 20 == 0).count() == 0
+
+
+def test_pipeline(spark, duck):
+    import corpus_pipeline as cp
+
+    frame = spark.read.parquet(f"{DATA}/documents.parquet")
+    kept = cp.quality(spark, frame, DATA)
+    assert kept.columns == list(cp.COLUMNS)
+    rows = sorted((r["doc_id"], r["text"]) for r in kept.collect())
+    fail = {k for k, _ in duck.sql(f"SELECT doc_id, kept FROM ({quality_rules.SQL}) WHERE NOT kept").fetchall()}
+    assert {k for k, _ in rows} == set(dict(duck.sql("SELECT doc_id, 1 FROM documents").fetchall())) - fail
+    alone = sorted((r["doc_id"], r["text"]) for r in cp.near_duplicates(spark, kept, DATA).collect())
+    classes = brute_join(rows)
+    assert alone == [(k, t) for k, t in rows if classes[k][0] == k]
+    frame = spark.createDataFrame(alone, "doc_id long, text string").withColumns({"lang": F.lit("en"), "source": F.lit("s"), "n_chars": F.lit(0)})
+    cut = {r["doc_id"]: r["text"] for r in cp.repeated_passages(spark, frame, DATA).collect()}
+    assert cut == {k: t for k, (_, _, t) in brute_words(alone, 20).items() if t}
+    safe = cp.personal_data(spark, frame, DATA).collect()
+    assert {r["doc_id"]: r["text"] for r in safe} == {k: pii.redact(t, pii.find(t)) for k, t in alone} and all(len(r["text"]) == r["n_chars"] for r in safe)
+    assert cp.run(spark, DATA).count() >= len(cut)
