@@ -168,3 +168,59 @@ def with_prf(counts: DataFrame) -> DataFrame:
     ratio = lambda a, b: F.when(b > 0, a / b).otherwise(0.0)
     p, r = ratio(F.col("tp"), F.col("tp") + F.col("fp")), ratio(F.col("tp"), F.col("tp") + F.col("fn"))
     return counts.withColumns({"precision": p, "recall": r}).withColumn("f1", ratio(2 * F.col("precision") * F.col("recall"), F.col("precision") + F.col("recall")))
+
+
+# -- labels, validation, reports ------------------------------------------------------------------------------
+
+
+def label_tokens(offsets: Column, entities: Column) -> Column:
+    """The entities (type, first, last_end) that get tokens, by token number; entities is an array of (start, end, type).
+
+    They come by start, the longer first. A token is touched if it overlaps the entity; an entity with
+    a token that an earlier one has is dropped whole, and so is one that touches none. Tokens are in order.
+    """
+    ranked = F.array_sort(F.transform(entities, lambda e: F.struct(e["start"].alias("start"), (e["start"] - e["end"]).alias("less"), e["type"].alias("type"), e["end"].alias("end"))))
+    number = F.transform(offsets, lambda o, i: F.struct(o["start"].alias("s"), o["end"].alias("e"), i.alias("i")))
+    touched = F.transform(ranked, lambda x: F.struct(F.transform(F.filter(number, lambda o: (o["e"] > x["start"]) & (o["s"] < x["end"])), lambda o: o["i"]).alias("at"), x["type"].alias("type")))
+    found = F.transform(
+        F.filter(touched, lambda t: F.size(t["at"]) > 0),
+        lambda t: F.struct(t["type"].alias("type"), F.element_at(t["at"], 1).alias("first"), (F.element_at(t["at"], -1) + 1).alias("last_end")),
+    )
+    none = F.filter(found, lambda _: F.lit(False))
+
+    def add(kept, t):  # starts ascend, so only the last kept one can reach into t
+        return F.when((F.size(kept) == 0) | (t["first"] >= F.element_at(kept, F.greatest(F.size(kept), F.lit(1)))["last_end"]), F.concat(kept, F.array(t))).otherwise(kept)
+
+    return F.aggregate(found, none, add)
+
+
+def numbered_ids(rows: DataFrame, id: str, order: str) -> DataFrame:
+    """The second and later rows of an id get a suffix: _1, _2 and so on, in the given order."""
+    k = F.row_number().over(Window.partitionBy(id).orderBy(order)) - 1
+    return rows.withColumn("_k", k).withColumn(id, F.when(F.col("_k") > 0, F.concat(F.col(id).cast("string"), F.lit("_"), F.col("_k"))).otherwise(F.col(id).cast("string"))).drop("_k")
+
+
+def record_errors(text: Column, query_types: Column, entities: Column, provenance: Column) -> Column:
+    """The names of the rules a passage record breaks; entities is an array of (surface, type, start, end)."""
+    positive = F.array_distinct(F.transform(entities, lambda e: e["type"]))
+    spare = F.size(query_types) - F.size(positive)
+    rules = {
+        "no_provenance": F.coalesce(F.size(provenance), F.lit(0)) < 1,
+        "no_text": F.coalesce(F.length(text), F.lit(0)) == 0,
+        "no_query_types": F.coalesce(F.size(query_types), F.lit(0)) < 1,
+        "query_types_repeat": F.size(F.array_distinct(query_types)) < F.size(query_types),
+        "empty_span": F.exists(entities, lambda e: e["end"] <= e["start"]),
+        "surface_differs": F.exists(entities, lambda e: F.substring(text, e["start"] + 1, e["end"] - e["start"]) != e["surface"]),
+        "type_not_asked": F.size(F.array_except(positive, query_types)) > 0,
+        "negatives_out_of_range": (spare < 2) | (spare > 5),
+    }
+    return F.array_compact(F.array(*[F.when(F.coalesce(broken, F.lit(False)), name) for name, broken in rules.items()]))
+
+
+def markdown_table(rows: DataFrame, order: list[str]) -> DataFrame:
+    """Lines (n, line) of a report: head, rule, and one for each row in order. For aggregates, which are small."""
+    head = [(0, "| " + " | ".join(rows.columns) + " |"), (1, "|" + "---|" * len(rows.columns))]
+    cells = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in rows.columns]
+    line = F.concat(F.lit("| "), F.concat_ws(" | ", *cells), F.lit(" |"))
+    body = rows.select((F.row_number().over(Window.orderBy(*order)) + 1).alias("n"), line.alias("line"))
+    return rows.sparkSession.createDataFrame(head, "n int, line string").union(body)

@@ -1 +1 @@
-from . import queries  # noqa: F401
+from . import queries, records  # noqa: F401
