@@ -72,7 +72,7 @@ def granularity(surface: Column, vocabulary: dict[str, list[str]] | None = None)
     surface = F.coalesce(surface, F.lit(""))
     hits = []
     for name in LATIN:
-        hit = F.lower(surface).rlike("(?iuU)" + "|".join(LATIN[name])) | surface.rlike("(?U)" + "|".join(CJK[name]))
+        hit = F.lower(surface).rlike("(?U)" + "|".join(LATIN[name])) | surface.rlike("(?U)" + "|".join(CJK[name]))
         if own := (vocabulary or {}).get(name):
             hit |= surface.rlike("(?iuU)" + "|".join(phrase(p, name == "Year") for p in own))
         hits.append(F.when(hit, name))

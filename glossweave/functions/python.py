@@ -6,6 +6,7 @@ import difflib
 import re
 import unicodedata
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -57,3 +58,19 @@ def fuzzy_place(text: str, surface: str, hint: int, window: int = 200, least: fl
 def fuzzy_start(text: Column, surface: Column, hint: Column) -> Column:
     place = lambda t, s, h: pd.Series([fuzzy_place(a or "", b, int(c)) if b else -1 for a, b, c in zip(t, s, h, strict=True)], dtype="int32")
     return F.pandas_udf(place, "int")(text, surface, hint)
+
+
+def label_place(token_starts, token_ends, starts, ends) -> list[dict]:
+    """Token ranges of the entities that no earlier one meets; tokens and entities are in order of start."""
+    first, last_end = np.searchsorted(token_ends, starts, "right"), np.searchsorted(token_starts, ends)
+    out, reach = [], 0
+    for k, (a, b) in enumerate(zip(first.tolist(), last_end.tolist(), strict=True)):
+        if reach <= a < b:
+            out.append({"entity": k, "first": a, "last_end": b})
+            reach = b
+    return out
+
+
+def label_places(token_starts: Column, token_ends: Column, starts: Column, ends: Column) -> Column:
+    place = lambda *columns: pd.Series([None if any(x is None for x in row) else label_place(*row) for row in zip(*columns, strict=True)])
+    return F.pandas_udf(lambda a, b, c, d: place(a, b, c, d), "array<struct<entity:int,first:int,last_end:int>>")(token_starts, token_ends, starts, ends)

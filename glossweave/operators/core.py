@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from glossweave.functions import python as P
 from glossweave.functions import text as T
 
 # -- dedup and split ---------------------------------------------------------------------------------
@@ -180,18 +181,8 @@ def label_tokens(offsets: Column, entities: Column) -> Column:
     a token that an earlier one has is dropped whole, and so is one that touches none. Tokens are in order.
     """
     ranked = F.array_sort(F.transform(entities, lambda e: F.struct(e["start"].alias("start"), (e["start"] - e["end"]).alias("less"), e["type"].alias("type"), e["end"].alias("end"))))
-    number = F.transform(offsets, lambda o, i: F.struct(o["start"].alias("s"), o["end"].alias("e"), i.alias("i")))
-    touched = F.transform(ranked, lambda x: F.struct(F.transform(F.filter(number, lambda o: (o["e"] > x["start"]) & (o["s"] < x["end"])), lambda o: o["i"]).alias("at"), x["type"].alias("type")))
-    found = F.transform(
-        F.filter(touched, lambda t: F.size(t["at"]) > 0),
-        lambda t: F.struct(t["type"].alias("type"), F.element_at(t["at"], 1).alias("first"), (F.element_at(t["at"], -1) + 1).alias("last_end")),
-    )
-    none = F.filter(found, lambda _: F.lit(False))
-
-    def add(kept, t):  # starts ascend, so only the last kept one can reach into t
-        return F.when((F.size(kept) == 0) | (t["first"] >= F.element_at(kept, F.greatest(F.size(kept), F.lit(1)))["last_end"]), F.concat(kept, F.array(t))).otherwise(kept)
-
-    return F.aggregate(found, none, add)
+    places = P.label_places(offsets["start"], offsets["end"], ranked["start"], ranked["end"])
+    return F.transform(places, lambda p: F.struct(F.get(ranked, p["entity"])["type"].alias("type"), p["first"].alias("first"), p["last_end"].alias("last_end")))
 
 
 def numbered_ids(rows: DataFrame, id: str, order: str) -> DataFrame:
