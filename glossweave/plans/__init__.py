@@ -1 +1 @@
-from . import queries, records  # noqa: F401
+from . import queries, records, silver  # noqa: F401
