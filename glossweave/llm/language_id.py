@@ -2,12 +2,16 @@
 
 The kernel of two texts is the cosine of the sets of character n-grams (blended spectrum: lengths 1 to 3)
 present in them. Nystroem landmarks, a few labelled texts, turn a text into kernel values; a ridge
-regression for each language, one against the rest, gives its scores. Batches of texts are scored by
-two matrix products.
+regression for each language, one against the rest, gives its scores. All of it is linear in the
+n-grams present, so a text's scores are sums of the weights of its n-grams.
 """
 
 from __future__ import annotations
 
+import functools
+import sys
+import unicodedata
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -18,67 +22,41 @@ from . import common
 #: Labelled texts that the model is fitted on at most (about; drawn by a hash, evenly from the languages),
 #: characters of each of those that count, landmarks among them, the ridge, and languages at most.
 SAMPLE, SAMPLE_CHARS, LANDMARKS, RIDGE, LANGUAGES = 2000, 4000, 160, 1e-2, 64
-#: Texts scored in one product.
-BATCH = 128
 UNKNOWN = "und"
-_CLASSES = 64
+#: Symbols of n-grams are lower-cased code points of 21 bits; 1, no letter itself, stands for what is none.
+_BITS, _BLANK = 21, 1
 
 
+@functools.cache
 def _letters() -> np.ndarray:
-    """A class of characters for each code point up to U+FFFF: 0 for what is no letter, own classes for
-    the letters of Latin-1, others by their block."""
-    table = np.zeros(1 << 16, np.int64)
-    for cp in range(1 << 16):
-        if 0xD800 <= cp < 0xE000 or not (c := chr(cp)).isalpha():
-            continue
-        low = c.lower()[0]
-        if "a" <= low <= "z":
-            table[cp] = ord(low) - 96
-        elif ord(low) < 0x100:
-            table[cp] = 27 + ord(low) % 24
-        else:
-            table[cp] = 51 + (cp >> 7) % 13
+    """The symbol of each code point: letters and the marks on them (vowel signs, say) count, in lower case."""
+    table = np.full(sys.maxunicode + 1, _BLANK, np.int64)
+    for cp in range(sys.maxunicode + 1):
+        if (c := chr(cp)).isalpha() or unicodedata.category(c)[0] == "M":
+            table[cp] = ord(c.lower()[0])
     return table
 
 
-_LETTERS = _letters()
-
-
-class Grams:
-    """n-grams of texts as column numbers; those that the landmarks lack share column 0 and no weight."""
+def _distinct(ordered: np.ndarray) -> np.ndarray:
+    return ordered[np.diff(ordered, prepend=-1) > 0]
 
-    def __init__(self, known: np.ndarray | None = None):
-        self.columns = np.zeros(_CLASSES**3, np.int32)
-        if known is not None:
-            self.columns[known] = np.arange(1, len(known) + 1)
-            self.width = len(known) + 1
 
-    @staticmethod
-    def codes(text: str) -> np.ndarray:
-        """Codes of all n-grams; runs of other characters are one blank, so word ends count."""
-        points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-        classes = np.where(points < 1 << 16, _LETTERS[np.minimum(points, (1 << 16) - 1)], 63)
-        keep = (classes > 0) | (np.concatenate([[1], classes[:-1]]) > 0)
-        c = np.concatenate([[0], classes[keep], [0]])
-        return np.concatenate([c, c[:-1] * _CLASSES + c[1:], (c[:-2] * _CLASSES + c[1:-1]) * _CLASSES + c[2:]])
+def grams(text: str) -> np.ndarray:
+    """Sorted codes of the n-grams in a text; runs of other characters are one blank, so word ends count.
 
-    def presence(self, texts: list[str]) -> np.ndarray:
-        """Rows of 0 and 1 over the known n-grams, divided by the root of all n-grams present."""
-        out = np.zeros((len(texts), self.width), np.float32)
-        seen = np.zeros(_CLASSES**3, bool)
-        for i, t in enumerate(texts):
-            codes = self.codes(t)
-            seen[codes] = True
-            own = np.flatnonzero(seen)
-            seen[own] = False
-            out[i, self.columns[own]] = 1
-            out[i, 0] = 0
-            out[i] /= np.sqrt(max(1, len(own)))
-        return out
+    Shorter n-grams are the heads of longer ones, so only the longest are sorted; two zeros let the last letters be heads.
+    """
+    c = _letters()[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)]
+    keep = (c != _BLANK) | (np.concatenate([[0], c[:-1]]) != _BLANK)
+    c = np.concatenate([[_BLANK], c[keep], [_BLANK, 0, 0]])
+    three = _distinct(np.sort((c[:-2] << 2 * _BITS) | (c[1:-1] << _BITS) | c[2:]))
+    two = _distinct(three >> _BITS)
+    codes = np.concatenate([_distinct(two >> _BITS), two, three])
+    return codes[codes & ((1 << _BITS) - 1) > 0]
 
 
 class Model:
-    """Landmarks' n-grams and the weights of their kernel values for each language."""
+    """Landmarks' n-grams and their weights for each language."""
 
     def __init__(self, texts: list[str], langs: list[str]):
         self.langs = sorted(set(langs))
@@ -88,13 +66,14 @@ class Model:
             turns[lang] = turns.get(lang, -1) + 1
             spread.append((turns[lang], lang, i))
         chosen = [i for *_, i in sorted(spread)[:LANDMARKS]]
-        codes = [np.unique(Grams.codes(texts[i])) for i in chosen]
+        codes = [grams(texts[i]) for i in chosen]
         self.known = np.unique(np.concatenate(codes)) if codes else np.zeros(0, np.int64)
-        grams = Grams(self.known)
-        self.landmarks = grams.presence([texts[i] for i in chosen]).T.copy() if chosen else np.zeros((1, 0), np.float32)
         if not chosen:
             return
-        own = grams.presence(texts).astype(np.float64) @ self.landmarks
+        landmarks = np.zeros((len(self.known), len(chosen)), np.float32)
+        for j, own in enumerate(codes):
+            landmarks[np.searchsorted(self.known, own), j] = 1 / np.sqrt(len(own))
+        own = self.sums(texts, landmarks).astype(np.float64)
         core = own[chosen]
         values, vectors = np.linalg.eigh((core + core.T) / 2)
         good = values > 1e-6 * values.max()
@@ -104,20 +83,27 @@ class Model:
         # each language weighs the same
         weight = np.array([1.0 / langs.count(k) for k in self.langs])[[self.langs.index(k) for k in langs]]
         w = np.linalg.solve((x * weight[:, None]).T @ x + RIDGE / len(langs) * np.eye(x.shape[1]), (x * weight[:, None]).T @ target)
-        self.weights, self.bias = (root @ w[:-1]).astype(np.float32), w[-1].astype(np.float32)
+        # kernel values are sums over n-grams, so their weights are too
+        self.weights, self.bias = landmarks @ (root @ w[:-1]).astype(np.float32), w[-1].astype(np.float32)
+
+    def sums(self, texts: list[str], table: np.ndarray) -> np.ndarray:
+        """For each text the sum of the table's rows over its known n-grams, divided by the root of all n-grams present."""
+        out = np.zeros((len(texts), table.shape[1]), np.float32)
+        for i, t in enumerate(texts):
+            own = grams(t)
+            at = np.minimum(np.searchsorted(self.known, own), len(self.known) - 1)
+            out[i] = table[at[self.known[at] == own]].sum(0) / np.sqrt(max(1, len(own)))
+        return out
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         """Languages and scores; a text without a letter, or without a model, is UNKNOWN with 0."""
         langs, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
         able = [i for i, t in enumerate(texts) if t and self.langs and any(map(str.isalpha, t))]
-        grams = Grams(self.known)
-        for a in range(0, len(able), BATCH):
-            own = able[a : a + BATCH]
-            got = grams.presence([texts[i] for i in own]) @ self.landmarks @ self.weights + self.bias
-            for i, row in zip(own, got, strict=True):
-                best = int(row.argmax())
-                odds = np.exp(4 * (row - row.max()).astype(np.float64))
-                langs[i], scores[i] = self.langs[best], float(odds[best] / odds.sum())
+        for i in able:
+            row = self.sums([texts[i]], self.weights)[0] + self.bias
+            best = int(row.argmax())
+            odds = np.exp(4 * (row - row.max()).astype(np.float64))
+            langs[i], scores[i] = self.langs[best], float(odds[best] / odds.sum())
         return langs, scores
 
 

@@ -249,6 +249,16 @@ def test_language_id(spark, duck):
     assert model.predict([None, "", "123 !", "the dog and"])[0] == ["und", "und", "und", "en"]
 
 
+def test_languages_of_one_script():
+    # words of equal length in each pair, so that only the letters tell them apart
+    pairs = [("кот дом как это все", "кіт дім які оце усі"), ("यह घर है और वह", "हे घर आहे आणि तो"), ("für böse übel", "fãr bàse ãbel"), ("żaba łąka", "čeká říká")]
+    for one, two in pairs:
+        model = language_id.Model([one, two], ["a", "b"])
+        assert model.predict([one, two, two.upper()])[0] == ["a", "b", "b"]
+        assert abs(model.predict([one])[1][0] - 0.5) > 0.2
+    assert {int(c) for c in language_id.grams("हि")} > {ord("ह"), ord("ि")}
+
+
 def test_topk_odd_vectors(spark):
     rows = [(0, [1.0, 0.5]), (20, [1.0, 0.5]), (1, None), (2, [float("nan"), 1.0]), (3, [None, 1.0]), (4, [2.0]), (5, [-1.0, 0.0]), (None, [1.0, 1.0])]
     table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
