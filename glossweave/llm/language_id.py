@@ -19,9 +19,11 @@ from pyspark.sql import functions as F
 
 from . import common
 
-#: Labelled texts that the model is fitted on at most (about; drawn by a hash, evenly from the languages),
-#: characters of each of those that count, landmarks among them, the ridge, and languages at most.
-SAMPLE, SAMPLE_CHARS, LANDMARKS, RIDGE, LANGUAGES = 2000, 4000, 160, 1e-2, 64
+#: Labelled texts that the model is fitted on (about; drawn by a hash, evenly from the languages),
+#: characters of each of those that count, landmarks among them, and the ridge.
+SAMPLE, SAMPLE_CHARS, LANDMARKS, RIDGE = 2000, 4000, 160, 1e-2
+#: Texts (about) and landmarks of each language, where many languages would leave it fewer.
+LEAST_TEXTS, LEAST_LANDMARKS = 20, 3
 UNKNOWN = "und"
 #: Symbols of n-grams are lower-cased code points of 21 bits; 1, no letter itself, stands for what is none.
 _BITS, _BLANK = 21, 1
@@ -65,7 +67,7 @@ class Model:
         for i, lang in enumerate(langs):  # landmarks are the first of each language in turn
             turns[lang] = turns.get(lang, -1) + 1
             spread.append((turns[lang], lang, i))
-        chosen = [i for *_, i in sorted(spread)[:LANDMARKS]]
+        chosen = [i for *_, i in sorted(spread)[: max(LANDMARKS, LEAST_LANDMARKS * len(turns))]]
         codes = [grams(texts[i]) for i in chosen]
         self.known = np.unique(np.concatenate(codes)) if codes else np.zeros(0, np.int64)
         if not chosen:
@@ -79,9 +81,10 @@ class Model:
         good = values > 1e-6 * values.max()
         root = vectors[:, good] / np.sqrt(values[good])  # kernel values -> coordinates
         x = np.hstack([own @ root, np.ones((len(texts), 1))])
-        target = np.array([[1.0 if lang == k else -1.0 for k in self.langs] for lang in langs])
-        # each language weighs the same
-        weight = np.array([1.0 / langs.count(k) for k in self.langs])[[self.langs.index(k) for k in langs]]
+        place = {k: n for n, k in enumerate(self.langs)}
+        number = np.array([place[k] for k in langs])
+        target = np.where(number[:, None] == np.arange(len(self.langs)), 1.0, -1.0)
+        weight = 1.0 / np.bincount(number)[number]  # each language weighs the same
         w = np.linalg.solve((x * weight[:, None]).T @ x + RIDGE / len(langs) * np.eye(x.shape[1]), (x * weight[:, None]).T @ target)
         # kernel values are sums over n-grams, so their weights are too
         self.weights, self.bias = landmarks @ (root @ w[:-1]).astype(np.float32), w[-1].astype(np.float32)
@@ -108,17 +111,21 @@ class Model:
 
 
 def fit(labelled: DataFrame, sample: int = SAMPLE) -> Model:
-    """A model of (text, lang) rows with neither null, from a sample of about `sample` texts."""
-    counts = labelled.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
-    each = max(1, sample // max(1, len(counts)))
-    shares = {r["lang"]: min(1.0, each / r["n"]) for r in counts}
-    if not shares:
+    """A model of all languages of (text, lang) rows with neither null, from a sample of about `sample` texts.
+
+    With many languages the sample grows, so that each has about LEAST_TEXTS texts, or all that it has.
+    """
+    spark = labelled.sparkSession
+    hashed = labelled.select("lang", F.xxhash64("text").alias("x"))
+    counts = hashed.groupBy("lang").agg(F.countDistinct("x").alias("n")).orderBy("lang").collect()
+    if not counts:
         return Model([], [])
-    share = F.create_map(*[F.lit(x) for pair in shares.items() for x in pair])[F.col("lang")]
-    drawn = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < share * (1 << 30)
-    # copies of one text hash alike, so equal rows are dropped; the limit bounds what reaches the driver
-    rows = labelled.where(drawn).select(F.substring("text", 1, SAMPLE_CHARS).alias("text"), "lang").distinct()
-    got = sorted((r["text"], r["lang"]) for r in rows.orderBy(F.xxhash64("text"), "lang").limit(2 * sample).collect())
+    each = max(LEAST_TEXTS, sample // len(counts))
+    shares = spark.createDataFrame([(r["lang"], min(1.0, each / r["n"])) for r in counts], "lang string, share double")
+    drawn = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < F.col("share") * (1 << 30)
+    # copies of one text hash alike, so equal rows are dropped and only about `each` of a language reach the driver
+    rows = labelled.join(F.broadcast(shares), "lang").where(drawn).select(F.substring("text", 1, SAMPLE_CHARS).alias("text"), "lang").distinct()
+    got = sorted((r["text"], r["lang"]) for r in rows.collect())
     got.sort(key=lambda x: hash_of(x[0]))
     return Model([t for t, _ in got], [k for _, k in got])
 
@@ -133,7 +140,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     """Adds lang_pred and score (0 to 1) to every document, from the whole text alone.
 
     Null and empty texts, and those without a letter, get `und` and 0. Rows are independent of each other.
-    Columns with an output's name are replaced. The model, at most LANDMARKS texts, is broadcast.
+    Columns with an output's name are replaced. The model, weights for the landmarks' n-grams, is broadcast.
     """
     held = docs.sparkSession.sparkContext.broadcast(model)
 

@@ -259,6 +259,15 @@ def test_languages_of_one_script():
     assert {int(c) for c in language_id.grams("हि")} > {ord("ह"), ord("ि")}
 
 
+def test_every_language_enters_the_model(spark):
+    # 130 languages, each of its own two letters; the last ones have one text each, and the first mostly copies
+    words = {f"l{i:03}": f"{chr(0x4E00 + 2 * i)}{chr(0x4E01 + 2 * i)}" for i in range(130)}
+    rows = [(f"{w} {w}{w} {n if i else 0}", k) for i, (k, w) in enumerate(words.items()) for n in range(300 if i < 2 else 3 if i < 90 else 1)]
+    model = language_id.fit(spark.createDataFrame(rows, "text string, lang string"))
+    assert model.langs == sorted(words)
+    assert model.predict([f"{w}{w} {w}" for w in words.values()])[0] == list(words)
+
+
 def test_topk_odd_vectors(spark):
     rows = [(0, [1.0, 0.5]), (20, [1.0, 0.5]), (1, None), (2, [float("nan"), 1.0]), (3, [None, 1.0]), (4, [2.0]), (5, [-1.0, 0.0]), (None, [1.0, 1.0])]
     table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
