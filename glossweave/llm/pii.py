@@ -39,6 +39,16 @@ _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
+#: Characters of an IBAN by country (ISO 13616); for other countries every length is tried.
+_IBAN_SIZES = {
+    country: size
+    for size, countries in {
+        15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA",
+        23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM",
+        28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+    }.items()
+    for country in countries.split()
+}
 _NATIONAL = re.compile(r"(?<![0-9+(.-])(?<!\+[0-9] )\(?[0-9]{2,4}\)?(?:[ .-][0-9]{2,4}){2,4}(?![0-9.-])")
 _NOT_DIGIT = re.compile(r"[^0-9]")
 _WORD = re.compile(r"\w+")
@@ -78,6 +88,21 @@ def _emails(text: str):
         at = text.find("@", max(at + 1, after))
 
 
+def _ibans(text: str):
+    """Leftmost matches; of each the longest part that ends with a token, has its country's length and passes mod-97."""
+    at = 0
+    while m := _IBAN.search(text, at):
+        start, at = m.start(), m.start() + 1
+        for end in range(m.end(), start + 14, -1):
+            if text[end - 1] == " " or text[end : end + 1].isascii() and text[end : end + 1].isalnum():
+                continue
+            plain = text[start:end].replace(" ", "")
+            if 15 <= len(plain) == _IBAN_SIZES.get(plain[:2], len(plain)) and mod97(plain):
+                yield start, end
+                at = end
+                break
+
+
 def _proposed(text: str):
     if "@" in text:
         for a, b in _emails(text):
@@ -94,9 +119,8 @@ def _proposed(text: str):
         for m in _PHONE.finditer(text):
             if 9 <= len(_NOT_DIGIT.sub("", m[0])) <= 15:
                 yield "phone", *m.span()
-    for m in _IBAN.finditer(text):
-        if 15 <= len(plain := m[0].replace(" ", "")) <= 34 and mod97(plain):
-            yield "iban", *m.span()
+    for a, b in _ibans(text):
+        yield "iban", a, b
     for m in _NATIONAL.finditer(text):
         if 7 <= len(_NOT_DIGIT.sub("", m[0])) <= 12:
             yield "national", *m.span()

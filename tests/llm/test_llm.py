@@ -238,6 +238,21 @@ def test_pii_agrees_with_the_plain_expressions():
     assert pii.redact("x a@b.cd y", pii.find("x a@b.cd y")) == "x [EMAIL] y" and pii.redact(None, []) is None
 
 
+def test_ibans_beside_other_tokens():
+    def ibans(text):
+        return [text[s.start : s.end] for s in pii.find(text) if s.kind == "iban"]
+
+    german, british = "DE89 3704 0044 0532 0130 00", "GB82 WEST 1234 5698 7654 32"
+    assert ibans(f"IBAN {german} BIC COBADEFFXXX") == [german]
+    assert ibans("DE89370400440532013000 EUR 500") == ["DE89370400440532013000"]
+    assert ibans(f"{german} {british} OK") == [german, british]
+    assert ibans(f"AB12 REF 5 {german}") == [german] and ibans(f"{german}, {british}.") == [german, british]
+    other = "ZZ" + f"{98 - int('370400440532013000353500') % 97:02}" + "370400440532013000"  # a country that the table lacks
+    assert ibans(f"to {other} BIC X") == [other]
+    assert not ibans(f"{german}0 BIC") and not ibans("DE88 3704 0044 0532 0130 00 BIC")
+    assert pii.redact(f"IBAN {german} BIC", pii.find(f"IBAN {german} BIC")) == "IBAN [IBAN] BIC"
+
+
 def test_language_id(spark, duck):
     got = queries.QUERIES["op1_language_id"](spark, DATA).toPandas()
     langs = dict(duck.sql("SELECT doc_id, lang FROM documents").fetchall())
