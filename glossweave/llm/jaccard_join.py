@@ -29,15 +29,17 @@ _RADIX = np.uint64(0xD6E8FEB86659FD93)
 def plan(n: int, threshold: float, recall: float) -> tuple[float, int, int]:
     """(share of a set that a step samples, depth, runs).
 
-    Sets with Jaccard j share 2j/(1+j) of the mean size, so at a rate of its inverse over the size
-    a pair at the threshold goes on in one step on average; the chance to reach the depth follows
-    from the Poisson law. Depth grows with the logarithm of the number of documents.
+    Sets with Jaccard j share at least j times the larger size, and a step goes on in the interval of
+    the larger set, so a pair at the threshold goes on in at least rate * threshold steps on average
+    (the least where one set lies within the other, one step where they have the same size). The
+    chance to reach the depth follows from the Poisson law. Depth grows with the logarithm of the
+    number of documents.
     """
     rate = (1 + threshold) / (2 * threshold)
     depth = max(3, math.ceil(math.log(max(n, 2)) / 2.5))
     lost = 0.0
     for _ in range(depth):
-        lost = math.exp(lost - 1)
+        lost = math.exp(rate * threshold * (lost - 1))
     return rate, depth, math.ceil(math.log(1 - recall) / math.log(lost))
 
 

@@ -160,6 +160,24 @@ def test_jaccard_join(spark, monkeypatch):
     assert {r["k"]: (r["class_id"], r["n_links"]) for r in got} == brute_join(rows)
 
 
+def test_paths_find_a_set_within_another():
+    r, width, pairs = np.random.default_rng(8), (160, 200), 5000
+    for n in (50_000, 10**8, 10**9):
+        rate, depth, runs = jaccard_join.plan(n, 0.8, 0.9999)
+        lost = 0.0
+        for _ in range(depth):
+            lost = np.exp(rate * width[0] / width[1] * (lost - 1))
+        assert lost**runs <= 1e-4
+    rate, depth, runs = jaccard_join.plan(50_000, 0.8, 0.9999)
+    sets = [np.sort(x[:n]) for x in r.integers(0, 2**64, (pairs, width[1]), np.uint64) for n in width]
+    owner, path = jaccard_join.paths(np.concatenate(sets), np.concatenate([[0], np.cumsum(width * pairs)]), rate, depth, 1)
+    own = collections.defaultdict(set)
+    for d, p in zip(owner.tolist(), path.tolist(), strict=True):
+        own[d].add(p)
+    met = sum(bool(own[2 * i] & own[2 * i + 1]) for i in range(pairs))
+    assert (1 - met / pairs) ** runs < 3e-4
+
+
 def test_components(spark):
     links = [(i, i + 1) for i in range(0, 40)] + [(100, 90), (90, 95), (7, 7)]
     got = components.components(spark.createDataFrame(links, "a long, b long")).collect()
