@@ -14,7 +14,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common
@@ -102,6 +102,11 @@ def paths(values: np.ndarray, place: np.ndarray, rate: float, depth: int, runs:
     return docs, path
 
 
+def text_key() -> Column:
+    """64 bits of the text, which with the id find a row's text where ids are null or repeated."""
+    return F.xxhash64("text")
+
+
 def _signatures(docs: DataFrame, width: int, rate: float, depth: int, runs: int) -> DataFrame:
     def run(batches):
         for rows, texts in common.blocks(batches, 1 << 20):
@@ -109,9 +114,9 @@ def _signatures(docs: DataFrame, width: int, rate: float, depth: int, runs: int)
             owner, path = paths(values, place, rate, depth, runs)
             cuts = np.searchsorted(owner, np.arange(len(texts) + 1))
             lists = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(path.view(np.int64)))
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int32()), pa.array(prints), pa.array(np.diff(place), pa.int64()), lists], ["k", "h", "print", "size", "paths"])
+            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()), pa.array(prints), pa.array(np.diff(place), pa.int64()), lists], ["k", "h", "print", "size", "paths"])
 
-    return docs.mapInArrow(run, "k bigint, h int, print string, size bigint, paths array<bigint>")
+    return docs.mapInArrow(run, "k bigint, h bigint, print string, size bigint, paths array<bigint>")
 
 
 def compare(values: np.ndarray, place: np.ndarray, threshold: float, left: int | None = None):
@@ -184,14 +189,15 @@ def _verify(width: int, threshold: float):
 
 
 def join(docs: DataFrame, width: int = WORDS, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
-    """One row (k, h, class_id, n_links, n_copies) for each document; k is doc_id, h the text's hash.
+    """One row (k, h, class_id, class_h, n_links, n_copies) for each document; k is doc_id, h the text's hash.
 
     Texts are sets of `width`-word shingles (all words, if fewer). class_id: the least doc_id of those
-    that links, or equal word sequences, connect. n_links: how many other word sequences have a
+    that links, or equal word sequences, connect; class_h: the hash of one text of that id, so that
+    (class_id, class_h) tells classes apart where ids are null or repeated. n_links: how many other word sequences have a
     Jaccard similarity of at least threshold. n_copies: rows with the same words, this one too.
     Rows without words stand alone, with no link. Null ids count as the least long.
     """
-    keyed = docs.select(common.doc_key().alias("k"), F.hash("text").alias("h"), F.col("text").cast("binary").alias("text"))
+    keyed = docs.select(common.doc_key().alias("k"), text_key().alias("h"), F.col("text").cast("binary").alias("text"))
     rate, depth, runs = plan(keyed.count(), threshold, recall)
     signed = common.cut(_signatures(keyed, width, rate, depth, runs))
     # equal word sequences are one class from here on; one of its texts stands for it. The numbers
@@ -216,11 +222,12 @@ def join(docs: DataFrame, width: int = WORDS, threshold: float = THRESHOLD, reca
     links = found.groupBy("id").agg(F.sum("links").alias("n_links"))
     roots = components(found.select(F.col("id").alias("a"), F.col("other").alias("b")))
     graded = classes.join(links, "id", "left").join(roots, "id", "left")
-    graded = graded.select("print", "n_copies", "rep.k", "n_links", F.coalesce("root", "id").alias("root"))
-    heads = graded.groupBy("root").agg(F.min("k").alias("class_id"))
-    graded = graded.join(heads, "root").select("print", "class_id", "n_links", "n_copies")
+    graded = graded.select("print", "n_copies", "rep.k", "rep.h", "n_links", F.coalesce("root", "id").alias("root"))
+    heads = graded.groupBy("root").agg(F.min(F.struct("k", "h")).alias("head"))
+    graded = graded.join(heads, "root").select("print", F.col("head.k").alias("class_id"), F.col("head.h").alias("class_h"), "n_links", "n_copies")
     out = signed.select("k", "h", "print").join(graded, "print", "left")
-    return out.select("k", "h", F.coalesce("class_id", "k").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("n_copies", F.lit(1)).alias("n_copies"))
+    own = [F.coalesce("class_id", "k").alias("class_id"), F.coalesce("class_h", "h").alias("class_h")]
+    return out.select("k", "h", *own, F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("n_copies", F.lit(1)).alias("n_copies"))
 
 
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -328,3 +328,18 @@ def test_pipeline(spark, duck):
     safe = cp.personal_data(spark, frame, DATA).collect()
     assert {r["doc_id"]: r["text"] for r in safe} == {k: pii.redact(t, pii.find(t)) for k, t in alone} and all(len(r["text"]) == r["n_chars"] for r in safe)
     assert cp.run(spark, DATA).count() >= len(cut)
+
+
+def test_near_duplicates_with_null_and_repeated_ids(spark):
+    import corpus_pipeline as cp
+
+    r = random.Random(9)
+    texts = [" ".join(f"{i}w{r.randint(0, 999)}" for _ in range(40)) for i in range(8)]
+    near = texts[5] + " x"
+    rows = [(None, t) for t in texts[:3]] + [(7, texts[3]), (7, texts[4]), (None, texts[5]), (3, near), (8, texts[6]), (8, texts[6]), (None, texts[7]), (None, texts[7]), (9, texts[7])]
+    rows += [(None, ""), (None, None), (11, " \n"), (11, " \n")]  # rows without words stand alone
+    frame = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"lang": F.lit("en"), "source": F.lit("s"), "n_chars": F.lit(0)})
+    got = cp.near_duplicates(spark, frame, DATA)
+    assert got.columns == list(cp.COLUMNS)
+    want = [(None, t) for t in texts[:3]] + [(7, texts[3]), (7, texts[4]), (None, texts[5]), (8, texts[6]), (None, texts[7]), (None, ""), (None, None), (11, " \n"), (11, " \n")]
+    assert collections.Counter((x["doc_id"], x["text"]) for x in got.collect()) == collections.Counter(want)
