@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import itertools
+import re
 import tempfile
 from collections.abc import Callable, Iterator
 
@@ -29,11 +31,21 @@ def doc_key() -> Column:
     return F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_KEY))
 
 
+def digest() -> list[Column]:
+    """128 bits that tell texts apart, in two columns d1 and d2; null has bits of its own."""
+    return [F.xxhash64("text").alias("d1"), F.xxhash64(F.lit(1), "text").alias("d2")]
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """Ends the lineage in the shared checkpoint folder; a folder of its own only where none is set."""
+    """Ends the lineage in the shared checkpoint folder that spark.checkpoint.dir names.
+
+    Only a local master, whose executors share the driver's disk, may go without that setting.
+    """
     sc = df.sparkSession.sparkContext
     if not sc._jsc.sc().getCheckpointDir().isDefined():
         shared = df.sparkSession.conf.get("spark.checkpoint.dir", "")
+        if not shared and not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="glossweave-"))
     return df.checkpoint()
 
@@ -116,23 +128,47 @@ class Words:
         self.hash = mix(np.add.reduceat(BYTE[letters] * power[place], begins))
 
 
-def blocks(batches, size: int):
-    """Documents of Arrow batches (row columns as lists) in blocks of about `size` bytes of text.
+_NOT_SEP = re.compile(rb"[^ \t\n\x0b\x0c\r]+")
+_IS_SEP = re.compile(rb"[ \t\n\x0b\x0c\r]")
+
+
+def word_parts(text: bytes, size: int, overlap: int) -> Iterator[tuple[int, bytes]]:
+    """(words before, part) of a text: parts of about `size` bytes, each with the `overlap` words after it.
+
+    So a long text never lies in arrays as a whole; the parts' windows are those of the text.
+    """
+    at = before = 0
+    while len(text) - at > size and (m := _IS_SEP.search(text, at + size)):
+        after = list(itertools.islice(_NOT_SEP.finditer(text, m.end()), overlap))
+        yield before, text[at : after[-1].end() if after else m.end()]
+        before += len(text[at : m.end()].split())
+        at = m.end()
+    yield before, text[at:]
+
+
+def byte_parts(text: bytes, size: int, overlap: int) -> Iterator[tuple[int, bytes]]:
+    """(bytes before, part), as word_parts."""
+    for at in range(0, max(1, len(text) - overlap), size):
+        yield at, text[at : at + size + overlap]
+
+
+def blocks(batches, size: int, parts: Callable | None = None):
+    """Documents of Arrow batches (key columns, then binary text last) in blocks of about `size` bytes of text.
 
-    Yields (list of rows without text, list of texts); text is binary, nulls are empty.
+    Yields (list of rows: the keys, then what lies before the part; list of texts); nulls are empty. Texts
+    longer than `size` come in parts, where parts(text, size) gives (before, part); else whole.
     """
     rows, texts, held = [], [], 0
     for batch in batches:
-        cols = batch.to_pydict()
-        names = [n for n in cols if n != "text"]
-        for row in zip(*[cols[n] for n in names], cols["text"], strict=True):
+        for row in zip(*[c.to_pylist() for c in batch.columns], strict=True):
             text = row[-1] or b""
-            rows.append(row[:-1])
-            texts.append(text)
-            held += len(text) + 1
-            if held >= size:
-                yield rows, texts
-                rows, texts, held = [], [], 0
+            for before, part in parts(text, size) if parts and len(text) > size else ((0, text),):
+                rows.append((*row[:-1], before))
+                texts.append(part)
+                held += len(part) + 1
+                if held >= size:
+                    yield rows, texts
+                    rows, texts, held = [], [], 0
     if rows:
         yield rows, texts
 

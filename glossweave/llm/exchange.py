@@ -1,5 +1,8 @@
 """The exchange of super-k-mers: packed strings of consecutive windows travel to their minimiser's bucket.
 
+Documents are told apart by id and 128 bits of their text; a table of these gives each a small
+number, which travels with the strings.
+
 Shared by both exact substring operators. A map task holds back repeats of a packed string, so a
 passage that a third of all documents share reaches its bucket once for each block of a task; the
 places of the held-back repeats travel apart, spread over all buckets.
@@ -13,8 +16,9 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import common
 
@@ -22,15 +26,22 @@ from . import common
 FLUSH = 96 << 20
 #: Bytes of text scanned at once.
 BLOCK = 1 << 20
-#: Columns of the places in a message: document key, text hash, first unit, units, minimiser, more.
+#: Columns of the places in a message: document id, document number, first unit, units, minimiser, more.
 WIDTH = 6
-_SPANS = "k bigint, h int, spans binary"
+#: Documents are numbered in so many classes of their digests.
+CLASSES = 4096
+_KEY = ["_k", "_d1", "_d2"]
+
 
+def with_keys(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(documents as a struct _row with text, _k, _d1, _d2; the numbers of all distinct keys).
 
-def with_keys(docs: DataFrame) -> DataFrame:
-    """The documents with _key: k, their id, and h, a hash of the text where ids repeat; 0 where none does."""
-    again = docs.groupBy(common.doc_key().alias("k")).count().where("count > 1").limit(1).count()
-    return docs.withColumn("_key", F.struct(common.doc_key().alias("k"), (F.hash("text") if again else F.lit(0)).alias("h")))
+    The numbers follow from the keys alone, so tasks that run again give the same.
+    """
+    keyed = docs.select(F.struct("*").alias("_row"), "text", common.doc_key().alias("_k"), *[c.alias(n) for c, n in zip(common.digest(), _KEY[1:], strict=True)])
+    ids = keyed.select(*_KEY).distinct().withColumn("p", F.pmod("_d1", F.lit(CLASSES)))
+    own = F.row_number().over(Window.partitionBy("p").orderBy(*_KEY))
+    return keyed, common.cut(ids.select(*_KEY, (own.cast("long") * CLASSES + F.col("p")).alias("number")))
 
 
 class Outbox:
@@ -40,7 +51,7 @@ class Outbox:
     """
 
     def __init__(self, buckets: int, bits: int):
-        self.buckets, self.bits, self.press = buckets, bits, zstandard.ZstdCompressor(level=3)
+        self.buckets, self.bits, self.press = buckets, bits, zstandard.ZstdCompressor(level=6)
         self.clear()
 
     def clear(self) -> None:
@@ -64,7 +75,9 @@ class Outbox:
             own = order[a:b]
             strings = [self.strings[i] for i in own]
             sizes = np.fromiter(map(len, strings), np.int64, len(own))
-            body = np.int64(len(own)).tobytes() + places[own].T.tobytes() + sizes.tobytes() + b"".join(strings)
+            columns = places[own].T.copy()
+            columns[:2] = np.diff(columns[:2], prepend=0)  # neighbours are often of one document
+            body = np.int64(len(own)).tobytes() + columns.tobytes() + sizes.tobytes() + b"".join(strings)
             ids.append(int(bucket[own[0]]))
             blobs.append(self.press.compress(body))
         self.clear()
@@ -75,64 +88,80 @@ class Outbox:
 def opened(blob: bytes) -> tuple[np.ndarray, list[bytes]]:
     body = zstandard.ZstdDecompressor().decompress(blob)
     n = int(np.frombuffer(body, np.int64, 1)[0])
-    places = np.frombuffer(body, np.int64, n * WIDTH, 8).reshape(WIDTH, n).T
+    columns = np.frombuffer(body, np.int64, n * WIDTH, 8).reshape(WIDTH, n).copy()
+    columns[:2] = np.cumsum(columns[:2], axis=1)
+    places = columns.T
     sizes = np.frombuffer(body, np.int64, n, 8 + 8 * n * WIDTH)
     at = 8 + 8 * n * (WIDTH + 1)
     ends = at + np.cumsum(sizes)
     return places, [body[e - s : e] for s, e in zip(sizes.tolist(), ends.tolist(), strict=True)]
 
 
-def repeats(keyed: DataFrame, scan: Callable, judge: Callable, bits: int, key: Callable | None = None) -> DataFrame:
-    """Rows (k, h, spans) with the spans that repeat, as pairs of 32-bit integers (start, length).
+def repeats(keyed: DataFrame, ids: DataFrame, scan: Callable, judge: Callable, bits: int, parts: Callable, key: Callable | None = None) -> DataFrame:
+    """Rows (number, spans) with the spans that repeat, as pairs of 64-bit integers (start, length).
 
-    scan(rows, texts, outbox) adds a block's super-k-mers to the outbox; judge(places, strings)
-    yields (k, h, start, length) for a bucket, given its places and strings. key(places, strings) gives what
-    strings with one anchor have in common; the minimiser's `bits` low bits otherwise.
-    A bucket has the minimisers of one hash class; there are 16 for each shuffle partition, so
-    raise spark.sql.shuffle.partitions with the input to keep buckets small.
+    scan(rows, texts, outbox) adds a block's super-k-mers to the outbox; a row is (k, number, units before the
+    text). judge(places, strings) yields (number, start, length) for a bucket, given its places and strings.
+    parts cuts long texts. key(places, strings) gives what strings with one anchor have in common; the
+    minimiser's `bits` low bits otherwise. A bucket has the minimisers of one hash class; there are 16 for
+    each shuffle partition, so raise spark.sql.shuffle.partitions with the input to keep buckets small.
     """
     buckets = 16 * common.partitions(keyed)
 
     def send(batches):
         out = Outbox(buckets, bits)
-        for rows, texts in common.blocks(batches, BLOCK):
+        chosen = (pa.RecordBatch.from_arrays([b.column(b.schema.get_field_index(n)) for n in ("_k", "number", "text")], ["k", "number", "text"]) for b in batches)
+        texts_as_bytes = (b.set_column(2, "text", b.column(2).cast(pa.binary())) for b in chosen)
+        for rows, texts in common.blocks(texts_as_bytes, BLOCK, parts):
             scan(rows, texts, out)
             if out.held >= FLUSH:
                 yield from out.messages()
         yield from out.messages()
 
     def receive(group: pa.Table) -> pa.Table:
-        parts = [opened(b) for b in group.column("blob").to_pylist()]
-        places = np.concatenate([p for p, _ in parts])
-        strings = [s for _, own in parts for s in own]
+        opened_parts = [opened(b) for b in group.column("blob").to_pylist()]
+        places = np.concatenate([p for p, _ in opened_parts])
+        strings = [s for _, own in opened_parts for s in own]
         found = defaultdict(list)
         kept = places[:, 4] == -1  # repeats that the map task knew of
-        for k, h, start, length in places[kept][:, :4].tolist():
-            found[k, h].append((start, length))
+        for number, start, length in places[kept][:, 1:4].tolist():
+            found[number].append((start, length))
         packed = np.flatnonzero(~kept)
         # only a minimiser that came twice can hold a repeated window
         common_to = key(places[packed], [strings[i] for i in packed]) if key else places[packed, 4]
         _, inverse, counts = np.unique(common_to, return_inverse=True, return_counts=True)
         often = packed[(counts[inverse] > 1) | (places[packed, 5] < 0)]
-        for k, h, start, length in judge(places[often], [strings[i] for i in often]):
-            found[k, h].append((start, length))
-        return pa.table({"k": pa.array([k for k, _ in found], pa.int64()), "h": pa.array([h for _, h in found], pa.int32()), "spans": pa.array([np.array(x, np.int32).tobytes() for x in found.values()], pa.binary())})
+        for number, start, length in judge(places[often], [strings[i] for i in often]):
+            found[number].append((start, length))
+        return pa.table({"number": pa.array(list(found), pa.int64()), "spans": pa.array([np.array(x, np.int64).tobytes() for x in found.values()], pa.binary())})
 
-    sent = keyed.select("_key.k", "_key.h", F.col("text").cast("binary").alias("text")).mapInArrow(send, "bucket int, blob binary")
-    return sent.groupBy("bucket").applyInArrow(receive, _SPANS)
+    # all columns go along, so that this exchange of the texts is the one that finish() needs
+    sent = keyed.join(ids, _KEY).mapInArrow(send, "bucket int, blob binary")
+    return sent.groupBy("bucket").applyInArrow(receive, "number bigint, spans binary")
 
 
-def finish(keyed: DataFrame, spans: DataFrame, fn: Callable, outputs: dict[str, str]) -> DataFrame:
-    """The documents with what fn(text, starts, ends) gives for each; spans sorted and merged."""
-    each = spans.groupBy(F.col("k").alias("_k"), F.col("h").alias("_h")).agg(F.collect_list("spans").alias("_spans"))
-    joined = keyed.join(each, (keyed["_key"]["k"] == each["_k"]) & (keyed["_key"]["h"] == each["_h"]), "left").drop("_key", "_k", "_h")
+def finish(keyed: DataFrame, ids: DataFrame, spans: DataFrame, fn: Callable, outputs: dict[str, str]) -> DataFrame:
+    """The documents with what fn(text, starts, ends) gives for each; spans sorted and merged.
+
+    Columns of the documents with an output's name, in any case, are replaced.
+    """
+    each = spans.groupBy("number").agg(F.collect_list("spans").alias("_spans")).join(ids, "number").drop("number")
+    joined = keyed.join(each, _KEY, "left")
+    names = joined.schema["_row"].dataType.fieldNames()
+    lowered = {n.lower() for n in outputs}
+    kept = [n for n in names if n.lower() not in lowered]
+    inner = joined.select("_row", "text", "_spans")
 
-    def run(rows, lists):
-        texts = common.field(rows, "text").to_pylist()
-        got = [fn(t, *merged(s)) for t, s in zip(texts, lists.to_pylist(), strict=True)]
-        return [pa.array(c, _ARROW[kind]) for c, kind in zip(zip(*got, strict=True) if got else [[]] * len(outputs), outputs.values(), strict=True)]
+    def run(batches):
+        for batch in batches:
+            texts = batch.column(1).to_pylist()
+            got = [fn(t, *merged(s)) for t, s in zip(texts, batch.column(2).to_pylist(), strict=True)]
+            columns = zip(*got, strict=True) if got else [[]] * len(outputs)
+            made = [pa.array(c, _ARROW[kind]) for c, kind in zip(columns, outputs.values(), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *made], ["_row", *outputs])
 
-    return common.attach(joined, run, outputs, ("_spans",))
+    out = inner.mapInArrow(run, T.StructType([inner.schema["_row"], *[T.StructField(n, T._parse_datatype_string(k)) for n, k in outputs.items()]]))
+    return out.select(*[F.col(f"_row.`{n}`") for n in kept], *outputs)
 
 
 _ARROW = {"bigint": pa.int64(), "string": pa.string(), "binary": pa.binary()}
@@ -142,7 +171,7 @@ def merged(blobs: list[bytes] | None) -> tuple[list[int], list[int]]:
     """Starts and ends of the union of spans; spans that touch become one."""
     if not blobs:
         return [], []
-    pairs = np.frombuffer(b"".join(blobs), np.int32).reshape(-1, 2).astype(np.int64)
+    pairs = np.frombuffer(b"".join(blobs), np.int64).reshape(-1, 2)
     pairs = pairs[np.argsort(pairs[:, 0], kind="stable")]
     ends = np.maximum.accumulate(pairs[:, 0] + pairs[:, 1])
     new = np.concatenate([[True], pairs[1:, 0] > ends[:-1]])

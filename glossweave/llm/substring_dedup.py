@@ -47,31 +47,31 @@ def _scan(window: int):
             upto = int(np.searchsorted(change, b))
             cuts = [a, *change[spot:upto].tolist(), b]
             spot = upto
-            k, h = row
+            k, number, before = row
             lefts = starts[cuts[:-1]].tolist()
             rights = ends[[c + window - 2 for c in cuts[1:]]].tolist()
             mins = (least[cuts[:-1]] >> _LOW_BITS).tolist()
             for i, (left, right, m) in enumerate(zip(lefts, rights, mins, strict=True)):
-                add(out, packed[left:right], k, h, cuts[i] - a, cuts[i + 1] - cuts[i] + window - 1, m)
+                add(out, packed[left:right], k, number, before + cuts[i] - a, cuts[i + 1] - cuts[i] + window - 1, m)
 
-    def add(out: exchange.Outbox, string: bytes, k: int, h: int, start: int, length: int, m: int) -> None:
+    def add(out: exchange.Outbox, string: bytes, k: int, number: int, start: int, length: int, m: int) -> None:
         old = out.seen.get(string)
         if old is None:
             out.seen[string] = len(out.places)
         else:
-            k0, h0, start0 = out.places[old][:3]
+            k0, number0, start0 = out.places[old][:3]
             if (k, start) > (k0, start0):
-                out.places.append((k, h, start, length, -1, 0))
+                out.places.append((k, number, start, length, -1, 0))
                 out.strings.append(b"")
                 return
             if (k, start) < (k0, start0):
-                out.places[old] = (k, h, start, length, m, 0)
-                out.places.append((k0, h0, start0, length, -1, 0))
+                out.places[old] = (k, number, start, length, m, 0)
+                out.places.append((k0, number0, start0, length, -1, 0))
                 out.strings.append(b"")
                 return
-            if h == h0:  # a repeated row
+            if number == number0:  # a repeated row
                 return
-        out.places.append((k, h, start, length, m, 0))
+        out.places.append((k, number, start, length, m, 0))
         out.strings.append(string)
         out.held += len(string) + 160
 
@@ -99,7 +99,7 @@ def _judge(window: int):
         keep = []
         for row, s in zip(rows, strings, strict=True):
             if (row[0], row[2]) > least[s]:
-                yield row[0], row[1], row[2], row[3]
+                yield row[1], row[2], row[3]
             else:
                 keep.append((row, s))
         if len(least) == 1:
@@ -117,12 +117,12 @@ def _judge(window: int):
             elif (k, start) > leader[1:]:
                 gone.setdefault(j, []).append(t)
         for j, ts in gone.items():
-            (k, h, start, *_), _ = keep[j]
+            (_, number, start, *_), _ = keep[j]
             ts.sort()
             a = ts[0]
             for t, then in zip(ts, [*ts[1:], None], strict=True):
                 if then != t + 1:
-                    yield k, h, start + a, t - a + window
+                    yield number, start + a, t - a + window
                     a = then
 
     return judge
@@ -139,11 +139,12 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     ordered by doc_id, then start. Adds n_words, n_removed and kept_text (kept words, joined by
     one space). Null and empty texts have no words and kept_text ''. A null doc_id sorts first.
     Rows with the same doc_id and text are one document and get the same result; with different
-    texts, equal places don't precede each other. Other columns pass; those with an output's
-    name are replaced.
+    texts, equal places don't precede each other. Very long texts are scanned in overlapping parts, with
+    the same result. Other columns pass; those with an output's name are replaced.
     """
-    keyed = exchange.with_keys(docs)
-    spans = exchange.repeats(keyed, _scan(window), _judge(window), 18)
+    keyed, ids = exchange.with_keys(docs)
+    parts = lambda text, size: common.word_parts(text, size, window - 1)
+    spans = exchange.repeats(keyed, ids, _scan(window), _judge(window), 18, parts)
 
     def finish(text, starts, ends):
         words = (text or "").encode().translate(_TO_SPACE).split(b" ") if text else []
@@ -155,7 +156,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         removed = sum(ends) - sum(starts)
         return len(words), removed, b" ".join(kept + words[at:]).decode()
 
-    return exchange.finish(keyed, spans, finish, {"n_words": "bigint", "n_removed": "bigint", "kept_text": "string"})
+    return exchange.finish(keyed, ids, spans, finish, {"n_words": "bigint", "n_removed": "bigint", "kept_text": "string"})
 
 
 _TO_SPACE = bytes(32 if c in common.SEPARATORS else c for c in range(256))

@@ -2,10 +2,10 @@
 
 Each window of bytes has an anchor, the leftmost least piece in it; equal windows have their
 anchors at the same offset. Consecutive windows with one anchor travel together to the anchor's
-bucket. There the suffixes that start at anchors are sorted: multikey quicksort to a shallow
-depth (the anchor's piece), then blind tries order the groups that agree so far. Two suffixes in
-a trie node of depth d agree on d bytes to the right; with the bytes that also agree to the left,
-that gives every window that they share.
+bucket. There the suffixes that start at anchors are put in order: multikey quicksort to a shallow
+depth (the anchor's piece), then blind tries order the groups that agree so far. The order comes with
+the common prefixes of neighbours; suffixes of one interval of it agree on so many bytes to the right,
+and with the bytes that also agree to the left, that gives every window that they share.
 """
 
 from __future__ import annotations
@@ -35,7 +35,7 @@ def _scan(window: int):
         change = np.flatnonzero(np.diff(least)) + 1
         at, spot = 0, 0
         places, strings, seen = out.places, out.strings, out.seen
-        for (k, h), text in zip(rows, texts, strict=True):
+        for (k, number, before), text in zip(rows, texts, strict=True):
             a, b = at, at + len(text) - window + 1
             at += len(text)
             if b <= a:
@@ -55,10 +55,10 @@ def _scan(window: int):
                 string = body[left:right]
                 old = seen.setdefault(string, len(places))
                 if old == len(places):
-                    places.append((k, h, left - a, right - left, m, w))
+                    places.append((0, number, before + left - a, right - left, m, w))
                     strings.append(string)
-                elif (k, h, left - a) != places[old][:3]:
-                    places.append((k, h, left - a, right - left, -1, 0))
+                elif (number, before + left - a) != places[old][1:3]:
+                    places.append((0, number, before + left - a, right - left, -1, 0))
                     strings.append(b"")
                     if places[old][5] >= 0:  # the first repeats too; less than 0 tells the bucket so
                         places[old] = (*places[old][:5], -1 - places[old][5])
@@ -95,19 +95,18 @@ def _anchors(data: np.ndarray, piece: int, window: int) -> np.ndarray:
 
 
 def shallow_groups(suffixes: list[bytes], depth: int) -> list[list[int]]:
-    """Multikey quicksort over 8-byte characters to `depth`, which all have: the groups that agree so far."""
+    """Multikey quicksort over 8-byte characters to `depth`, which all have: in order, the groups that agree so far."""
     heads = np.frombuffer(b"".join(s[:depth] for s in suffixes), ">u8").reshape(-1, depth // 8).T.astype(np.uint64)
     done, todo = [], [(np.arange(len(suffixes)), 0)]
     while todo:
         own, at = todo.pop()
-        if len(own) < 2:
-            continue
-        if at >= depth:
-            done.append(own.tolist())
+        if len(own) < 2 or at >= depth:
+            if len(own):
+                done.append(own.tolist())
             continue
         keys = heads[at // 8, own]
         pivot = np.partition(keys, len(keys) // 2)[len(keys) // 2]
-        todo += [(own[keys < pivot], at), (own[keys == pivot], at + 8), (own[keys > pivot], at)]
+        todo += [(own[keys > pivot], at), (own[keys == pivot], at + 8), (own[keys < pivot], at)]
     return done
 
 
@@ -157,42 +156,64 @@ class BlindTrie:
         else:
             up[1][byte] = fork
 
-    def nodes(self):
-        """(depth, ids below) of every node with two strings or more, children first."""
-        if self.root is None:
-            return
-        todo, below = [(self.root, False)], {}
+    def ordered(self) -> tuple[list[int], list[int]]:
+        """The ids in order of their strings, and what each has in common with the one before (0 for the first)."""
+        order, common_with_last = [], []
+        todo = [(self.root, 0)] if self.root else []
         while todo:
-            node, ready = todo.pop()
+            node, agreed = todo.pop()
             if node[1] is None:
-                below[id(node)] = node[2]
-            elif not ready:
-                todo.append((node, True))
-                todo += [(c, False) for c in node[1].values()]
-                continue
+                order += node[2]
+                common_with_last += [agreed, *[node[0]] * (len(node[2]) - 1)]
             else:
-                below[id(node)] = [i for c in node[1].values() for i in below.pop(id(c))]
-            if len(below[id(node)]) > 1:
-                yield node[0], below[id(node)]
+                children = sorted(node[1].items())  # an end, -1, comes first
+                todo += [(c, node[0]) for _, c in children[:0:-1]]
+                todo.append((children[0][1], agreed))
+        return order, common_with_last
+
 
+def suffix_order(suffixes: list[bytes], depth: int) -> tuple[list[int], list[int]]:
+    """Deep-shallow sort: (suffixes in order, bytes that each has in common with the one before).
 
-def shared_windows(lefts: list[bytes], rights: list[bytes], window: int, group: list[int]) -> dict[int, list[tuple[int, int]]]:
-    """For each string the ranges of offsets (bytes before the anchor) whose windows it shares.
+    0 stands for less than `depth` bytes in common, where the shallow sort has told them apart.
+    """
+    order, agreed = [], []
+    for group in shallow_groups(suffixes, depth):
+        own, lengths = (group, [0]) if len(group) == 1 else BlindTrie(suffixes, group).ordered()
+        order += own
+        agreed += lengths
+    return order, agreed
+
+
+def intervals(agreed: list[int]):
+    """(depth, first, last + 1) of all runs whose neighbours have `depth` or more in common, the deep ones first."""
+    held: list[list[int]] = []
+    for at, depth in enumerate([*agreed, 0]):
+        first = at - 1
+        while held and held[-1][0] > depth:
+            deep, first = held.pop()
+            yield deep, first, at
+        if depth and (not held or held[-1][0] < depth):
+            held.append([depth, first])
+
+
+def shared_windows(lefts: list[bytes], order: list[int], agreed: list[int], window: int) -> dict[int, list[tuple[int, int]]]:
+    """For each suffix the ranges of offsets (bytes before the anchor) whose windows it shares.
 
     lefts are reversed: they start at the byte before the anchor.
     """
     found: dict[int, list[tuple[int, int]]] = {}
-    for depth, ids in BlindTrie(rights, group).nodes():
+    for depth, first, last in intervals(agreed):
         least = max(0, window - depth)  # offsets that depth bytes to the right suffice for
-        able = [i for i in ids if len(lefts[i]) >= least]
+        able = [i for i in order[first:last] if len(lefts[i]) >= least]
         if len(able) < 2:
             continue
         able.sort(key=lefts.__getitem__)  # neighbours agree the most to the left
-        agreed = [-1, *(common_prefix(lefts[a], lefts[b]) for a, b in zip(able, able[1:], strict=False)), -1]
+        same = [-1, *(common_prefix(lefts[a], lefts[b]) for a, b in zip(able, able[1:], strict=False)), -1]
         for n, i in enumerate(able):
-            most = max(agreed[n], agreed[n + 1])
-            if most >= least and min(most, window) >= least:
-                found.setdefault(i, []).append((least, min(most, window)))
+            most = min(max(same[n], same[n + 1]), window)
+            if most >= least:
+                found.setdefault(i, []).append((least, most))
     return found
 
 
@@ -206,36 +227,19 @@ def _judge(window: int):
     piece = min(SHALLOW, window // 8 * 8) or 8
 
     def judge(places: np.ndarray, strings: list[bytes]):
-        first: dict[bytes, int] = {}
-        owners: list[list] = []
-        distinct: list[bytes] = []
-        for row, s in zip(places.tolist(), strings, strict=True):
-            i = first.setdefault(s, len(distinct))
-            if i == len(distinct):
-                distinct.append(s)
-                owners.append([])
-            owners[i].append(row)
-        offsets = [o[0][5] if o[0][5] >= 0 else -1 - o[0][5] for o in owners]
-        whole = [False] * len(distinct)
-        for i, own in enumerate(owners):
-            if len({tuple(r[:3]) for r in own}) > 1 or min(r[5] for r in own) < 0:
-                whole[i] = True
-                for k, h, start, length, *_ in own:
-                    yield k, h, start, length
-        rights = [s[o:] for s, o in zip(distinct, offsets, strict=True)]
-        for group in shallow_groups(rights, piece):
-            if all(whole[i] for i in group):
-                continue
-            lefts = {i: distinct[i][: offsets[i]][::-1] for i in group}
-            for i, ranges in shared_windows(lefts, rights, window, group).items():
-                if whole[i]:
-                    continue
-                o, size = offsets[i], len(distinct[i])
-                k, h, start, *_ = owners[i][0]
-                for low, high in ranges:
-                    a, b = max(0, o - high), min(size, o - low + window)
-                    if b - a >= window:
-                        yield k, h, start + a, b - a
+        rows = places.tolist()
+        offsets = [r[5] if r[5] >= 0 else -1 - r[5] for r in rows]
+        order, agreed = suffix_order([s[o:] for s, o in zip(strings, offsets, strict=True)], piece)
+        lefts = [s[:o][::-1] for s, o in zip(strings, offsets, strict=True)]
+        for i, ranges in shared_windows(lefts, order, agreed, window).items():
+            _, number, start, size, *_ = rows[i]
+            for low, high in ranges:
+                a, b = max(0, offsets[i] - high), min(size, offsets[i] - low + window)
+                if b - a >= window and rows[i][5] >= 0:
+                    yield number, start + a, b - a
+        for _, number, start, size, _, more in rows:
+            if more < 0:  # the map task has met the whole string again
+                yield number, start, size
 
     return judge
 
@@ -246,11 +250,12 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     Texts are UTF-8 bytes; matches don't cross documents; overlapping places count, in one document
     too. Adds n_bytes, n_removed, n_spans (maximal removed runs) and kept (the bytes left; a cut
     may split a character). Null and empty texts have no bytes. Rows with the same doc_id and text
-    are one document: they don't repeat each other. Null ids are ids. Other columns pass; those
-    with an output's name are replaced.
+    are one document: they don't repeat each other. Null ids are ids. Very long texts are scanned in
+    overlapping parts, with the same result. Other columns pass; those with an output's name are replaced.
     """
-    keyed = exchange.with_keys(docs)
-    spans = exchange.repeats(keyed, _scan(window), _judge(window), 0, _anchored)
+    keyed, ids = exchange.with_keys(docs)
+    parts = lambda text, size: common.byte_parts(text, size, window - 1)
+    spans = exchange.repeats(keyed, ids, _scan(window), _judge(window), 0, parts, _anchored)
 
     def finish(text, starts, ends):
         body, at, kept = (text or "").encode(), 0, []
@@ -259,7 +264,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             at = e
         return len(body), sum(ends) - sum(starts), len(starts), b"".join([*kept, body[at:]])
 
-    return exchange.finish(keyed, spans, finish, {"n_bytes": "bigint", "n_removed": "bigint", "n_spans": "bigint", "kept": "binary"})
+    return exchange.finish(keyed, ids, spans, finish, {"n_bytes": "bigint", "n_removed": "bigint", "n_spans": "bigint", "kept": "binary"})
 
 
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,7 +11,7 @@ import pytest
 from conftest import DATA, same_rows
 from pyspark.sql import functions as F
 
-from glossweave.llm import bpe_codec, components, jaccard_join, language_id, packing, pii, quality_rules, queries, substring_dedup, suffix_dedup, token_counts, topk_search
+from glossweave.llm import bpe_codec, common, components, exchange, jaccard_join, language_id, packing, pii, quality_rules, queries, substring_dedup, suffix_dedup, token_counts, topk_search
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 BYTE_BPE, WORD_BPE = token_counts.vocabulary_path("byte_bpe_50k.json"), token_counts.vocabulary_path("word_bpe_49k.json")
@@ -109,17 +109,67 @@ def test_suffix_dedup(spark, docs):
         assert {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], bytes(r["kept"])) for r in got} == want
 
 
-def test_blind_trie_orders_and_agrees():
+def test_suffix_order_and_common_prefixes():
     r = random.Random(3)
-    strings = [bytes(r.choice(b"ab") for _ in range(r.randint(1, 9))) for _ in range(60)]
-    deepest = collections.defaultdict(int)
-    for depth, ids in suffix_dedup.BlindTrie(strings, list(range(60))).nodes():
-        for i in ids:
-            for j in ids:
-                deepest[i, j] = max(deepest[i, j], depth)
-    for i in range(60):
-        for j in range(i):
-            assert deepest[i, j] == suffix_dedup.common_prefix(strings[i], strings[j]) == len(os.path.commonprefix([strings[i], strings[j]]))
+    strings = [bytes(r.choice(b"ab") for _ in range(r.randint(8, 22))) for _ in range(300)]
+    order, agreed = suffix_dedup.suffix_order(strings, 8)
+    assert [strings[i] for i in order] == sorted(strings) and sorted(order) == list(range(300))
+    for a, b, n in zip(order, order[1:], agreed[1:], strict=False):
+        same = len(os.path.commonprefix([strings[a], strings[b]]))
+        assert n == suffix_dedup.common_prefix(strings[a], strings[b]) == same if same >= 8 else n == 0
+    assert sorted(suffix_dedup.intervals([0, 2, 3, 0, 1])) == [(1, 3, 5), (2, 0, 3), (3, 1, 3)]
+
+
+def same_ids(r):
+    """Texts that share passages, under null and repeated ids."""
+    words = [f"w{i}" for i in range(400)]
+    passage = [r.choice(words) for _ in range(60)]
+    out = []
+    for i in range(40):
+        own = [r.choice(words) for _ in range(r.randint(0, 60))]
+        out.append(((None, 7, i)[i % 3], " ".join(own + (passage[r.randint(0, 20) :] if i % 4 else []))))
+    return [*out, out[5], out[6], (7, None), (None, "")]
+
+
+def test_substring_dedup_with_null_and_repeated_ids(spark):
+    rows = same_ids(random.Random(11))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    # words: places are ordered by id (null first), then start; equal places of two texts don't precede each other
+    first = {}
+    for k, t in rows:
+        w = WORD.findall(t or "")
+        for i in range(len(w) - 19):
+            x = tuple(w[i : i + 20])
+            first[x] = min(first.get(x, (10**9, 0)), (-1 if k is None else k, i))
+    want = collections.Counter()
+    for k, t in rows:
+        w, gone = WORD.findall(t or ""), set()
+        for i in range(len(w) - 19):
+            if first[tuple(w[i : i + 20])] < (-1 if k is None else k, i):
+                gone |= set(range(i, i + 20))
+        want[k, t, len(w), len(gone), " ".join(x for i, x in enumerate(w) if i not in gone)] += 1
+    assert collections.Counter(tuple(x) for x in substring_dedup.remove_repeats(frame).select("doc_id", "text", "n_words", "n_removed", "kept_text").collect()) == want
+    # bytes: rows with one id and text are one document
+    distinct = list(dict.fromkeys((k, t or "") for k, t in rows))
+    brute = brute_bytes([(i, t.encode()) for i, (_, t) in enumerate(distinct)], 200)
+    want = collections.Counter((k, t, *brute[distinct.index((k, t or ""))]) for k, t in rows)
+    got = suffix_dedup.remove_repeats(frame).select("doc_id", "text", "n_bytes", "n_removed", "n_spans", "kept").collect()
+    assert collections.Counter((*x[:5], bytes(x[5])) for x in got) == want
+
+
+def test_long_texts_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(exchange, "BLOCK", 500)
+    r = random.Random(12)
+    rows = [(i, " \n"[r.randint(0, 1)].join(r.choice(["a", "bc", "def", "ghij"]) for _ in range(r.choice([40, 900])))) for i in range(12)]
+    got = substring_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), 6).collect()
+    assert {x["doc_id"]: (x["n_words"], x["n_removed"], x["kept_text"]) for x in got} == brute_words(rows, 6)
+    got = suffix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), 24).collect()
+    assert {x["doc_id"]: (x["n_bytes"], x["n_removed"], x["n_spans"], bytes(x["kept"])) for x in got} == brute_bytes([(k, t.encode()) for k, t in rows], 24)
+    text = b" a bb  c " * 70
+    for parts, join in ((common.word_parts, lambda x: x.split()), (common.byte_parts, lambda x: [bytes([c]) for c in x])):
+        whole = join(text)
+        for before, part in parts(text, 50, 5):
+            assert whole[before : before + len(join(part))] == join(part)
 
 
 def brute_join(docs, width=5, least=0.8):
