@@ -31,11 +31,6 @@ def doc_key() -> Column:
     return F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_KEY))
 
 
-def digest() -> list[Column]:
-    """128 bits that tell texts apart, in two columns d1 and d2; null has bits of its own."""
-    return [F.xxhash64("text").alias("d1"), F.xxhash64(F.lit(1), "text").alias("d2")]
-
-
 def cut(df: DataFrame) -> DataFrame:
     """Ends the lineage in the shared checkpoint folder that spark.checkpoint.dir names.
 
@@ -50,6 +45,22 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def numbered(df: DataFrame, name: str = "_n") -> DataFrame:
+    """The rows with a number of their own, in table order, that stays the same however often they are read.
+
+    Rows of a file or a checkpoint are read in one order, so these are numbered as they are; what comes of
+    a shuffle, or of anything else that may run differently again, is first cut off in the checkpoint folder.
+    """
+    plan, fixed = [df._jdf.queryExecution().optimizedPlan()], True
+    while plan:
+        node = plan.pop()
+        fixed &= node.nodeName() in ("Project", "Filter", "LocalRelation", "LogicalRDD") or node.nodeName().startswith(("Relation", "LogicalRelation"))
+        fixed &= node.nodeName() == "LocalRelation" or node.deterministic()
+        children = node.children()
+        plan += [children.apply(i) for i in range(children.size())]
+    return (df if fixed else cut(df)).withColumn(name, F.monotonically_increasing_id())
+
+
 def partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 

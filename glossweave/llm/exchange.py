@@ -1,7 +1,6 @@
 """The exchange of super-k-mers: packed strings of consecutive windows travel to their minimiser's bucket.
 
-Documents are told apart by id and 128 bits of their text; a table of these gives each a small
-number, which travels with the strings.
+Documents are told apart by their row's number, which travels with the strings.
 
 Shared by both exact substring operators. A map task holds back repeats of a packed string, so a
 passage that a third of all documents share reaches its bucket once for each block of a task; the
@@ -16,9 +15,8 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from . import common
 
@@ -28,20 +26,6 @@ FLUSH = 96 << 20
 BLOCK = 1 << 20
 #: Columns of the places in a message: document id, document number, first unit, units, minimiser, more.
 WIDTH = 6
-#: Documents are numbered in so many classes of their digests.
-CLASSES = 4096
-_KEY = ["_k", "_d1", "_d2"]
-
-
-def with_keys(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(documents as a struct _row with text, _k, _d1, _d2; the numbers of all distinct keys).
-
-    The numbers follow from the keys alone, so tasks that run again give the same.
-    """
-    keyed = docs.select(F.struct("*").alias("_row"), "text", common.doc_key().alias("_k"), *[c.alias(n) for c, n in zip(common.digest(), _KEY[1:], strict=True)])
-    ids = keyed.select(*_KEY).distinct().withColumn("p", F.pmod("_d1", F.lit(CLASSES)))
-    own = F.row_number().over(Window.partitionBy("p").orderBy(*_KEY))
-    return keyed, common.cut(ids.select(*_KEY, (own.cast("long") * CLASSES + F.col("p")).alias("number")))
 
 
 class Outbox:
@@ -97,23 +81,22 @@ def opened(blob: bytes) -> tuple[np.ndarray, list[bytes]]:
     return places, [body[e - s : e] for s, e in zip(sizes.tolist(), ends.tolist(), strict=True)]
 
 
-def repeats(keyed: DataFrame, ids: DataFrame, scan: Callable, judge: Callable, bits: int, parts: Callable, key: Callable | None = None) -> DataFrame:
+def repeats(rows: DataFrame, scan: Callable, judge: Callable, bits: int, parts: Callable, key: Callable | None = None) -> DataFrame:
     """Rows (number, spans) with the spans that repeat, as pairs of 64-bit integers (start, length).
 
+    rows: documents with their numbers (common.numbered), _n.
     scan(rows, texts, outbox) adds a block's super-k-mers to the outbox; a row is (k, number, units before the
     text). judge(places, strings) yields (number, start, length) for a bucket, given its places and strings.
     parts cuts long texts. key(places, strings) gives what strings with one anchor have in common; the
     minimiser's `bits` low bits otherwise. A bucket has the minimisers of one hash class; there are 16 for
     each shuffle partition, so raise spark.sql.shuffle.partitions with the input to keep buckets small.
     """
-    buckets = 16 * common.partitions(keyed)
+    buckets = 16 * common.partitions(rows)
 
     def send(batches):
         out = Outbox(buckets, bits)
-        chosen = (pa.RecordBatch.from_arrays([b.column(b.schema.get_field_index(n)) for n in ("_k", "number", "text")], ["k", "number", "text"]) for b in batches)
-        texts_as_bytes = (b.set_column(2, "text", b.column(2).cast(pa.binary())) for b in chosen)
-        for rows, texts in common.blocks(texts_as_bytes, BLOCK, parts):
-            scan(rows, texts, out)
+        for block, texts in common.blocks(batches, BLOCK, parts):
+            scan(block, texts, out)
             if out.held >= FLUSH:
                 yield from out.messages()
         yield from out.messages()
@@ -135,33 +118,20 @@ def repeats(keyed: DataFrame, ids: DataFrame, scan: Callable, judge: Callable, b
             found[number].append((start, length))
         return pa.table({"number": pa.array(list(found), pa.int64()), "spans": pa.array([np.array(x, np.int64).tobytes() for x in found.values()], pa.binary())})
 
-    # all columns go along, so that this exchange of the texts is the one that finish() needs
-    sent = keyed.join(ids, _KEY).mapInArrow(send, "bucket int, blob binary")
+    sent = rows.select(common.doc_key().alias("k"), "_n", F.col("text").cast("binary").alias("text")).mapInArrow(send, "bucket int, blob binary")
     return sent.groupBy("bucket").applyInArrow(receive, "number bigint, spans binary")
 
 
-def finish(keyed: DataFrame, ids: DataFrame, spans: DataFrame, fn: Callable, outputs: dict[str, str]) -> DataFrame:
-    """The documents with what fn(text, starts, ends) gives for each; spans sorted and merged.
+def finish(rows: DataFrame, spans: DataFrame, fn: Callable, outputs: dict[str, str]) -> DataFrame:
+    """The documents with what fn(text, starts, ends) gives for each; spans sorted and merged."""
+    each = spans.groupBy(F.col("number").alias("_n")).agg(F.collect_list("spans").alias("_spans"))
 
-    Columns of the documents with an output's name, in any case, are replaced.
-    """
-    each = spans.groupBy("number").agg(F.collect_list("spans").alias("_spans")).join(ids, "number").drop("number")
-    joined = keyed.join(each, _KEY, "left")
-    names = joined.schema["_row"].dataType.fieldNames()
-    lowered = {n.lower() for n in outputs}
-    kept = [n for n in names if n.lower() not in lowered]
-    inner = joined.select("_row", "text", "_spans")
-
-    def run(batches):
-        for batch in batches:
-            texts = batch.column(1).to_pylist()
-            got = [fn(t, *merged(s)) for t, s in zip(texts, batch.column(2).to_pylist(), strict=True)]
-            columns = zip(*got, strict=True) if got else [[]] * len(outputs)
-            made = [pa.array(c, _ARROW[kind]) for c, kind in zip(columns, outputs.values(), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *made], ["_row", *outputs])
-
-    out = inner.mapInArrow(run, T.StructType([inner.schema["_row"], *[T.StructField(n, T._parse_datatype_string(k)) for n, k in outputs.items()]]))
-    return out.select(*[F.col(f"_row.`{n}`") for n in kept], *outputs)
+    def run(own, lists):
+        texts = common.field(own, "text").to_pylist()
+        got = [fn(t, *merged(s)) for t, s in zip(texts, lists.to_pylist(), strict=True)]
+        return [pa.array(c, _ARROW[kind]) for c, kind in zip(zip(*got, strict=True) if got else [[]] * len(outputs), outputs.values(), strict=True)]
+
+    return common.attach(rows.join(each, "_n", "left").drop("_n"), run, outputs, ("_spans",))
 
 
 _ARROW = {"bigint": pa.int64(), "string": pa.string(), "binary": pa.binary()}

@@ -54,24 +54,17 @@ def _scan(window: int):
             for i, (left, right, m) in enumerate(zip(lefts, rights, mins, strict=True)):
                 add(out, packed[left:right], k, number, before + cuts[i] - a, cuts[i + 1] - cuts[i] + window - 1, m)
 
-    def add(out: exchange.Outbox, string: bytes, k: int, number: int, start: int, length: int, m: int) -> None:
-        old = out.seen.get(string)
-        if old is None:
-            out.seen[string] = len(out.places)
-        else:
-            k0, number0, start0 = out.places[old][:3]
-            if (k, start) > (k0, start0):
-                out.places.append((k, number, start, length, -1, 0))
-                out.strings.append(b"")
-                return
-            if (k, start) < (k0, start0):
-                out.places[old] = (k, number, start, length, m, 0)
-                out.places.append((k0, number0, start0, length, -1, 0))
-                out.strings.append(b"")
-                return
-            if number == number0:  # a repeated row
-                return
-        out.places.append((k, number, start, length, m, 0))
+    def add(out: exchange.Outbox, string: bytes, *place: int) -> None:
+        # place: k, number, start, length, minimiser; places are ordered by the first three
+        old = out.seen.setdefault(string, len(out.places))
+        if old < len(out.places):
+            first = out.places[old]
+            if place[:3] < first[:3]:
+                out.places[old], place = (*place, 0), first[:5]
+            out.places.append((*place[:4], -1, 0))
+            out.strings.append(b"")
+            return
+        out.places.append((*place, 0))
         out.strings.append(string)
         out.held += len(string) + 160
 
@@ -93,29 +86,28 @@ def _judge(window: int):
 
     def one(rows: list, strings: list[bytes]):
         least: dict[bytes, tuple] = {}
-        for (k, _, start, *_), s in zip(rows, strings, strict=True):
-            if s not in least or (k, start) < least[s]:
-                least[s] = (k, start)
+        for row, s in zip(rows, strings, strict=True):
+            if s not in least or tuple(row[:3]) < least[s]:
+                least[s] = tuple(row[:3])
         keep = []
         for row, s in zip(rows, strings, strict=True):
-            if (row[0], row[2]) > least[s]:
+            if tuple(row[:3]) > least[s]:
                 yield row[1], row[2], row[3]
             else:
                 keep.append((row, s))
         if len(least) == 1:
             return
         windows = []
-        for j, ((k, _, start, length, *_), s) in enumerate(keep):
+        for j, ((k, number, start, length, *_), s) in enumerate(keep):
             at = [-1, *_spaces(s), len(s)]
-            windows += [(s[at[t] + 1 : at[t + window]], k, start + t, j, t) for t in range(length - window + 1)]
-        windows.sort()
+            windows += [(s[at[t] + 1 : at[t + window]], k, number, start + t, j, t) for t in range(length - window + 1)]
+        windows.sort()  # the first of each word sequence leads
         gone: dict[int, list[int]] = {}
-        leader = (None, None, None)
-        for w, k, start, j, t in windows:
-            if w != leader[0]:
-                leader = (w, k, start)
-            elif (k, start) > leader[1:]:
+        leader = None
+        for w, _, _, _, j, t in windows:
+            if w == leader:
                 gone.setdefault(j, []).append(t)
+            leader = w
         for j, ts in gone.items():
             (_, number, start, *_), _ = keep[j]
             ts.sort()
@@ -135,16 +127,15 @@ def _spaces(s: bytes) -> list[int]:
 def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """Documents without the words that a window repeats from an earlier place.
 
-    A window is `window` consecutive words ([^\\x20\\x09-\\x0D]+) of one document; places are
-    ordered by doc_id, then start. Adds n_words, n_removed and kept_text (kept words, joined by
-    one space). Null and empty texts have no words and kept_text ''. A null doc_id sorts first.
-    Rows with the same doc_id and text are one document and get the same result; with different
-    texts, equal places don't precede each other. Very long texts are scanned in overlapping parts, with
-    the same result. Other columns pass; those with an output's name are replaced.
+    A window is `window` consecutive words ([^\\x20\\x09-\\x0D]+) of one document, which is one row; places
+    are ordered by doc_id (null first), then row, then start: of rows with one doc_id, repeated rows too,
+    the first in table order stays. Adds n_words, n_removed and kept_text (kept words, joined by one
+    space). Null and empty texts have no words and kept_text ''. Very long texts are scanned in
+    overlapping parts, with the same result. Other columns pass; those with an output's name are replaced.
     """
-    keyed, ids = exchange.with_keys(docs)
+    rows = common.numbered(docs)
     parts = lambda text, size: common.word_parts(text, size, window - 1)
-    spans = exchange.repeats(keyed, ids, _scan(window), _judge(window), 18, parts)
+    spans = exchange.repeats(rows, _scan(window), _judge(window), 18, parts)
 
     def finish(text, starts, ends):
         words = (text or "").encode().translate(_TO_SPACE).split(b" ") if text else []
@@ -156,7 +147,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         removed = sum(ends) - sum(starts)
         return len(words), removed, b" ".join(kept + words[at:]).decode()
 
-    return exchange.finish(keyed, ids, spans, finish, {"n_words": "bigint", "n_removed": "bigint", "kept_text": "string"})
+    return exchange.finish(rows, spans, finish, {"n_words": "bigint", "n_removed": "bigint", "kept_text": "string"})
 
 
 _TO_SPACE = bytes(32 if c in common.SEPARATORS else c for c in range(256))

@@ -249,13 +249,13 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
     Texts are UTF-8 bytes; matches don't cross documents; overlapping places count, in one document
     too. Adds n_bytes, n_removed, n_spans (maximal removed runs) and kept (the bytes left; a cut
-    may split a character). Null and empty texts have no bytes. Rows with the same doc_id and text
-    are one document: they don't repeat each other. Null ids are ids. Very long texts are scanned in
-    overlapping parts, with the same result. Other columns pass; those with an output's name are replaced.
+    may split a character). Null and empty texts have no bytes. Each row is a document, whatever its id, so
+    repeated rows repeat each other. Very long texts are scanned in overlapping parts, with the same
+    result. Other columns pass; those with an output's name are replaced.
     """
-    keyed, ids = exchange.with_keys(docs)
+    rows = common.numbered(docs)
     parts = lambda text, size: common.byte_parts(text, size, window - 1)
-    spans = exchange.repeats(keyed, ids, _scan(window), _judge(window), 0, parts, _anchored)
+    spans = exchange.repeats(rows, _scan(window), _judge(window), 0, parts, _anchored)
 
     def finish(text, starts, ends):
         body, at, kept = (text or "").encode(), 0, []
@@ -264,7 +264,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             at = e
         return len(body), sum(ends) - sum(starts), len(starts), b"".join([*kept, body[at:]])
 
-    return exchange.finish(keyed, ids, spans, finish, {"n_bytes": "bigint", "n_removed": "bigint", "n_spans": "bigint", "kept": "binary"})
+    return exchange.finish(rows, spans, finish, {"n_bytes": "bigint", "n_removed": "bigint", "n_spans": "bigint", "kept": "binary"})
 
 
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

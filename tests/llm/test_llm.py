@@ -134,25 +134,16 @@ def same_ids(r):
 def test_substring_dedup_with_null_and_repeated_ids(spark):
     rows = same_ids(random.Random(11))
     frame = spark.createDataFrame(rows, "doc_id long, text string")
-    # words: places are ordered by id (null first), then start; equal places of two texts don't precede each other
-    first = {}
-    for k, t in rows:
-        w = WORD.findall(t or "")
-        for i in range(len(w) - 19):
-            x = tuple(w[i : i + 20])
-            first[x] = min(first.get(x, (10**9, 0)), (-1 if k is None else k, i))
-    want = collections.Counter()
-    for k, t in rows:
-        w, gone = WORD.findall(t or ""), set()
-        for i in range(len(w) - 19):
-            if first[tuple(w[i : i + 20])] < (-1 if k is None else k, i):
-                gone |= set(range(i, i + 20))
-        want[k, t, len(w), len(gone), " ".join(x for i, x in enumerate(w) if i not in gone)] += 1
-    assert collections.Counter(tuple(x) for x in substring_dedup.remove_repeats(frame).select("doc_id", "text", "n_words", "n_removed", "kept_text").collect()) == want
-    # bytes: rows with one id and text are one document
-    distinct = list(dict.fromkeys((k, t or "") for k, t in rows))
-    brute = brute_bytes([(i, t.encode()) for i, (_, t) in enumerate(distinct)], 200)
-    want = collections.Counter((k, t, *brute[distinct.index((k, t or ""))]) for k, t in rows)
+    # words: places are ordered by id (null first), then row, then start
+    order = sorted(range(len(rows)), key=lambda i: (rows[i][0] is not None, rows[i][0] or 0, i))
+    brute = brute_words([(n, rows[i][1] or "") for n, i in enumerate(order)], 20)
+    want = collections.Counter((*rows[i], *brute[n]) for n, i in enumerate(order))
+    for table in (frame, frame.repartition(3).sort("doc_id")):  # what is shuffled is cut off first
+        got = substring_dedup.remove_repeats(table).select("doc_id", "text", "n_words", "n_removed", "kept_text").collect()
+        assert table is not frame or collections.Counter(map(tuple, got)) == want
+        assert sum(x["n_removed"] for x in got) == sum(x[1] for x in brute.values())
+    brute = brute_bytes([(i, (t or "").encode()) for i, (_, t) in enumerate(rows)], 200)
+    want = collections.Counter((*row, *brute[i]) for i, row in enumerate(rows))
     got = suffix_dedup.remove_repeats(frame).select("doc_id", "text", "n_bytes", "n_removed", "n_spans", "kept").collect()
     assert collections.Counter((*x[:5], bytes(x[5])) for x in got) == want
 
