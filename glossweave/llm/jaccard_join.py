@@ -3,8 +3,10 @@
 A run splits the sets recursively: a path is a list of shingles, and a set takes from a path the
 steps that its own shingles sample. All of a document's paths follow from hashes and its own set, so
 they are found in the map task, to the depth at which buckets of unrelated documents are small.
-Documents that share a path become candidates; each group of candidates is compared by brute
-force, in blocks. Runs repeat until a pair at the threshold is found with the target recall.
+Documents that share a path are a bucket. Near copies share many buckets, so that no pair is compared
+twice, each document lies in one block of its least bucket, and two blocks (or a block and itself)
+are compared by brute force, once, if any bucket has members in both. Runs repeat until a pair at the
+threshold is found with the target recall.
 """
 
 from __future__ import annotations
@@ -21,8 +23,10 @@ from . import common
 from .components import components
 
 WORDS, THRESHOLD, RECALL = 5, 0.8, 0.9999
-#: Documents in a block of a large candidate group; pairs of blocks are compared apart.
-GROUP = 512
+#: Documents, and shingles, of a block at most (about; one document may have more shingles).
+GROUP, SHINGLES = 512, 1 << 21
+#: Bytes of a text that are scanned at once.
+PART = 1 << 20
 _RADIX = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -43,30 +47,43 @@ def plan(n: int, threshold: float, recall: float) -> tuple[float, int, int]:
     return rate, depth, math.ceil(math.log(1 - recall) / math.log(lost))
 
 
+def _grams(words: common.Words, width: int) -> np.ndarray:
+    grams = np.zeros(max(0, len(words.start) - width + 1), np.uint64)
+    for j in range(width):
+        grams = grams * _RADIX + words.hash[j : j + len(grams)]
+    return common.mix(grams)
+
+
+def _long(text: bytes, width: int) -> tuple[np.ndarray, str]:
+    """The shingles and the print of one long text, part by part."""
+    digest, found, last = hashlib.sha256(), [], 0
+    for before, part in common.word_parts(text, PART, width - 1):
+        found.append(np.unique(_grams(common.Words([part]), width)))
+        own = part.split()
+        new = own[last - before :] if last > before else own
+        digest.update((b" " if last and new else b"") + b" ".join(new))
+        last = before + len(own)
+    own, name = np.unique(np.concatenate(found)), digest.hexdigest()[:32]
+    return (np.array([int(name[:16], 16)], np.uint64) if 0 < last < width else own), name
+
+
 def shingle_sets(texts: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray, list[str]]:
     """The sorted distinct 64-bit shingles of all texts, the first one's place for each, and a print of its words.
 
     A text with fewer words than `width` has one shingle, all its words; one without words none.
     """
-    words = common.Words(texts)
-    first, prints, docs, values = words.first, [], [], []
-    n = len(words.start)
-    grams = np.zeros(max(0, n - width + 1), np.uint64)
-    for j in range(width):
-        grams = grams * _RADIX + words.hash[j : j + len(grams)]
-    grams = common.mix(grams)
-    for d in range(len(texts)):
+    words = common.Words([b"" if len(t) > PART else t for t in texts])
+    grams, first, prints, values = _grams(words, width), words.first, [], []
+    for d, text in enumerate(texts):
         a, b = int(first[d]), int(first[d + 1])
-        packed = words.packed[words.start[a] : words.end[b - 1]] if b > a else b""
-        prints.append(hashlib.sha256(packed).hexdigest()[:32])
-        if b > a:
-            own = grams[a : b - width + 1] if b - a >= width else np.array([int(prints[-1][:16], 16)], np.uint64)
-            own = np.unique(own)
-            values.append(own)
-            docs.append((d, len(own)))
-    sizes = np.zeros(len(texts), np.int64)
-    for d, size in docs:
-        sizes[d] = size
+        if len(text) > PART:
+            own, name = _long(text, width)
+        else:
+            name = hashlib.sha256(words.packed[words.start[a] : words.end[b - 1]] if b > a else b"").hexdigest()[:32]
+            own = np.unique(grams[a : b - width + 1]) if b - a >= width else np.array([int(name[:16], 16)] * (b > a), np.uint64)
+        prints.append(name)
+        values.append(own)
+    sizes = np.fromiter(map(len, values), np.int64, len(texts))
     return (np.concatenate(values) if values else np.zeros(0, np.uint64)), np.concatenate([[0], np.cumsum(sizes)]), prints
 
 
@@ -103,20 +120,20 @@ def paths(values: np.ndarray, place: np.ndarray, rate: float, depth: int, runs:
 
 
 def text_key() -> Column:
-    """64 bits of the text, which with the id find a row's text where ids are null or repeated."""
-    return F.xxhash64("text")
+    """128 bits of the text, which with the id find a row's text where ids are null or repeated."""
+    return F.unhex(F.md5(F.coalesce("text", F.lit("")).cast("binary")))
 
 
 def _signatures(docs: DataFrame, width: int, rate: float, depth: int, runs: int) -> DataFrame:
     def run(batches):
-        for rows, texts in common.blocks(batches, 1 << 20):
+        for rows, texts in common.blocks(batches, PART):
             values, place, prints = shingle_sets(texts, width)
             owner, path = paths(values, place, rate, depth, runs)
             cuts = np.searchsorted(owner, np.arange(len(texts) + 1))
             lists = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(path.view(np.int64)))
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()), pa.array(prints), pa.array(np.diff(place), pa.int64()), lists], ["k", "h", "print", "size", "paths"])
+            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary()), pa.array(prints), pa.array(np.diff(place), pa.int64()), lists], ["k", "h", "print", "size", "paths"])
 
-    return docs.mapInArrow(run, "k bigint, h bigint, print string, size bigint, paths array<bigint>")
+    return docs.mapInArrow(run, "k bigint, h binary, print string, size bigint, paths array<bigint>")
 
 
 def compare(values: np.ndarray, place: np.ndarray, threshold: float, left: int | None = None):
@@ -144,14 +161,12 @@ def compare(values: np.ndarray, place: np.ndarray, threshold: float, left: int |
 
 
 def _verify(width: int, threshold: float):
-    """Compares a candidate group, or a pair of blocks of a large one; rows sorted by (group, x, y)."""
+    """Compares a block with itself, or with another one; rows (block, other block, side, id, text) sorted by the first two."""
 
     def judge(rows: list) -> list:
-        side = [r[4] for r in rows]
-        order = sorted(range(len(rows)), key=lambda i: (side[i], rows[i][3]))
-        ids = [rows[i][3] for i in order]
-        values, place, _ = shingle_sets([rows[i][5] for i in order], width)
-        left = side.count(0)
+        rows = sorted(rows, key=lambda r: r[2:4])
+        ids, left = [r[3] for r in rows], sum(r[2] == 0 for r in rows)
+        values, place, _ = shingle_sets([r[4] for r in rows], width)
         i, j = compare(values, place, threshold, left if left < len(rows) else None)
         links = np.bincount(np.concatenate([i, j]), minlength=len(ids))
         up = list(range(len(ids)))  # union-find, so that links that leave are a forest
@@ -176,58 +191,81 @@ def _verify(width: int, threshold: float):
             return pa.RecordBatch.from_arrays([pa.array([g[n] for g in got], pa.int64()) for n in range(3)], ["id", "links", "other"])
 
         for batch in batches:
-            for row in zip(*batch.to_pydict().values(), strict=True):
-                if row[:3] != last and held:
+            for x, y, *row in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                if last is not None and (x != last[0] or y != last[1]):
                     yield out(held)
                     held = []
-                last = row[:3]
-                held.append(row)
+                last = (x, y)
+                held.append((x, y, *row))
         if held:
             yield out(held)
 
     return run
 
 
-def join(docs: DataFrame, width: int = WORDS, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
-    """One row (k, h, class_id, class_h, n_links, n_copies) for each document; k is doc_id, h the text's hash.
+def _dealt(members: DataFrame, sizes: DataFrame) -> DataFrame:
+    """(x, y, side, id): the documents of the blocks x and y that some bucket joins; side 1 is of y.
 
-    Texts are sets of `width`-word shingles (all words, if fewer). class_id: the least doc_id of those
-    that links, or equal word sequences, connect; class_h: the hash of one text of that id, so that
-    (class_id, class_h) tells classes apart where ids are null or repeated. n_links: how many other word sequences have a
-    Jaccard similarity of at least threshold. n_copies: rows with the same words, this one too.
-    Rows without words stand alone, with no link. Null ids count as the least long.
+    members: (id, path) of buckets with two members or more; sizes: (id, size) of all sets.
+    """
+    homes = members.groupBy("id").agg(F.min("path").alias("home")).join(sizes, "id")
+    blocks = homes.groupBy("home").agg(F.ceil(F.greatest(F.count("*") / GROUP, F.sum("size") / SHINGLES)).alias("n"))
+    block = F.struct("home", F.pmod(F.xxhash64("id"), F.col("n")).alias("part"))
+    placed = common.cut(homes.join(blocks, "home").select("id", block.alias("block")))
+    met = members.join(placed, "id").groupBy("path", "block").agg(F.count("*").alias("n"))
+    pairs = met.select("path", F.col("block").alias("x"), "n").join(met.select("path", F.col("block").alias("y")), "path")
+    pairs = pairs.where("x < y OR x = y AND n > 1").select("x", "y").distinct()
+    left = pairs.join(placed.withColumnRenamed("block", "x"), "x").select("x", "y", F.lit(0).alias("side"), "id")
+    right = pairs.where("x <> y").join(placed.withColumnRenamed("block", "y"), "y").select("x", "y", F.lit(1).alias("side"), "id")
+    return left.union(right)
+
+
+def join(docs: DataFrame, width: int = WORDS, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
+    """One row (k, h, class_id, first, n_links, n_copies) for each document; k is doc_id, h the text's digest.
+
+    Texts are sets of `width`-word shingles (all words, if fewer). class_id: a number of the class, which is
+    all rows that links, or equal word sequences, connect; ids have no say in it, so null and repeated ids are
+    as good as others. first: whether the row has the least (k, h) of its class. n_links: how many other
+    word sequences have a Jaccard similarity of at least threshold. n_copies: rows with the same words, this one
+    too. Rows without words (null and empty texts, too) are classes of their own, with no link. Null
+    ids count as the least long. Very long texts are scanned in parts, with the same result.
     """
     keyed = docs.select(common.doc_key().alias("k"), text_key().alias("h"), F.col("text").cast("binary").alias("text"))
     rate, depth, runs = plan(keyed.count(), threshold, recall)
     signed = common.cut(_signatures(keyed, width, rate, depth, runs))
     # equal word sequences are one class from here on; one of its texts stands for it. The numbers
     # of classes are drawn once: what follows reads them from the checkpoint
-    classes = signed.where("size > 0").groupBy("print").agg(F.min(F.struct("k", "h")).alias("rep"), F.count("*").alias("n_copies"))
+    classes = signed.where("size > 0").groupBy("print").agg(F.min(F.struct("k", "h")).alias("rep"), F.count("*").alias("n_copies"), F.max("size").alias("size"))
     classes = common.cut(classes.withColumn("id", F.monotonically_increasing_id()))
-    chosen = signed.join(classes, "print").where("k = rep.k AND h = rep.h")
-    steps = chosen.select("id", F.explode("paths").alias("path"))
-    least = steps.groupBy("path").agg(F.min("id").alias("m"), F.max("id").alias("top")).where("m <> top").drop("top")
-    met = steps.join(least, "path").where("id <> m").select(F.col("id").alias("a"), F.col("m").alias("b"))
-    candidates = common.cut(components(met))
-    # members of a large group of candidates meet in pairs of blocks
-    sizes = candidates.groupBy("root").agg(F.ceil(F.count("*") / GROUP).cast("int").alias("blocks"))
-    placed = candidates.join(sizes, "root").withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    placed = placed.select("root", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "id", (F.col("own") > F.col("other")).cast("int").alias("side"))
-    where = classes.join(candidates, "id", "left_semi").select("id", F.col("rep.k").alias("k"), F.col("rep.h").alias("h"))
+    chosen = signed.drop("size").join(classes, "print").where("k = rep.k AND h = rep.h")
+    steps = chosen.select("id", F.explode(F.array_distinct("paths")).alias("path"))
+    shared = steps.groupBy("path").agg(F.min("id").alias("low"), F.max("id").alias("top")).where("low <> top").select("path")
+    members = common.cut(steps.join(shared, "path").distinct())
+    dealt = _dealt(members, classes.select("id", "size"))
+    where = classes.join(members.select("id").distinct(), "id", "left_semi").select("id", F.col("rep.k").alias("k"), F.col("rep.h").alias("h"))
     texts = keyed.join(where, ["k", "h"]).dropDuplicates(["id"]).select("id", "text")
-    dealt = placed.join(texts, "id").select("root", "x", "y", "id", "side", "text")
-    dealt = dealt.repartition(common.partitions(docs), "root", "x", "y").sortWithinPartitions("root", "x", "y")
+    dealt = dealt.join(texts, "id").select("x", "y", "side", "id", "text")
+    dealt = dealt.repartition(common.partitions(docs), "x", "y").sortWithinPartitions("x", "y")
     found = common.cut(dealt.mapInArrow(_verify(width, threshold), "id bigint, links bigint, other bigint"))
     links = found.groupBy("id").agg(F.sum("links").alias("n_links"))
     roots = components(found.select(F.col("id").alias("a"), F.col("other").alias("b")))
-    graded = classes.join(links, "id", "left").join(roots, "id", "left")
-    graded = graded.select("print", "n_copies", "rep.k", "rep.h", "n_links", F.coalesce("root", "id").alias("root"))
-    heads = graded.groupBy("root").agg(F.min(F.struct("k", "h")).alias("head"))
-    graded = graded.join(heads, "root").select("print", F.col("head.k").alias("class_id"), F.col("head.h").alias("class_h"), "n_links", "n_copies")
-    out = signed.select("k", "h", "print").join(graded, "print", "left")
-    own = [F.coalesce("class_id", "k").alias("class_id"), F.coalesce("class_h", "h").alias("class_h")]
-    return out.select("k", "h", *own, F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("n_copies", F.lit(1)).alias("n_copies"))
+    graded = classes.join(links, "id", "left").join(roots, "id", "left").withColumn("class_id", F.coalesce("root", "id"))
+    heads = graded.groupBy("class_id").agg(F.min("rep").alias("head"))
+    graded = graded.join(heads, "class_id").select("print", "class_id", "head", "n_links", "n_copies")
+    alone = -1 - F.monotonically_increasing_id()  # signed is read from its checkpoint, in one order
+    out = signed.select("k", "h", F.when(F.col("size") > 0, F.col("print")).alias("print"), alone.alias("alone")).join(graded, "print", "left")
+    return out.select("k", "h", F.coalesce("class_id", "alone").alias("class_id"), F.coalesce(F.struct("k", "h") == F.col("head"), F.lit(True)).alias("first"), F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("n_copies", F.lit(1)).alias("n_copies"))
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """One row of each class of near duplicates: of the least doc_id, and of its texts that of the least digest.
+
+    Ids may be null or repeated; rows without words all stay. Columns stay as they are.
+    """
+    first = join(docs).where("first").select(F.col("k").alias("_k"), F.col("h").alias("_h"))
+    wordless = F.coalesce(F.translate("text", common.SEPARATORS.decode(), "") == "", F.lit(True))
+    keyed = docs.withColumns({"_k": common.doc_key(), "_h": text_key(), "_alone": F.when(wordless, F.monotonically_increasing_id())})
+    return keyed.join(first, ["_k", "_h"], "left_semi").dropDuplicates(["_k", "_h", "_alone"]).drop("_k", "_h", "_alone")
 
 
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -197,8 +197,36 @@ def test_jaccard_join(spark, monkeypatch):
             w[r.randrange(len(w))] = "x"
         rows.append((i, " ".join(w)))
     monkeypatch.setattr(jaccard_join, "GROUP", 8)  # so that blocks meet in pairs
-    got = jaccard_join.join(spark.createDataFrame(rows, "doc_id long, text string")).collect()
-    assert {r["k"]: (r["class_id"], r["n_links"]) for r in got} == brute_join(rows)
+    for most in (jaccard_join.SHINGLES, 100):
+        monkeypatch.setattr(jaccard_join, "SHINGLES", most)
+        got = jaccard_join.join(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+        least = {}
+        for x in got:
+            least[x["class_id"]] = min(least.get(x["class_id"], x["k"]), x["k"])
+        assert {x["k"]: (least[x["class_id"]], x["n_links"]) for x in got} == brute_join(rows)
+        assert {x["k"] for x in got if x["first"]} == set(least.values())
+
+
+def test_jaccard_join_of_long_texts_and_odd_ids(spark, monkeypatch):
+    r = random.Random(14)
+    long = [f"w{r.randint(0, 99)}" for _ in range(700)]
+    rows = [(None, " ".join(long)), (None, "\n".join(long)), (4, " ".join([*long[:695], "x"])), (4, "a b c"), (None, "a  b c"), (4, "a b d"), (None, None), (None, ""), (5, " ")]
+    want = [{0, 1, 2}, {3, 4}, {5}, {6}, {7}, {8}]
+    names = {(k, t): i for i, (k, t) in enumerate(rows)}
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    digests = {(x["doc_id"], bytes(x["h"])): names[x["doc_id"], x["text"]] for x in frame.select("doc_id", "text", jaccard_join.text_key().alias("h")).collect() if x["text"]}
+    short = jaccard_join.shingle_sets([t.encode() for _, t in rows if t], 5)
+    monkeypatch.setattr(jaccard_join, "PART", 300)
+    parts = jaccard_join.shingle_sets([t.encode() for _, t in rows if t], 5)
+    assert all(np.array_equal(a, b) for a, b in zip(short, parts, strict=True))
+    classes = collections.defaultdict(set)
+    for x in jaccard_join.join(frame).collect():
+        if x["class_id"] >= 0:
+            classes[x["class_id"]].add(digests[None if x["k"] == common.NULL_KEY else x["k"], bytes(x["h"])])
+        else:
+            classes[x["class_id"]].add(None)
+    assert sorted(c for c in map(sorted, (c for c in classes.values() if None not in c))) == [sorted(c) for c in want[:3]]
+    assert sum(c == {None} for c in classes.values()) == 3
 
 
 def test_paths_find_a_set_within_another():
