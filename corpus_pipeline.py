@@ -24,15 +24,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates one row stays: of the least id, and where it has several texts, of one of them.
-
-    Ids may be null or repeated: texts that nothing links all stay, and so do rows without words.
-    """
-    graded = jaccard_join.join(docs)
-    first = graded.where("k = class_id AND h = class_h").select("k", "h")
-    wordless = F.coalesce(F.translate("text", common.SEPARATORS.decode(), "") == "", F.lit(True))
-    keyed = docs.withColumns({"k": common.doc_key(), "h": jaccard_join.text_key(), "alone": F.when(wordless, F.monotonically_increasing_id())})
-    return keyed.join(first, ["k", "h"], "left_semi").dropDuplicates(["k", "h", "alone"]).select(*COLUMNS)
+    """Of each group of near duplicates one row stays; ids may be null or repeated."""
+    return jaccard_join.one_of_each(docs).select(*COLUMNS)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
