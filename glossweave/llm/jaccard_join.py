@@ -24,7 +24,7 @@ from .components import components
 
 WORDS, THRESHOLD, RECALL = 5, 0.8, 0.9999
 #: Documents, and shingles, of a block at most (about; one document may have more shingles).
-GROUP, SHINGLES = 512, 1 << 21
+GROUP, SHINGLES = 2048, 1 << 21
 #: Bytes of a text that are scanned at once.
 PART = 1 << 20
 _RADIX = np.uint64(0xD6E8FEB86659FD93)
@@ -137,27 +137,41 @@ def _signatures(docs: DataFrame, width: int, rate: float, depth: int, runs: int)
 
 
 def compare(values: np.ndarray, place: np.ndarray, threshold: float, left: int | None = None):
-    """Index pairs of sets with Jaccard of at least threshold; with left, only of the first `left` with the rest."""
+    """Index pairs of sets with Jaccard of at least threshold; with left, only of the first `left` with the rest.
+
+    Shingles that many sets have are columns of a matrix, whose product counts them; of the others
+    the pairs of sets are counted one by one.
+    """
     n, sizes = len(place) - 1, np.diff(place)
     owner = np.repeat(np.arange(n), sizes)
-    _, column, often = np.unique(values, return_inverse=True, return_counts=True)
-    shared = often[column] > 1
-    owner, column = owner[shared], np.unique(column[shared], return_inverse=True)[1]
-    order = np.argsort(column, kind="stable")
-    owner, column = owner[order], column[order]
-    both = np.zeros((left or n, n - (left or 0)), np.float32)
-    width, total = 4096, int(column[-1]) + 1 if len(column) else 0
-    for c in range(0, total, width):  # counts up to 2**24 are exact
-        a, b = np.searchsorted(column, [c, c + width])
-        hit = np.zeros((n, min(width, total - c)), np.float32)
-        hit[owner[a:b], column[a:b] - c] = 1
-        both += hit[: left or n] @ hit[left or 0 :].T
-    lsize, rsize = sizes[: left or n, None], sizes[None, left or 0 :]
-    ok = both >= threshold * (lsize + rsize - both) - 1e-9
+    order = np.argsort(values, kind="stable")
+    owner = owner[order]
+    first = np.flatnonzero(np.diff(values[order], prepend=values[order][:1] ^ np.uint64(1)))
+    often = np.diff(first, append=len(owner))
+    top, base = left or n, left or 0
+    both = np.zeros((top, n - base), np.float32)  # counts up to 2**24 are exact
+    few, width, met = 16, 4096, [np.zeros(0, np.int64)]
+    for k in range(2, few + 1):
+        runs = first[often == k]
+        for i in range(k if len(runs) else 0):
+            for j in range(i + 1, k):  # owners of one shingle ascend
+                a, b = owner[runs + i], owner[runs + j]
+                ok = (a < top) & (b >= base)
+                met.append(a[ok] * (n - base) + b[ok] - base)
+    met = np.sort(np.concatenate(met))
+    at = np.flatnonzero(np.diff(met, prepend=-1))
+    both.flat[met[at]] = np.diff(at, append=len(met))
+    many = np.flatnonzero(often > few)
+    for c in range(0, len(many), width):
+        own, hit = many[c : c + width], np.zeros((n, min(width, len(many) - c)), np.float32)
+        column = np.repeat(np.arange(len(own)), often[own])
+        hit[owner[np.repeat(first[own], often[own]) + np.arange(len(column)) - np.repeat(np.cumsum(often[own]) - often[own], often[own])], column] = 1
+        both += hit[:top] @ hit[base:].T
+    ok = both >= threshold * (sizes[:top, None] + sizes[None, base:] - both) - 1e-9
     if left is None:
         ok = np.triu(ok, 1)
     i, j = np.nonzero(ok)
-    return i, j + (left or 0)
+    return i, j + base
 
 
 def _verify(width: int, threshold: float):
@@ -236,7 +250,7 @@ def join(docs: DataFrame, width: int = WORDS, threshold: float = THRESHOLD, reca
     # equal word sequences are one class from here on; one of its texts stands for it. The numbers
     # of classes are drawn once: what follows reads them from the checkpoint
     classes = signed.where("size > 0").groupBy("print").agg(F.min(F.struct("k", "h")).alias("rep"), F.count("*").alias("n_copies"), F.max("size").alias("size"))
-    classes = common.cut(classes.withColumn("id", F.monotonically_increasing_id()))
+    classes = common.cut(classes.orderBy("rep").withColumn("id", F.monotonically_increasing_id()))  # ids in order of the representatives
     chosen = signed.drop("size").join(classes, "print").where("k = rep.k AND h = rep.h")
     steps = chosen.select("id", F.explode(F.array_distinct("paths")).alias("path"))
     shared = steps.groupBy("path").agg(F.min("id").alias("low"), F.max("id").alias("top")).where("low <> top").select("path")
@@ -250,11 +264,11 @@ def join(docs: DataFrame, width: int = WORDS, threshold: float = THRESHOLD, reca
     links = found.groupBy("id").agg(F.sum("links").alias("n_links"))
     roots = components(found.select(F.col("id").alias("a"), F.col("other").alias("b")))
     graded = classes.join(links, "id", "left").join(roots, "id", "left").withColumn("class_id", F.coalesce("root", "id"))
-    heads = graded.groupBy("class_id").agg(F.min("rep").alias("head"))
-    graded = graded.join(heads, "class_id").select("print", "class_id", "head", "n_links", "n_copies")
+    graded = graded.select("print", "class_id", F.when(F.col("id") == F.col("class_id"), F.col("rep")).alias("head"), "n_links", "n_copies")
     alone = -1 - F.monotonically_increasing_id()  # signed is read from its checkpoint, in one order
     out = signed.select("k", "h", F.when(F.col("size") > 0, F.col("print")).alias("print"), alone.alias("alone")).join(graded, "print", "left")
-    return out.select("k", "h", F.coalesce("class_id", "alone").alias("class_id"), F.coalesce(F.struct("k", "h") == F.col("head"), F.lit(True)).alias("first"), F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("n_copies", F.lit(1)).alias("n_copies"))
+    first = F.col("class_id").isNull() | F.coalesce(F.struct("k", "h") == F.col("head"), F.lit(False))
+    return out.select("k", "h", F.coalesce("class_id", "alone").alias("class_id"), first.alias("first"), F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("n_copies", F.lit(1)).alias("n_copies"))
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:

@@ -188,6 +188,16 @@ def brute_join(docs, width=5, least=0.8):
     return {k: (root(first[w if w else k]), links[first[w if w else k]]) for k, w in words.items()}
 
 
+def test_compare_counts_frequent_and_rare_shingles():
+    r = np.random.default_rng(15)
+    base = r.integers(0, 2**64, 30, np.uint64)
+    sets = [np.unique(np.concatenate([base[r.random(30) < r.choice([0.5, 0.95, 1])], r.integers(0, 99, r.integers(0, 9), np.uint64)])) for _ in range(60)]
+    values, place = np.concatenate(sets), np.concatenate([[0], np.cumsum([len(s) for s in sets])])
+    want = {(i, j) for j in range(60) for i in range(j) if len(np.intersect1d(sets[i], sets[j])) >= 0.8 * len(np.union1d(sets[i], sets[j]))}
+    assert set(zip(*map(np.ndarray.tolist, jaccard_join.compare(values, place, 0.8)), strict=True)) == want
+    assert set(zip(*map(np.ndarray.tolist, jaccard_join.compare(values, place, 0.8, 25)), strict=True)) == {(i, j) for i, j in want if i < 25 <= j}
+
+
 def test_jaccard_join(spark, monkeypatch):
     r, rows = random.Random(4), []
     base = [f"w{r.randint(0, 400)}" for _ in range(60)]
