@@ -4,8 +4,8 @@ A run splits the sets recursively: a path is a list of shingles, and a set takes
 steps that its own shingles sample. All of a document's paths follow from hashes and its own set, so
 they are found in the map task, to the depth at which buckets of unrelated documents are small.
 Documents that share a path are a bucket. Near copies share many buckets, so that no pair is compared
-twice, each document lies in one block of its least bucket, and two blocks (or a block and itself)
-are compared by brute force, once, if any bucket has members in both. Runs repeat until a pair at the
+twice, each document lies in one block (the blocks follow its least buckets), and two blocks, or a
+block and itself, are compared by brute force, once, if any bucket has members in both. Runs repeat until a pair at the
 threshold is found with the target recall.
 """
 
@@ -222,7 +222,11 @@ def _dealt(members: DataFrame, sizes: DataFrame) -> DataFrame:
 
     members: (id, path) of buckets with two members or more; sizes: (id, size) of all sets.
     """
-    homes = members.groupBy("id").agg(F.min("path").alias("home")).join(sizes, "id")
+    # the least bucket of each document, then the least of these among all whom it meets, so that a group
+    # of near copies, which has many buckets, lies in few blocks
+    least = members.groupBy("id").agg(F.min("path").alias("home"))
+    wide = members.join(least, "id").groupBy("path").agg(F.min("home").alias("home"))
+    homes = members.join(wide, "path").groupBy("id").agg(F.min("home").alias("home")).join(sizes, "id")
     blocks = homes.groupBy("home").agg(F.ceil(F.greatest(F.count("*") / GROUP, F.sum("size") / SHINGLES)).alias("n"))
     block = F.struct("home", F.pmod(F.xxhash64("id"), F.col("n")).alias("part"))
     placed = common.cut(homes.join(blocks, "home").select("id", block.alias("block")))
