@@ -2,12 +2,14 @@
 
 A word's part boundaries lie in one array beside the ranks of adjacent pairs. The least rank is
 found by a scan, its boundary is deleted, and the two neighbouring ranks are looked up again.
+Scans of a very long word would take the square of its length, so its ranks are also kept in a heap.
 """
 
 from __future__ import annotations
 
 import gc
 import hashlib
+import heapq
 import itertools
 import json
 
@@ -27,6 +29,9 @@ _SPACE = regex.compile(r"\s+")
 class WordBpe:
     """Ids of words as merges give them; the vocabulary's end-of-word suffix is part of the last symbol."""
 
+    #: Characters from which on ranks lie in a heap.
+    LONG = 200
+
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
             model = json.load(f)["model"]
@@ -39,6 +44,8 @@ class WordBpe:
         """The tokens of one pre-token."""
         if not word:
             return []
+        if len(word) > self.LONG:
+            return self.encode_long(word)
         last = len(word) - 1
         symbol = lambda a, b: word[a:b] + self.suffix if b > last else word[a:b]
         rank = self.rank
@@ -56,6 +63,28 @@ class WordBpe:
                 ranks[i] = rank.get((new, symbol(bounds[i + 1], bounds[i + 2])), _NONE)
         return [symbol(a, b) for a, b in zip(bounds, bounds[1:], strict=False)]
 
+    def encode_long(self, word: str) -> list[str]:
+        """The same for a word of any length: ranks in a heap, by place among equals; parts in a linked list."""
+        parts = [*word[:-1], word[-1] + self.suffix]
+        get, n = self.rank.get, len(parts)
+        left, right = list(range(-1, n - 1)), list(range(1, n + 1))
+        heap = [(r, i, parts[i], parts[i + 1]) for i in range(n - 1) if (r := get((parts[i], parts[i + 1]))) is not None]
+        heapq.heapify(heap)
+        while heap:
+            _, i, a, b = heapq.heappop(heap)
+            j = right[i]
+            if parts[i] != a or j >= n or parts[j] != b:  # one of them has been merged since
+                continue
+            parts[i], parts[j] = a + b, ""
+            right[i] = k = right[j]
+            if k < n:
+                left[k] = i
+                if (r := get((a + b, parts[k]))) is not None:
+                    heapq.heappush(heap, (r, i, a + b, parts[k]))
+            if (h := left[i]) >= 0 and (r := get((parts[h], a + b))) is not None:
+                heapq.heappush(heap, (r, h, parts[h], a + b))
+        return [p for p in parts if p]
+
 
 class Index(dict):
     """Numbers for pieces, in the order of their first look-up."""
@@ -225,7 +254,8 @@ def encode_decode(docs: DataFrame, path: str) -> DataFrame:
 
     Ids are those of the tokenizers library without added special tokens; special strings in a text
     are single ids. Null and empty texts give no ids and ''. Rows are independent: repeated rows and null
-    ids pass. Columns with an output's name are replaced.
+    ids pass; of merges with equal rank the first place is taken. Very long texts, and very long words, are
+    encoded whole. Columns with an output's name are replaced.
     """
     out = _run(docs, path, {"ids": "binary", "decoded": "string"}, lambda got: [pa.array([g[0] for g in got], pa.binary()), pa.array([g[1].decode() for g in got], pa.string())])
     return out.withColumn("n_tokens", (F.octet_length("ids") / 4).cast("long"))

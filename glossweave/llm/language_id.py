@@ -19,9 +19,9 @@ from pyspark.sql import functions as F
 
 from . import common
 
-#: Labelled texts that the model is fitted on (about; drawn by a hash, evenly from the languages),
-#: characters of each of those that count, landmarks among them, and the ridge.
-SAMPLE, SAMPLE_CHARS, LANDMARKS, RIDGE = 2000, 4000, 160, 1e-2
+#: Labelled texts that the model is fitted on, whole (about; drawn by a hash, evenly from the languages),
+#: landmarks among them, and the ridge.
+SAMPLE, LANDMARKS, RIDGE = 2000, 160, 1e-2
 #: Texts (about) and landmarks of each language, where many languages would leave it fewer.
 LEAST_TEXTS, LEAST_LANDMARKS = 20, 3
 UNKNOWN = "und"
@@ -57,53 +57,70 @@ def grams(text: str) -> np.ndarray:
     return codes[codes & ((1 << _BITS) - 1) > 0]
 
 
+def _sums(known: np.ndarray, table: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """The sum of the table's rows over a text's known n-grams, divided by the root of all n-grams present."""
+    if not len(known):
+        return np.zeros(table.shape[1], np.float32)
+    at = np.minimum(np.searchsorted(known, own), len(known) - 1)
+    return table[at[known[at] == own]].sum(0) / np.sqrt(max(1, len(own)), dtype=np.float32)
+
+
+class Landmarks:
+    """The n-grams of the landmark texts; kernels(text) are its kernel values with them."""
+
+    def __init__(self, codes: list[np.ndarray]):
+        self.known = np.unique(np.concatenate(codes)) if codes else np.zeros(0, np.int64)
+        self.table = np.zeros((len(self.known), len(codes)), np.float32)
+        for j, own in enumerate(codes):
+            self.table[np.searchsorted(self.known, own), j] = 1 / np.sqrt(max(1, len(own)))
+
+    def kernels(self, text: str) -> np.ndarray:
+        return _sums(self.known, self.table, grams(text))
+
+
+def chosen(langs: list[str]) -> list[int]:
+    """The places of the landmarks: the first texts of each language in turn."""
+    turns: dict[str, int] = {}
+    spread = []
+    for i, lang in enumerate(langs):
+        turns[lang] = turns.get(lang, -1) + 1
+        spread.append((turns[lang], lang, i))
+    return [i for *_, i in sorted(spread)[: max(LANDMARKS, LEAST_LANDMARKS * len(turns))]]
+
+
 class Model:
     """Landmarks' n-grams and their weights for each language."""
 
-    def __init__(self, texts: list[str], langs: list[str]):
-        self.langs = sorted(set(langs))
-        turns: dict[str, int] = {}
-        spread = []
-        for i, lang in enumerate(langs):  # landmarks are the first of each language in turn
-            turns[lang] = turns.get(lang, -1) + 1
-            spread.append((turns[lang], lang, i))
-        chosen = [i for *_, i in sorted(spread)[: max(LANDMARKS, LEAST_LANDMARKS * len(turns))]]
-        codes = [grams(texts[i]) for i in chosen]
-        self.known = np.unique(np.concatenate(codes)) if codes else np.zeros(0, np.int64)
-        if not chosen:
+    def __init__(self, landmarks: Landmarks, kernels: np.ndarray, langs: list[str]):
+        """kernels: the landmarks' values of all training texts, whose languages langs has; the landmarks are chosen(langs)."""
+        self.langs, self.known = sorted(set(langs)), landmarks.known
+        if not langs:
             return
-        landmarks = np.zeros((len(self.known), len(chosen)), np.float32)
-        for j, own in enumerate(codes):
-            landmarks[np.searchsorted(self.known, own), j] = 1 / np.sqrt(len(own))
-        own = self.sums(texts, landmarks).astype(np.float64)
-        core = own[chosen]
+        own = kernels.astype(np.float64)
+        core = own[chosen(langs)]
         values, vectors = np.linalg.eigh((core + core.T) / 2)
         good = values > 1e-6 * values.max()
         root = vectors[:, good] / np.sqrt(values[good])  # kernel values -> coordinates
-        x = np.hstack([own @ root, np.ones((len(texts), 1))])
+        x = np.hstack([own @ root, np.ones((len(langs), 1))])
         place = {k: n for n, k in enumerate(self.langs)}
         number = np.array([place[k] for k in langs])
         target = np.where(number[:, None] == np.arange(len(self.langs)), 1.0, -1.0)
         weight = 1.0 / np.bincount(number)[number]  # each language weighs the same
         w = np.linalg.solve((x * weight[:, None]).T @ x + RIDGE / len(langs) * np.eye(x.shape[1]), (x * weight[:, None]).T @ target)
         # kernel values are sums over n-grams, so their weights are too
-        self.weights, self.bias = landmarks @ (root @ w[:-1]).astype(np.float32), w[-1].astype(np.float32)
+        self.weights, self.bias = landmarks.table @ (root @ w[:-1]).astype(np.float32), w[-1].astype(np.float32)
 
-    def sums(self, texts: list[str], table: np.ndarray) -> np.ndarray:
-        """For each text the sum of the table's rows over its known n-grams, divided by the root of all n-grams present."""
-        out = np.zeros((len(texts), table.shape[1]), np.float32)
-        for i, t in enumerate(texts):
-            own = grams(t)
-            at = np.minimum(np.searchsorted(self.known, own), len(self.known) - 1)
-            out[i] = table[at[self.known[at] == own]].sum(0) / np.sqrt(max(1, len(own)))
-        return out
+    @classmethod
+    def of(cls, texts: list[str], langs: list[str]) -> Model:
+        landmarks = Landmarks([grams(texts[i]) for i in chosen(langs)])
+        return cls(landmarks, np.array([landmarks.kernels(t) for t in texts]), langs)
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         """Languages and scores; a text without a letter, or without a model, is UNKNOWN with 0."""
         langs, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
         able = [i for i, t in enumerate(texts) if t and self.langs and any(map(str.isalpha, t))]
         for i in able:
-            row = self.sums([texts[i]], self.weights)[0] + self.bias
+            row = _sums(self.known, self.weights, grams(texts[i])) + self.bias
             best = int(row.argmax())
             odds = np.exp(4 * (row - row.max()).astype(np.float64))
             langs[i], scores[i] = self.langs[best], float(odds[best] / odds.sum())
@@ -111,36 +128,50 @@ class Model:
 
 
 def fit(labelled: DataFrame, sample: int = SAMPLE) -> Model:
-    """A model of all languages of (text, lang) rows with neither null, from a sample of about `sample` texts.
+    """A model of all languages of (text, lang) rows with neither null, from a sample of about `sample` whole texts.
 
-    With many languages the sample grows, so that each has about LEAST_TEXTS texts, or all that it has.
+    With many languages the sample grows, so that each has about LEAST_TEXTS texts, or all that it has. The
+    texts stay with the executors: the landmarks' distinct n-grams and one row of kernel values for each
+    text reach the driver. Equal rows count once; ties have no say, as texts are taken in order of a hash.
     """
     spark = labelled.sparkSession
     hashed = labelled.select("lang", F.xxhash64("text").alias("x"))
     counts = hashed.groupBy("lang").agg(F.countDistinct("x").alias("n")).orderBy("lang").collect()
     if not counts:
-        return Model([], [])
+        return Model(Landmarks([]), np.zeros((0, 0)), [])
     each = max(LEAST_TEXTS, sample // len(counts))
     shares = spark.createDataFrame([(r["lang"], min(1.0, each / r["n"])) for r in counts], "lang string, share double")
-    drawn = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < F.col("share") * (1 << 30)
-    # copies of one text hash alike, so equal rows are dropped and only about `each` of a language reach the driver
-    rows = labelled.join(F.broadcast(shares), "lang").where(drawn).select(F.substring("text", 1, SAMPLE_CHARS).alias("text"), "lang").distinct()
-    got = sorted((r["text"], r["lang"]) for r in rows.collect())
-    got.sort(key=lambda x: hash_of(x[0]))
-    return Model([t for t, _ in got], [k for _, k in got])
+    drawn = F.pmod(F.col("x"), F.lit(1 << 30)) < F.col("share") * (1 << 30)
+    # copies of one text hash alike, so equal rows are dropped and only about `each` of a language are left
+    rows = labelled.withColumn("x", F.xxhash64("text")).join(F.broadcast(shares), "lang").where(drawn)
+    rows = common.cut(rows.select("x", "lang", "text").dropDuplicates(["x", "lang"]))
+    listed = sorted((r["x"], r["lang"]) for r in rows.select("x", "lang").collect())
+    langs = [lang for _, lang in listed]
+    heads = [listed[i] for i in chosen(langs)]
+    of_heads = rows.join(F.broadcast(spark.createDataFrame(heads, "x bigint, lang string")), ["x", "lang"], "left_semi")
+    codes = {(r["x"], r["lang"]): np.array(r["v"], np.int64) for r in _mapped(of_heads, grams, "bigint").collect()}
+    held = spark.sparkContext.broadcast(Landmarks([codes[h] for h in heads]))
+    kernels = {(r["x"], r["lang"]): r["v"] for r in _mapped(rows, lambda t: held.value.kernels(t), "float").collect()}
+    return Model(held.value, np.array([kernels[r] for r in listed]), langs)
+
 
+def _mapped(rows: DataFrame, fn, kind: str) -> DataFrame:
+    """(x, lang, v): what fn makes of each text, an array."""
 
-def hash_of(text: str) -> int:
-    import zlib
+    def run(batches):
+        for batch in batches:
+            made = [fn(t) for t in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(made, pa.list_({"bigint": pa.int64(), "float": pa.float32()}[kind]))], ["x", "lang", "v"])
 
-    return zlib.crc32(text.encode())
+    return rows.select("x", "lang", "text").mapInArrow(run, f"x bigint, lang string, v array<{kind}>")
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
     """Adds lang_pred and score (0 to 1) to every document, from the whole text alone.
 
-    Null and empty texts, and those without a letter, get `und` and 0. Rows are independent of each other.
-    Columns with an output's name are replaced. The model, weights for the landmarks' n-grams, is broadcast.
+    Null and empty texts, and those without a letter, get `und` and 0. Rows are independent of each other:
+    null ids and repeated rows pass. Of languages with equal scores the first by name is taken. Very long texts
+    count whole. Columns with an output's name are replaced. The model, weights for the landmarks' n-grams, is broadcast.
     """
     held = docs.sparkSession.sparkContext.broadcast(model)
 

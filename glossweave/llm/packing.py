@@ -18,10 +18,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import common
-from .token_counts import Splitter, piece_encoder, vocabulary_path
+from .token_counts import Splitter, encodes_as_the_library, piece_encoder, vocabulary_path
 
 CAPACITY = 2048
-#: Lengths are numbered in so many shares each, which are numbered apart.
+#: Pieces of one length are numbered in shares, 256 for each shuffle partition, which are numbered apart.
 SHARES = 256
 
 
@@ -117,9 +117,9 @@ def tokenized(docs: DataFrame, path: str, end: int, capacity: int) -> DataFrame:
                 for part in split.parts(text or ""):
                     if part in split.added:
                         ids.append(split.added[part])
-                    elif part.isascii() or max(part) <= "ɏ":
+                    elif encodes_as_the_library(part):
                         ids.extend(encode(part))
-                    else:  # other scripts: as the library classes their characters
+                    else:
                         ids.extend(split.tokenizer.encode(part, add_special_tokens=False).ids)
                 ids.append(end)
                 raw, n = ids.tobytes(), len(ids)
@@ -137,23 +137,24 @@ def pack(docs: DataFrame, path: str, end: int = 0, capacity: int = CAPACITY, kee
     """Rows (doc_id, piece, start, length, ids, ids_crc32, sequence_id, offset): every token of every document.
 
     A document is its ids and then `end`. Longer ones than `capacity` are cut; their first piece may
-    be short. Null and empty texts are the one id `end`. Null ids and repeated rows are documents of
-    their own; which of equal rows gets which place is not said. Other columns are not carried.
-    ids is little-endian 32-bit; keep_ids=False leaves it out.
+    be short; of very long texts, too, every token is packed. Null and empty texts are the one id `end`. Null
+    ids and repeated rows are documents of their own; which of equal rows gets which place is not said.
+    Other columns are not carried. ids is little-endian 32-bit; keep_ids=False leaves it out.
     """
     pieces = tokenized(docs, path, end, capacity).withColumn("ids_crc32", F.crc32("ids"))
-    # tokenised once; shares are drawn before the cut, so that numbers stay the same if a task runs again
-    pieces = pieces if keep_ids else pieces.drop("ids")
-    pieces = common.cut(pieces.withColumn("share", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(SHARES)).cast("int")))
+    # tokenised once; a row's number in its checkpoint deals equal pieces, too, to many shares
+    pieces = common.cut(pieces if keep_ids else pieces.drop("ids"))
+    shares = SHARES * common.partitions(docs)
+    pieces = pieces.withColumn("_n", F.monotonically_increasing_id())
+    pieces = pieces.withColumn("share", F.pmod(F.xxhash64("_n"), F.lit(shares)).cast("int"))
     counted = common.cut(pieces.groupBy("length", "share").agg(F.count("*").alias("n")))
     before = counted.withColumn("before", F.sum("n").over(Window.partitionBy("length").orderBy("share")) - F.col("n")).drop("n")
     totals = {r["length"]: r["n"] for r in counted.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # at most `capacity` rows
     rows = sorted(plan(totals, capacity))
     lookup = np.array(rows, np.int64).reshape(-1, 6)
-    order = ["doc_id", "piece", "ids_crc32", *(["ids"] if keep_ids else [])]
-    own = F.row_number().over(Window.partitionBy("length", "share").orderBy(*order)) - 1
+    own = F.row_number().over(Window.partitionBy("length", "share").orderBy("_n")) - 1
     placed = pieces.withColumn("number", own).join(before, ["length", "share"])
-    placed = placed.select(*[c for c in pieces.columns if c != "share"], (F.col("before") + F.col("number")).alias("number"))
+    placed = placed.select(*[c for c in pieces.columns if c not in ("share", "_n")], (F.col("before") + F.col("number")).alias("number"))
 
     key = lookup[:, 0] * (1 << 48) + lookup[:, 1]  # plan rows are sorted by length, then first number
 

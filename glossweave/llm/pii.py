@@ -2,7 +2,8 @@
 
 Confirmed spans start at the score of their kind; a context word nearby raises it, a word that speaks
 for something else lowers it. Proposals of the base kinds are kept whatever their score; the added
-kinds (iban, national: a telephone number without a country code) need the threshold.
+kinds (iban; secret: keys and tokens of known form or after a word such as password; national: a telephone
+number without a country code) need the threshold.
 """
 
 from __future__ import annotations
@@ -17,17 +18,18 @@ from pyspark.sql import DataFrame, SparkSession
 from . import common
 
 BASE_KINDS = ("email", "ip", "card", "phone")
-ADDED_KINDS = ("iban", "national")
+ADDED_KINDS = ("iban", "secret", "national")
 THRESHOLD = 0.6
 #: Characters before and after a span in which context words count.
 NEARBY = 40
-START = {"email": 0.95, "ip": 0.7, "card": 0.8, "phone": 0.8, "iban": 0.9, "national": 0.35}
+START = {"email": 0.95, "ip": 0.7, "card": 0.8, "phone": 0.8, "iban": 0.9, "secret": 0.5, "national": 0.35}
 WORDS = {
     "email": ("mail", "contact", "write"),
     "ip": ("ip", "address", "server", "host"),
     "card": ("card", "visa", "credit", "payment", "karte", "carte", "tarjeta"),
     "phone": ("phone", "tel", "call", "mobile", "fax", "telefon", "téléphone", "teléfono"),
     "iban": ("iban", "account", "bank", "konto", "compte", "cuenta"),
+    "secret": ("key", "api_key", "apikey", "token", "secret", "password", "passwd", "pwd", "bearer", "authorization", "credentials", "aws_secret_access_key"),
     "national": ("phone", "tel", "call", "mobile", "fax", "telefon", "téléphone", "teléfono"),
 }
 AGAINST = ("isbn", "version", "order", "invoice", "serial")
@@ -49,6 +51,9 @@ _IBAN_SIZES = {
     }.items()
     for country in countries.split()
 }
+#: Forms of keys that services issue, and what follows a word such as password with = or a colon.
+_KEYS = re.compile(r"(?<![A-Za-z0-9])(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,255}|sk_(?:live|test)_[A-Za-z0-9]{16,99}|xox[abprs]-[A-Za-z0-9-]{10,99}|eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,})(?![A-Za-z0-9])")
+_ASSIGNED = re.compile(r"(?i)(?<![a-z0-9])(?:password|passwd|pwd|secret|api[_-]?key|access[_-]?key|auth[_-]?token|token)[\"']?\s{0,3}[:=]\s{0,3}[\"']?([A-Za-z0-9+/_.~!@#$%^&*=-]{8,200})")
 _NATIONAL = re.compile(r"(?<![0-9+(.-])(?<!\+[0-9] )\(?[0-9]{2,4}\)?(?:[ .-][0-9]{2,4}){2,4}(?![0-9.-])")
 _NOT_DIGIT = re.compile(r"[^0-9]")
 _WORD = re.compile(r"\w+")
@@ -103,6 +108,14 @@ def _ibans(text: str):
                 break
 
 
+def _secrets(text: str):
+    """Keys of known form, and assigned values that have a digit and a letter."""
+    found = [m.span() for m in _KEYS.finditer(text)]
+    if "=" in text or ":" in text:
+        found += [m.span(1) for m in _ASSIGNED.finditer(text) if re.search("[0-9]", m[1]) and re.search("[A-Za-z]", m[1])]
+    return sorted(set(found))
+
+
 def _proposed(text: str):
     if "@" in text:
         for a, b in _emails(text):
@@ -121,23 +134,24 @@ def _proposed(text: str):
                 yield "phone", *m.span()
     for a, b in _ibans(text):
         yield "iban", a, b
+    for a, b in _secrets(text):
+        yield "secret", a, b
     for m in _NATIONAL.finditer(text):
         if 7 <= len(_NOT_DIGIT.sub("", m[0])) <= 12:
             yield "national", *m.span()
 
 
 def find(text: str | None) -> list[Span]:
-    """All spans by kind (email, ip, card, phone, iban, national), then start; offsets are code points."""
+    """All spans by kind (email, ip, card, phone, iban, secret, national), then start; offsets are code points."""
     out: list[Span] = []
     taken: list[tuple[int, int]] = []
     for kind, a, b in _proposed(text or ""):
-        score = START[kind]
+        score = START[kind] + (RAISE if kind == "secret" and _KEYS.fullmatch(text, a, b) else 0)
         near = {w.lower() for w in _WORD.findall(text[max(0, a - NEARBY) : a] + " " + text[b : b + NEARBY])}
         score += RAISE * any(w in near for w in WORDS[kind]) - LOWER * any(w in near for w in AGAINST)
-        if kind in BASE_KINDS:
-            taken.append((a, b))
-        elif score < THRESHOLD or any(x < b and a < y for x, y in taken):
+        if kind not in BASE_KINDS and (score < THRESHOLD or any(x < b and a < y for x, y in taken)):
             continue
+        taken.append((a, b))
         out.append(Span(kind, a, b, min(1.0, max(0.0, score))))
     return out
 
@@ -164,7 +178,8 @@ def detect(docs: DataFrame) -> DataFrame:
     """Adds pii (array of kind, start, end, score), redacted, and n_email, n_ip, n_card, n_phone.
 
     Null texts have no spans and stay null in redacted; empty texts have none. Rows are independent of
-    each other; null ids and repeated rows pass. Columns with an output's name are replaced.
+    each other; null ids and repeated rows pass. Of spans that overlap, base kinds all stay, and an added one
+    gives way to any before it. Very long texts are searched whole. Columns with an output's name are replaced.
     """
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64())]))
 
