@@ -21,6 +21,8 @@ from . import common
 K = 20
 #: Rows of a block, queries of a part, queries scored at once, and dimensions summed between two prunings.
 ROWS, ASKED, QUERIES, DIMENSIONS = 8192, 32768, 512, 16
+#: Pairs of query and row that are worth a task of their own.
+PAIRS = 1 << 24
 #: Lists of a query's best rows that one aggregation merges, at most.
 MERGED = 64
 
@@ -162,19 +164,19 @@ def search(vectors: DataFrame, is_query: Column, k: int = K) -> DataFrame:
     vector's: none of them is a candidate of its own id, each other query may get each of them, and
     a query that comes twice gets the k best of all its pairs. Sums are exact; beyond 64 bits they are cut to these.
     Each row travels once for each part of ASKED queries, and the queries once for each slice of the rows;
-    there are as many slices as keep all shuffle partitions busy.
+    tasks, which have one part and one slice, are few where there are few pairs, and otherwise keep all shuffle partitions busy.
     """
     fine = vectors.where("vec_id IS NOT NULL AND values IS NOT NULL").select("vec_id", "values", F.coalesce(is_query, F.lit(False)).alias("asks"))
-    asking = fine.agg(F.count_if("asks")).first()[0]
+    n, asking = fine.agg(F.count("*"), F.count_if("asks")).first()
     parts = max(1, math.ceil(asking / ASKED))
-    slices = max(1, math.ceil(common.partitions(vectors) / parts))
+    slices = max(1, math.ceil(min(n * asking / PAIRS, 4 * common.partitions(vectors)) / parts))
     part = F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(parts)).cast("int")
     piece = F.pmod(F.xxhash64("vec_id", "values"), F.lit(slices)).cast("int")
     # the query set against all rows, in blocks: each slice of rows meets each part of the queries
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     rows = fine.select(every(parts).alias("part"), piece.alias("slice"), F.lit(False).alias("asks"), "vec_id", "values")
     asked = fine.where("asks").select(part.alias("part"), every(slices).alias("slice"), "asks", "vec_id", "values")
-    dealt = rows.union(asked).repartition(common.partitions(vectors), "part", "slice").sortWithinPartitions("part", "slice", F.desc("asks"))
+    dealt = rows.union(asked).repartitionById(parts * slices, F.col("part") * slices + F.col("slice")).sortWithinPartitions("part", "slice", F.desc("asks"))
     met = dealt.mapInArrow(_meet(k), "slice int, query_id bigint, vec_id bigint, score bigint")
     kept = F.slice(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("low"), "vec_id"))), 1, k)
     while slices > MERGED:  # no list is longer than MERGED * k

@@ -505,8 +505,8 @@ def test_topk_odd_vectors(spark):
 
 def test_topk_against_brute_force(spark, monkeypatch):
     r = np.random.default_rng(18)
-    for asked, merged in ((32768, 64), (7, 2)):
-        for name, value in (("ASKED", asked), ("MERGED", merged)):
+    for asked, merged, pairs in ((32768, 64, 10**6), (7, 2, 300)):
+        for name, value in (("ASKED", asked), ("MERGED", merged), ("PAIRS", pairs)):
             monkeypatch.setattr(topk_search, name, value)
         for scale in (3, 60, 2**28):  # the last one's sums pass what doubles hold
             vectors = [(int(i) if i % 50 else 100, [int(x) for x in r.integers(-scale, scale + 1, r.choice([20, 40]))]) for i in range(1, 200)]
