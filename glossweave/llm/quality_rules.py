@@ -42,8 +42,11 @@ def repeat_words(words: Column) -> Column:
         often = _let(F.array_sort(hashed), lambda s: F.transform(F.filter(F.transform(s, lambda x, i: F.struct(x["i"].alias("i"), (same(s, i, i - 1) | same(s, i, i + 1)).alias("often"))), lambda x: x["often"]), lambda x: x["i"]))
         return _let(F.array_sort(often), lambda at: F.aggregate(F.transform(at, lambda x, i: F.least(F.lit(size), F.coalesce(F.get(at, i + 1) - x, F.lit(size)))), F.lit(0), lambda a, b: a + b))
 
-    hashed = F.transform(F.sequence(F.lit(1), F.size(words) - size + 1), lambda i: F.struct(F.xxhash64(F.slice(words, i, F.lit(size))).alias("h"), i.alias("i")))
-    return F.when(F.size(words) > size, of_windows(hashed)).otherwise(0).cast("long")
+    # windows are hashed from their words' hashes; most texts repeat none, which needs no order
+    windows = lambda h: F.transform(F.sequence(F.lit(1), F.size(h) - size + 1), lambda i: F.xxhash64(F.slice(h, i, F.lit(size))))
+    placed = lambda w: F.transform(w, lambda h, i: F.struct(h.alias("h"), (i + 1).alias("i")))
+    counted = _let(_let(F.transform(words, lambda w: F.xxhash64(w)), windows), lambda w: F.when(F.size(F.array_distinct(w)) == F.size(w), 0).otherwise(of_windows(placed(w))))
+    return F.when(F.size(words) > size, counted).otherwise(0).cast("long")
 
 
 def duplicate_lines(text: Column) -> Column:
@@ -64,27 +67,28 @@ def clean(docs: DataFrame) -> DataFrame:
 
     cleaned is the text without the lines that fail; kept is false if base_failed, or if cleaned has
     lost more than MAX_LOST_PERCENT of the text's words' characters. Null and empty texts have no
-    words, so they fail; cleaned is then ''. Rows are independent of each other: null ids, repeated
-    rows and ties have no say. Other columns pass; those with an output's name are replaced.
+    words, so they fail; cleaned is then ''. Very long texts are judged whole. Rows are independent of
+    each other: null ids, repeated rows and ties have no say. Other columns pass; those with an output's name are replaced.
     """
     outputs = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "cleaned", "kept")
     rest = docs.drop(*[c for c in docs.columns if c.lower() in outputs])
     text = F.coalesce(F.col("text"), F.lit(""))
-    solid = lambda t: F.length(F.regexp_replace(t, _SEPARATORS, "")).cast("long")
-    counted = F.transform(F.array(words_of(text)), lambda w: F.struct(F.size(w).cast("long").alias("n_words"), repeat_words(w).alias("n_repeat_words")))
-    out = rest.withColumns(
-        {
-            "_counted": F.element_at(counted, 1),
-            "word_chars": solid(text),
-            "n_symbols": (F.length(text) - F.length(F.regexp_replace(text, _SYMBOLS, ""))).cast("long"),
-            "n_dup_lines": duplicate_lines(text),
-            "cleaned": F.array_join(F.filter(F.split(text, "\n"), lambda x: ~line_fails(x)), "\n"),
-        }
+    cleaned = F.array_join(F.filter(F.split(text, "\n"), lambda x: ~line_fails(x)), "\n")
+    counted = lambda w, c: F.struct(
+        F.size(w).cast("long").alias("n_words"),
+        F.length(F.array_join(w, "")).cast("long").alias("word_chars"),
+        (F.length(text) - F.length(F.regexp_replace(text, _SYMBOLS, ""))).cast("long").alias("n_symbols"),
+        duplicate_lines(text).alias("n_dup_lines"),
+        repeat_words(w).alias("n_repeat_words"),
+        c.alias("cleaned"),
+        F.when(c == text, 0).otherwise(F.length(F.array_join(w, "")) - F.length(F.regexp_replace(c, _SEPARATORS, ""))).cast("long").alias("_lost"),
     )
-    out = out.withColumns({"n_words": F.col("_counted.n_words"), "n_repeat_words": F.col("_counted.n_repeat_words")}).drop("_counted")
+    # one generated row, so that the rules run once, below whatever filters on them
+    made = F.transform(F.array(words_of(text)), lambda w: _let(cleaned, lambda c: counted(w, c)))
+    out = rest.select("*", F.inline(made))
     out = out.withColumn("base_failed", (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")))
-    lost = F.col("word_chars") - solid(F.col("cleaned"))
-    return out.withColumn("kept", ~F.col("base_failed") & (100 * lost <= MAX_LOST_PERCENT * F.col("word_chars")))
+    out = out.withColumn("kept", ~F.col("base_failed") & (100 * F.col("_lost") <= MAX_LOST_PERCENT * F.col("word_chars")))
+    return out.select(*[F.col(f"`{c}`") for c in rest.columns], *outputs)
 
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
