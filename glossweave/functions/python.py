@@ -5,9 +5,12 @@ from __future__ import annotations
 import difflib
 import re
 import unicodedata
+from collections import defaultdict
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -43,21 +46,231 @@ def passage_chunks(text: Column) -> Column:
     return F.pandas_udf(lambda s: s.map(cut), "array<struct<text:string,offset:int>>")(text)
 
 
+# -- spans of tokens ---------------------------------------------------------------------------------
+
+SPAN = "array<struct<type:string,first:int,last_end:int,start:int,end:int,surface:string>>"
+
+
+def _rows(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """How many elements each row has (null: none), and the row of each element."""
+    sizes = np.asarray(pc.list_value_length(lists).fill_null(0)).astype(np.int64)
+    return sizes, np.repeat(np.arange(len(sizes)), sizes)
+
+
+def _starts(tokens: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """Offsets of tokens in the text that one blank joins them to, and their lengths."""
+    sizes, row = _rows(tokens)
+    length = np.asarray(pc.utf8_length(tokens.flatten()).fill_null(0)).astype(np.int64)
+    ends = np.cumsum(length + 1)
+    before = np.concatenate([[0], ends])[np.cumsum(sizes) - sizes]
+    return ends - length - 1 - before[row], length
+
+
+def token_starts(tokens: Column) -> Column:
+    """The code point offset of each token in the text that one blank joins them to."""
+
+    def run(lists: pa.Array) -> pa.Array:
+        sizes, _ = _rows(lists)
+        return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(_starts(lists)[0], pa.int64()))
+
+    return F.arrow_udf(run, "array<bigint>")(tokens)
+
+
+def islands(tokens: pa.ListArray, tags: pa.ListArray) -> pa.Array:
+    """BIO spans of each row's tokens; an I of another type, or after no span, opens one."""
+    sizes, row = _rows(tokens)
+    head = np.cumsum(sizes) - sizes
+    starts, length = _starts(tokens)
+    coded = tags.flatten().dictionary_encode()
+    names = coded.dictionary.to_pylist()
+    kinds = sorted({t[2:] for t in names if t and t[:2] in ("B-", "I-")})
+    number = np.array([kinds.index(t[2:]) if t and t[:2] in ("B-", "I-") else -1 for t in names] + [-1], np.int64)
+    code = np.asarray(coded.indices.fill_null(len(names))).astype(np.int64)
+    kind, begins = number[code], np.array([bool(t) and t.startswith("B-") for t in names] + [False])[code]
+    new = np.zeros(len(row), bool)
+    new[head[sizes > 0]] = True
+    opens = (kind >= 0) & (begins | new | (kind != np.concatenate([[-1], kind[:-1]])))
+    first = np.flatnonzero(opens)
+    breaks = np.append(np.flatnonzero(opens | new | (kind < 0)), len(row))
+    last = breaks[np.searchsorted(breaks, first, "right")] - 1
+    flat = tokens.flatten().to_pylist()
+    surfaces = [flat[a] if a == b else " ".join(flat[a : b + 1]) for a, b in zip(first.tolist(), last.tolist(), strict=True)]
+    own = row[first]
+    columns = [pa.array([kinds[k] for k in kind[first].tolist()], pa.string()), *[pa.array(c, pa.int32()) for c in (first - head[own], last + 1 - head[own], starts[first], starts[last] + length[last])], pa.array(surfaces, pa.string())]
+    spans = pa.StructArray.from_arrays(columns, ["type", "first", "last_end", "start", "end", "surface"])
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(np.bincount(own, minlength=len(sizes)))]), pa.int32()), spans)
+
+
+def bio_spans(tokens: Column, tags: Column) -> Column:
+    """The spans of BIO tags within the row; tokens are joined by one blank. Null rows have none."""
+    return F.arrow_udf(lambda a, b: islands(a, b), SPAN)(tokens, tags)
+
+
+# -- placing and repairing spans -----------------------------------------------------------------------
+
+
+def _lists(*columns: pa.Array):
+    """Rows of the columns as Python values."""
+    return zip(*[c.to_pylist() for c in columns], strict=True)
+
+
+#: The readings of an offset, in the order in which they are tried.
+READINGS = ((0, 0), (0, 1), (-1, 0), (1, 0), (0, -1))
+
+
+def _variants(surface: str) -> tuple[str, ...]:
+    other = unicodedata.normalize("NFKC", surface)
+    return (surface,) if other == surface else (surface, other)
+
+
+def shift(text: str, surfaces: tuple[str, ...], start: int, end: int) -> dict | None:
+    """The first reading of the offsets under which the text has the surface (as it is, then in NFKC)."""
+    for surface in surfaces:
+        for a, b in READINGS:
+            if 0 <= start + a < end + b <= len(text) and text[start + a : end + b] == surface:
+                return {"d_start": a, "d_end": b}
+    return None
+
+
+def span_shifts(text: Column, surfaces: Column, starts: Column, ends: Column) -> Column:
+    """For each span of the row the shift that fits, or null."""
+
+    def run(*columns):
+        return pa.array([[shift(t or "", _variants(s), a, b) for s, a, b in zip(x, y, z, strict=True)] for t, x, y, z in _lists(*columns)], pa.list_(pa.struct([("d_start", pa.int32()), ("d_end", pa.int32())])))
+
+    return F.arrow_udf(lambda a, b, c, d: run(a, b, c, d), "array<struct<d_start:int,d_end:int>>")(text, surfaces, starts, ends)
+
+
+def span_contexts(text: Column, starts: Column, ends: Column, around: int = 100) -> Column:
+    """For each span of the row the text around it."""
+
+    def run(*columns):
+        return pa.array([[(t or "")[max(0, a - around) : b + around] for a, b in zip(x, y, strict=True)] for t, x, y in _lists(*columns)], pa.list_(pa.string()))
+
+    return F.arrow_udf(lambda a, b, c: run(a, b, c), "array<string>")(text, starts, ends)
+
+
+def span_fits(text: Column, surfaces: Column, starts: Column, ends: Column) -> Column:
+    """For each span of the row whether the text has the surface at its offsets; null rows and parts don't."""
+
+    def run(*columns):
+        rows = [(t or "", x or [], y or [], z or []) for t, x, y, z in _lists(*columns)]
+        return pa.array([[a is not None and b is not None and 0 <= a < b <= len(t) and t[a:b] == s for s, a, b in zip(x, y, z, strict=True)] for t, x, y, z in rows], pa.list_(pa.bool_()))
+
+    return F.arrow_udf(lambda a, b, c, d: run(a, b, c, d), "array<boolean>")(text, surfaces, starts, ends)
+
+
+def places_of(text: str, surface: str, words: bool = False) -> list[int]:
+    """Starts of all occurrences that don't overlap; with words, whole words only. Else those of the NFKC
+    surface, else those in the NFKC text, if that has the same length."""
+    if not surface:
+        return []
+    folded = unicodedata.normalize("NFKC", text) if not text.isascii() else text
+    tries = [(text, s) for s in _variants(surface)] + ([(folded, _variants(surface)[-1])] if len(folded) == len(text) else [])
+    for body, own in tries:
+        found = [m.start() for m in re.finditer(rf"\b{re.escape(own)}\b" if words else re.escape(own), body)]
+        if found:
+            return found
+    return []
+
+
+def assign(text: str, surfaces: list[str], hints: list[int | None] | None = None) -> list[int | None]:
+    """A start for each mention: the k-th mention of a surface gets its k-th occurrence, or, with a hint, the
+    nearest one that is free. Mentions beyond the occurrences get none."""
+    places: dict[str, list[int]] = {s: places_of(text, s) for s in dict.fromkeys(surfaces)}
+    free, out = {s: list(p) for s, p in places.items()}, [None] * len(surfaces)
+    for i, s in enumerate(surfaces):
+        if hints and hints[i] is not None and free[s]:
+            out[i] = min(free[s], key=lambda p: abs(p - hints[i]))
+            free[s].remove(out[i])
+    taken: dict[str, int] = defaultdict(int)
+    for i, s in enumerate(surfaces):
+        if out[i] is None and taken[s] < len(free[s]) and not (hints and hints[i] is not None):
+            out[i] = free[s][taken[s]]
+            taken[s] += 1
+    return out
+
+
+def mention_starts(text: Column, surfaces: Column, hints: Column | None = None) -> Column:
+    """For each surface of the row its start in the text, or null."""
+
+    def run(texts, lists, near=None):
+        rows = _lists(texts, lists) if near is None else _lists(texts, lists, near)
+        return pa.array([assign(t or "", *x) for t, *x in rows], pa.list_(pa.int32()))
+
+    return F.arrow_udf((lambda a, b: run(a, b)) if hints is None else (lambda a, b, c: run(a, b, c)), "array<int>")(*[text, surfaces, *([] if hints is None else [hints])])
+
+
 def fuzzy_place(text: str, surface: str, hint: int, window: int = 200, least: float = 0.8) -> int:
     """The start of the most similar string of the surface's length near the hint, or -1."""
     best, at = 0.0, -1
     matcher = difflib.SequenceMatcher(autojunk=False)
     matcher.set_seq2(surface)
-    for i in range(max(0, hint - window), min(len(text), hint + window) - len(surface) + 1):
+    for i in range(max(0, hint - window), min(len(text), hint + len(surface) + window) - len(surface) + 1):
         matcher.set_seq1(text[i : i + len(surface)])
         if matcher.real_quick_ratio() >= least and matcher.quick_ratio() >= least and (r := matcher.ratio()) >= least and r > best:
             best, at = r, i
     return at
 
 
-def fuzzy_start(text: Column, surface: Column, hint: Column) -> Column:
-    place = lambda t, s, h: pd.Series([fuzzy_place(a or "", b, int(c)) if b else -1 for a, b, c in zip(t, s, h, strict=True)], dtype="int32")
-    return F.pandas_udf(place, "int")(text, surface, hint)
+def mended(text: str, surface: str, start: int, end: int) -> dict:
+    """The span with the way it was placed: exact, nearest, fuzzy (which takes the text's own surface) or dropped."""
+    if surface and start >= 0 and end <= len(text) and text[start:end] == surface:
+        return {"start": start, "end": end, "surface": surface, "way": "exact"}
+    found = [m.start() for m in re.finditer(re.escape(surface), text)] if surface else []
+    if found:
+        at = min(found, key=lambda p: abs(p - start))
+        return {"start": at, "end": at + len(surface), "surface": surface, "way": "nearest"}
+    at = fuzzy_place(text, surface, start) if surface else -1
+    if at >= 0:
+        return {"start": at, "end": at + len(surface), "surface": text[at : at + len(surface)], "way": "fuzzy"}
+    return {"start": None, "end": None, "surface": surface, "way": "dropped"}
+
+
+def mended_spans(text: Column, surfaces: Column, starts: Column, ends: Column) -> Column:
+    """The chain of repairs for each span of the row; the ways are what reports count."""
+    kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("surface", pa.string()), ("way", pa.string())]))
+
+    def run(*columns):
+        return pa.array([[mended(t or "", s, a, b) for s, a, b in zip(x, y, z, strict=True)] for t, x, y, z in _lists(*columns)], kind)
+
+    return F.arrow_udf(lambda a, b, c, d: run(a, b, c, d), "array<struct<start:int,end:int,surface:string,way:string>>")(text, surfaces, starts, ends)
+
+
+# -- joining tokens --------------------------------------------------------------------------------------
+
+#: Ranges of code points that are written without blanks, and languages that use them.
+CJK_RANGES = [(0x4E00, 0x9FFF), (0x3400, 0x4DBF), (0x20000, 0x2A6DF), (0xF900, 0xFAFF), (0x2F800, 0x2FA1F), (0x3000, 0x303F), (0x3040, 0x309F), (0x30A0, 0x30FF), (0x31F0, 0x31FF), (0xAC00, 0xD7AF), (0x1100, 0x11FF), (0x3130, 0x318F), (0xFF00, 0xFFEF)]
+NONE_BEFORE, NONE_AFTER = frozenset(".,!?;:)]}%'\">"), frozenset("([{<'\"")
+
+
+def is_cjk(c: str) -> bool:
+    return any(a <= ord(c) <= b for a, b in CJK_RANGES)
+
+
+def joined(tokens: list[str], cjk: bool = False) -> tuple[str, list[tuple[int, int]]]:
+    """The text of tokens and their offsets: a blank between two, but not before or after certain signs, and,
+    for languages written so, not beside a CJK character."""
+    text, at, offsets, last = [], 0, [], ""
+    for i, token in enumerate(tokens):
+        if i and token and not (token[0] in NONE_BEFORE or last in NONE_AFTER and last) and not (cjk and (not last or is_cjk(last) or is_cjk(token[0]))):
+            text.append(" ")
+            at += 1
+        text.append(token)
+        offsets.append((at, at + len(token)))
+        at, last = at + len(token), token[-1:]
+    return "".join(text), offsets
+
+
+def detokenized(tokens: Column, cjk: Column) -> Column:
+    """(text, offsets) of each row's tokens; cjk tells whether the row's language is written without blanks."""
+    kind = pa.struct([("text", pa.string()), ("offsets", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))])
+
+    def run(a, b):
+        made = [joined(t or [], bool(c)) for t, c in _lists(a, b)]
+        return pa.array([{"text": t, "offsets": [{"start": x, "end": y} for x, y in o]} for t, o in made], kind)
+
+    return F.arrow_udf(lambda a, b: run(a, b), "struct<text:string,offsets:array<struct<start:int,end:int>>>")(tokens, cjk)
 
 
 def label_place(token_starts, token_ends, starts, ends) -> list[dict]:

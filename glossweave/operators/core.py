@@ -7,12 +7,19 @@ from pyspark.sql import functions as F
 
 from glossweave.functions import python as P
 from glossweave.functions import text as T
+from glossweave.functions import vocabulary as V
 
 # -- dedup and split ---------------------------------------------------------------------------------
 
 
-def with_hash(records: DataFrame, text: str = "text") -> DataFrame:
-    return records.withColumn("text_hash", F.sha2(F.col(text), 256))
+def record_text(text: Column, turns: Column | None = None) -> Column:
+    """A record's text; of a conversation, the texts of its turns, one a line."""
+    return text if turns is None else F.coalesce(text, F.array_join(F.transform(turns, lambda t: t["text"]), "\n"))
+
+
+def with_hash(records: DataFrame, text: str | Column = "text") -> DataFrame:
+    """Adds text_hash, the SHA-256 of the text's NFKC form; null for null."""
+    return records.withColumn("text_hash", F.sha2(P.nfkc(F.col(text) if isinstance(text, str) else text), 256))
 
 
 def keep_first(records: DataFrame, key: list[str], order: list[str]) -> DataFrame:
@@ -46,10 +53,9 @@ def stratified_split(records: DataFrame, strata: list[str], order: str, share: f
 
 
 def tokens(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Rows (key, i, token, start): the text cut at blanks, with code point offsets."""
-    cut = docs.select(key, F.posexplode(F.split(text, " ")).alias("i", "token"))
-    before = Window.partitionBy(key).orderBy("i").rowsBetween(Window.unboundedPreceding, -1)
-    return cut.withColumn("start", F.coalesce(F.sum(F.length("token") + 1).over(before), F.lit(0)).cast("long"))
+    """Rows (key, i, token, start): the text cut at blanks, with code point offsets, made within the row."""
+    cut = docs.select(key, F.split(text, " ").alias("_t")).withColumn("_s", P.token_starts(F.col("_t")))
+    return cut.select(key, F.posexplode(F.arrays_zip("_t", "_s")).alias("i", "x")).select(key, "i", F.col("x._t").alias("token"), F.col("x._s").alias("start"))
 
 
 def bio_islands(tagged: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -80,7 +86,7 @@ def valid_span(text: Column, surface: Column, start: Column, end: Column) -> Col
 def shifted_span(text: Column, surface: Column, start: Column, end: Column) -> Column:
     """The shift (d_start, d_end) of the first of the five readings that fits; null if none does."""
     out = F
-    for a, b in ((0, 0), (0, 1), (-1, 0), (1, 0), (0, -1)):
+    for a, b in P.READINGS:
         out = out.when(valid_span(text, surface, start + a, end + b), F.struct(F.lit(a).alias("d_start"), F.lit(b).alias("d_end")))
     return out
 
@@ -121,6 +127,69 @@ def flatten_turns(conversations: DataFrame) -> DataFrame:
     return conversations.select("conv_id", text.alias("text"), F.transform("turns", start).alias("offsets"))
 
 
+# -- backfills ------------------------------------------------------------------------------------------
+
+
+def same_key(left: str, right: str, key: list[str]) -> Column:
+    """All parts of a key are equal, two nulls too."""
+    out = F.lit(True)
+    for c in key:
+        out &= F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}"))
+    return out
+
+
+def apply_backfill(entities: DataFrame, fills: DataFrame, key: list[str], least: float = 0.7, generic: bool = False) -> DataFrame:
+    """Entities with the new type of the backfill that has their key, if it is sure enough and (unless asked
+    for) not generic. Every entity stays, once: of several backfills of one key the last type by name counts."""
+    fine = F.col("conf") >= least
+    once = fills.where(fine if generic else fine & ~F.coalesce("generic", F.lit(False))).groupBy(*key).agg(F.max("new_type").alias("new_type"))
+    joined = entities.alias("a").join(once.alias("b"), same_key("a", "b", key), "left")
+    return joined.select("a.*", F.coalesce("b.new_type", "a.type").alias("_type")).drop("type").withColumnRenamed("_type", "type")
+
+
+# -- containment -----------------------------------------------------------------------------------------
+
+#: Bytes of items that one automaton holds; more items take several passes over the documents.
+AUTOMATON = 32 << 20
+
+
+def containing(docs: DataFrame, items: DataFrame, id: str, text: str = "text") -> DataFrame:
+    """Rows (id, n): in how many documents an item's text occurs; items that occur nowhere have none.
+
+    The items, whose size is measured first, are broadcast in blocks as an automaton that reads each document
+    once; counts are summed in the task. Null items and documents take no part; the empty item is in every other.
+    """
+    import ahocorasick
+    import pyarrow as pa
+
+    size = items.agg(F.coalesce(F.sum(F.octet_length(text) + 64), F.lit(0))).first()[0]
+    blocks, kind = max(1, -(-size // AUTOMATON)), dict(items.dtypes)[id]
+    out = None
+    for block in range(blocks):
+        own = items.where(F.col(text).isNotNull() & (F.pmod(F.xxhash64(text), F.lit(blocks)) == block)).select(id, text).collect()
+        held = docs.sparkSession.sparkContext.broadcast(sorted({r[1] for r in own}))
+
+        def count(batches, held=held):
+            words, tally = held.value, {}
+            automaton = ahocorasick.Automaton()
+            for n, w in enumerate(words):
+                if w:
+                    automaton.add_word(w, n)
+            automaton.make_automaton()
+            for batch in batches:
+                for body in batch.column(0).to_pylist():
+                    if body is not None:
+                        found = {n for _, n in automaton.iter(body)} if len(automaton) else set()
+                        for n in found | ({0} if words and not words[0] else set()):
+                            tally[n] = tally.get(n, 0) + 1
+            yield pa.RecordBatch.from_arrays([pa.array([words[n] for n in tally], pa.string()), pa.array(list(tally.values()), pa.int64())], ["_text", "_n"])
+
+        found = docs.select(text).mapInArrow(count, "_text string, _n bigint").groupBy("_text").agg(F.sum("_n").alias("n"))
+        found = docs.sparkSession.createDataFrame(own, f"`{id}` {kind}, _text string").join(found, "_text").select(id, "n")
+        out = found if out is None else out.union(found)
+    return out
+
+
 # -- types ------------------------------------------------------------------------------------------------
 
 
@@ -191,21 +260,62 @@ def numbered_ids(rows: DataFrame, id: str, order: str) -> DataFrame:
     return rows.withColumn("_k", k).withColumn(id, F.when(F.col("_k") > 0, F.concat(F.col(id).cast("string"), F.lit("_"), F.col("_k"))).otherwise(F.col(id).cast("string"))).drop("_k")
 
 
-def record_errors(text: Column, query_types: Column, entities: Column, provenance: Column) -> Column:
-    """The names of the rules a passage record breaks; entities is an array of (surface, type, start, end)."""
+def _named(rules: dict[str, Column]) -> Column:
+    return F.array_compact(F.array(*[F.when(F.coalesce(broken, F.lit(False)), name) for name, broken in rules.items()]))
+
+
+def _common_rules(holdouts: Column) -> tuple[dict[str, Column], dict[str, Column]]:
+    """Rules of all records that come before and after those of their spans."""
+    entities, asked = F.col("entities"), F.col("query_types")
     positive = F.array_distinct(F.transform(entities, lambda e: e["type"]))
-    spare = F.size(query_types) - F.size(positive)
-    rules = {
-        "no_provenance": F.coalesce(F.size(provenance), F.lit(0)) < 1,
-        "no_text": F.coalesce(F.length(text), F.lit(0)) == 0,
-        "no_query_types": F.coalesce(F.size(query_types), F.lit(0)) < 1,
-        "query_types_repeat": F.size(F.array_distinct(query_types)) < F.size(query_types),
+    spare = F.size(asked) - F.size(positive)
+    return {
+        "schema_version": ~F.col("schema_version").eqNullSafe("1.0"),
+        "split": ~F.coalesce(F.col("split").isin(V.SPLITS), F.lit(False)),
+        "confidence": ~F.coalesce(F.col("confidence").isin(list(V.CONFIDENCE_RANK)), F.lit(False)),
+        "no_provenance": F.coalesce(F.size("provenance"), F.lit(0)) < 1,
+        "no_query_types": F.coalesce(F.size(asked), F.lit(0)) < 1,
+        "query_types_repeat": F.size(F.array_distinct(asked)) < F.size(asked),
         "empty_span": F.exists(entities, lambda e: e["end"] <= e["start"]),
-        "surface_differs": F.exists(entities, lambda e: F.substring(text, e["start"] + 1, e["end"] - e["start"]) != e["surface"]),
-        "type_not_asked": F.size(F.array_except(positive, query_types)) > 0,
+    }, {
+        "type_not_asked": F.size(F.array_except(positive, asked)) > 0,
         "negatives_out_of_range": (spare < 2) | (spare > 5),
+        "holdout_negative": F.size(F.array_intersect(F.array_except(asked, positive), holdouts)) > 0,
     }
-    return F.array_compact(F.array(*[F.when(F.coalesce(broken, F.lit(False)), name) for name, broken in rules.items()]))
+
+
+def _none() -> Column:
+    return F.array().cast("array<string>")
+
+
+def record_errors(holdouts: Column | None = None) -> Column:
+    """The names of the rules that a passage record (columns as in sources.readers.RECORD) breaks.
+
+    holdouts: types that must not be asked for as negatives.
+    """
+    before, after = _common_rules(_none() if holdouts is None else holdouts)
+    surfaces, starts, ends = (F.col(f"entities.{n}") for n in ("surface", "start", "end"))
+    fits = P.span_fits(F.col("text"), surfaces, starts, ends)
+    differs = F.exists(F.arrays_zip(fits.alias("f"), starts.alias("a"), ends.alias("b")), lambda x: (x["b"] > x["a"]) & ~x["f"])
+    return _named({**before, "no_text": F.coalesce(F.length("text"), F.lit(0)) == 0, "surface_differs": differs, **after})
+
+
+def conversation_errors(holdouts: Column | None = None, most: int | None = 4) -> Column:
+    """The same for a conversation record: 2 to `most` turns (None: no upper bound) with speaker and text, and
+    entities whose turn there is and whose offsets count in its text."""
+    before, after = _common_rules(_none() if holdouts is None else holdouts)
+    n = F.coalesce(F.size("turns"), F.lit(0))
+    blank = lambda c: F.coalesce(F.length(c), F.lit(0)) == 0
+    there = lambda e: (e["turn_index"] >= 0) & (e["turn_index"] < n)
+    fits = lambda e: valid_span(F.get(F.col("turns"), e["turn_index"])["text"], e["surface"], e["start"], e["end"])
+    own = {
+        "too_few_turns": n < 2,
+        "too_many_turns": n > (1 << 30 if most is None else most),
+        "blank_turn": F.exists("turns", lambda t: blank(t["speaker"]) | blank(t["text"])),
+        "turn_out_of_range": F.exists("entities", lambda e: ~F.coalesce(there(e), F.lit(False))),
+        "surface_differs": F.exists("entities", lambda e: (e["end"] > e["start"]) & there(e) & ~fits(e)),
+    }
+    return _named({**before, **own, **after})
 
 
 def markdown_table(rows: DataFrame, order: list[str]) -> DataFrame:

@@ -21,16 +21,26 @@ def docs(spark, d, *columns):
     return read(spark, d, "documents").select("doc_id", *columns)
 
 
-def tagged(spark, d, least: int, text: str = "text"):
+def tag(token, least: int):
     """Tags by rule: an upper-case initial begins a span, a long token goes on; the type follows the length."""
-    kind = F.element_at(F.array(*map(F.lit, ("PERSON", "PLACE", "ORG"))), (F.length("token") % 3 + 1).cast("int"))
-    n = F.length("token")
-    tag = F.when(F.col("token").rlike("^[A-Z]"), F.concat(F.lit("B-"), kind)).when(n >= least, F.concat(F.lit("I-"), kind)).otherwise("O")
-    return C.tokens(docs(spark, d, text), text=text).withColumn("tag", tag)
+    kind = F.element_at(F.array(*map(F.lit, ("PERSON", "PLACE", "ORG"))), (F.length(token) % 3 + 1).cast("int"))
+    return F.when(token.rlike("^[A-Z]"), F.concat(F.lit("B-"), kind)).when(F.length(token) >= least, F.concat(F.lit("I-"), kind)).otherwise("O")
+
+
+def tagged(spark, d, least: int, text: str = "text"):
+    return C.tokens(docs(spark, d, text), text=text).withColumn("tag", tag(F.col("token"), least))
+
+
+def with_spans(spark, d, *columns, **sides):
+    """The documents with an array of spans for each name in sides, whose value is the tags' least length."""
+    cut = docs(spark, d, "text", *columns).withColumn("_t", F.split("text", " "))
+    tags = lambda least: F.transform("_t", lambda t: tag(t, least))
+    return cut.withColumns({name: P.bio_spans(F.col("_t"), tags(least)) for name, least in sides.items()}).drop("_t")
 
 
 def spans(spark, d, least: int):
-    return C.bio_islands(tagged(spark, d, least)).select("doc_id", "type", "start", "end")
+    got = with_spans(spark, d, s=least).select("doc_id", F.explode("s").alias("x"))
+    return got.select("doc_id", "x.type", F.col("x.start").cast("long").alias("start"), F.col("x.end").cast("long").alias("end"), "x.surface")
 
 
 TOKENS = """tok AS (
@@ -94,7 +104,8 @@ def token_offsets(spark, d):
 
 @query("bio_islands", f'{ONE} SELECT doc_id, type, first::BIGINT AS first, last_end::BIGINT AS last_end, start::BIGINT AS start, "end"::BIGINT AS "end" FROM gold')
 def bio_islands(spark, d):
-    return C.bio_islands(tagged(spark, d, GOLD)).withColumns({"first": F.col("first").cast("long"), "last_end": F.col("last_end").cast("long")})
+    got = with_spans(spark, d, s=GOLD).select("doc_id", F.explode("s").alias("x"))
+    return got.select("doc_id", "x.type", *[F.col(f"x.{c}").cast("long").alias(c) for c in ("first", "last_end", "start", "end")])
 
 
 @query("io_islands", f"""WITH {TOKENS}, {span_sql(GOLD, 'gold')},
@@ -106,13 +117,20 @@ def io_islands(spark, d):
     return out.groupBy("type").agg(F.count("*").alias("n"), F.sum(F.col("last_end") - F.col("first")).cast("long").alias("tokens"))
 
 
-def broken(spark, d):
-    """Gold spans with their surface, and an offset that is off by one for some."""
-    own = spans(spark, d, GOLD).join(docs(spark, d, "text"), "doc_id")
-    own = own.withColumn("surface", F.expr("substring(text, int(start) + 1, int(end - start))"))
-    ds = F.when(F.col("start") % 5 == 1, 1).when(F.col("start") % 5 == 2, -1).otherwise(0)
-    de = F.when(F.col("start") % 7 == 3, 1).when(F.col("start") % 5 == 1, 1).otherwise(0)
-    return own.withColumns({"s": (F.col("start") + ds).cast("int"), "e": (F.col("end") + de).cast("int")})
+def broken_spans(spark, d):
+    """Documents with their gold spans, whose offsets (s, e) are off by one for some; the shift that mends each."""
+    ds = lambda x: F.when(x["start"] % 5 == 1, 1).when(x["start"] % 5 == 2, -1).otherwise(0)
+    de = lambda x: F.when(x["start"] % 7 == 3, 1).when(x["start"] % 5 == 1, 1).otherwise(0)
+    off = lambda x: F.struct(x["type"].alias("type"), x["start"].cast("long").alias("start"), x["end"].cast("long").alias("end"), x["surface"].alias("surface"), (x["start"] + ds(x)).alias("s"), (x["end"] + de(x)).alias("e"))
+    own = with_spans(spark, d, x=GOLD).withColumn("x", F.transform("x", off))
+    return own.withColumn("shift", P.span_shifts(F.col("text"), F.col("x.surface"), F.col("x.s"), F.col("x.e")))
+
+
+def broken(spark, d, *columns):
+    """One row for each span of broken_spans; the text itself stays behind, only what is asked of it goes along."""
+    own = broken_spans(spark, d).withColumn("n_text", F.length("text"))
+    got = own.select("doc_id", "n_text", *columns, F.explode(F.arrays_zip("x", "shift")).alias("z"))
+    return got.select("doc_id", "n_text", *columns, "z.x.*", F.col("z.shift").alias("shift"))
 
 
 BROKEN = """, b AS (SELECT *, (start + CASE WHEN start % 5 = 1 THEN 1 WHEN start % 5 = 2 THEN -1 ELSE 0 END)::INT AS s,
@@ -124,41 +142,76 @@ FITS = "({a} >= 0 AND {b} > {a} AND {b} <= length(text) AND substring(text, {a}
 @query("span_validity_report", f"""{ONE}{BROKEN} SELECT type, count(*) AS n, count(*) FILTER ({FITS.format(a='s', b='e')}) AS valid,
   count(*) FILTER (e > length(text)) AS beyond FROM b GROUP BY 1""")
 def span_validity_report(spark, d):
-    ok = C.valid_span(F.col("text"), F.col("surface"), F.col("s"), F.col("e"))
-    return broken(spark, d).groupBy("type").agg(F.count("*").alias("n"), F.count_if(ok).alias("valid"), F.count_if(F.col("e") > F.length("text")).alias("beyond"))
+    return broken(spark, d).groupBy("type").agg(F.count("*").alias("n"), F.count_if(fits(0, 0)).alias("valid"), F.count_if(F.col("e") > F.col("n_text")).alias("beyond"))
+
+
+def fits(a: int, b: int):
+    return F.coalesce((F.col("shift.d_start") == a) & (F.col("shift.d_end") == b), F.lit(False))
 
 
 @query("span_off_by_one_fix", f"""{ONE}{BROKEN} SELECT doc_id, s, e, CASE {' '.join(f"WHEN {FITS.format(a=f'(s + {x})', b=f'(e + {y})')} THEN '{x},{y}'" for x, y in ((0, 0), (0, 1), (-1, 0), (1, 0), (0, -1)))} ELSE 'none' END AS fix FROM b""")
 def span_off_by_one_fix(spark, d):
-    fix = C.shifted_span(F.col("text"), F.col("surface"), F.col("s"), F.col("e"))
-    return broken(spark, d).withColumn("f", fix).select("doc_id", "s", "e", F.coalesce(F.concat_ws(",", "f.d_start", "f.d_end"), F.lit("none")).alias("fix")).withColumn("fix", F.when(F.col("fix") == "", "none").otherwise(F.col("fix")))
+    return broken(spark, d).select("doc_id", "s", "e", F.when(F.col("shift").isNull(), "none").otherwise(F.concat_ws(",", "shift.d_start", "shift.d_end")).alias("fix"))
+
+
+WORDS = "SELECT conv_id, turn, text, unnest(list_distinct(list_filter(string_split(text, ' '), lambda x: x <> ''))) AS surface FROM conversations"
 
 
-@query("span_nearest_fix", """
-WITH t AS (SELECT conv_id, turn, text, string_split(text, ' ')[1] AS surface FROM conversations),
-o AS (SELECT t.*, i - 1 AS s FROM t, unnest(generate_series(1, length(text) - length(surface) + 1)) g(i) WHERE surface <> '' AND substring(text, i, length(surface)) = surface)
-SELECT conv_id, turn, arg_min(s, abs(s - length(text) // 2) * 100000 + s)::INT AS start FROM o GROUP BY ALL""")
+def turn_words(spark, d, *columns):
+    """Every distinct word of every turn."""
+    words = F.filter(F.array_distinct(F.split("text", " ")), lambda w: w != "")
+    return read(spark, d, "conversations").select("conv_id", "turn", *columns, words.alias("words"))
+
+
+@query("span_nearest_fix", f"""WITH t AS ({WORDS}),
+o AS (SELECT conv_id, turn, surface, length(text) // 2 AS hint, unnest(list_filter(range(0, length(text)), lambda i: substring(text, i + 1, length(surface)) = surface)) AS s FROM t)
+SELECT conv_id, turn, surface, arg_min(s, abs(s - hint) * 1000000 + s)::INT AS start FROM o GROUP BY ALL""")
 def span_nearest_fix(spark, d):
-    rows = read(spark, d, "conversations").withColumn("surface", F.split("text", " ")[0])
-    at = C.nearest_place(F.col("text"), F.col("surface"), F.expr("length(text) div 2").cast("int"))
-    return rows.select("conv_id", "turn", at.alias("start")).where("start IS NOT NULL")
+    rows = turn_words(spark, d, "text")
+    at = F.transform("words", lambda w: F.struct(w.alias("surface"), C.nearest_place(F.col("text"), w, F.expr("length(text) div 2").cast("int")).alias("start")))
+    return rows.select("conv_id", "turn", F.explode(at).alias("x")).select("conv_id", "turn", "x.*")
 
 
-@query("repeated_surface_audit", """
-SELECT conv_id, turn, surface, n FROM (SELECT conv_id, turn, string_split(text, ' ')[1] AS surface,
-  ((length(text) - length(replace(text, string_split(text, ' ')[1], ''))) // length(string_split(text, ' ')[1]))::BIGINT AS n FROM conversations WHERE string_split(text, ' ')[1] <> '') WHERE n > 1""")
+@query("repeated_surface_audit", f"""WITH t AS ({WORDS}) SELECT conv_id, turn, surface, n FROM (SELECT *, ((length(text) - length(replace(text, surface, ''))) // length(surface))::BIGINT AS n FROM t) WHERE n > 1""")
 def repeated_surface_audit(spark, d):
-    rows = read(spark, d, "conversations").withColumn("surface", F.split("text", " ")[0]).where("surface <> ''")
-    n = F.expr("(length(text) - length(replace(text, surface, ''))) div length(surface)")
-    return rows.select("conv_id", "turn", "surface", n.cast("long").alias("n")).where("n > 1")
+    n = lambda w: ((F.length("text") - F.length(F.replace(F.col("text"), w, F.lit("")))) / F.length(w)).cast("long")
+    counted = F.filter(F.transform("words", lambda w: F.struct(w.alias("surface"), n(w).alias("n"))), lambda x: x["n"] > 1)
+    return turn_words(spark, d, "text").select("conv_id", "turn", F.explode(counted).alias("x")).select("conv_id", "turn", "x.*")
 
 
-@query("mention_occurrence_align", f"""{ONE}, m AS (SELECT doc_id, start, substring(text, (start + 1)::INT, ("end" - start)::INT) AS surface FROM gold JOIN documents USING (doc_id)),
-r AS (SELECT *, row_number() OVER (PARTITION BY doc_id, surface ORDER BY start) AS k FROM m)
-SELECT k, count(*) AS n, count(DISTINCT doc_id) AS n_docs FROM r WHERE k <= 5 GROUP BY 1""")
+@query("mention_occurrence_align", """WITH t AS (SELECT conv_id, turn, text, list_filter(string_split(text, ' '), lambda x: length(x) > 3) AS ws FROM conversations),
+m AS (SELECT conv_id, turn, text, i, ws[i] AS surface, len(list_filter(ws[1 : i], lambda x: x = ws[i])) AS k FROM t, unnest(generate_series(1, len(ws))) g(i)),
+p AS (SELECT *, string_split(text, surface) AS parts FROM m)
+SELECT conv_id, turn, (i - 1)::INT AS mention, surface, CASE WHEN k < len(parts) THEN (list_sum(list_transform(parts[1 : k], lambda x: length(x))) + (k - 1) * length(surface))::INT END AS start FROM p""")
 def mention_occurrence_align(spark, d):
-    rows = broken(spark, d).withColumn("k", F.expr("row_number() OVER (PARTITION BY doc_id, surface ORDER BY start)"))
-    return rows.where("k <= 5").groupBy("k").agg(F.count("*").alias("n"), F.countDistinct("doc_id").alias("n_docs"))
+    """Mentions of a turn, its words of four letters or more, find their offsets: the k-th of a surface gets its k-th occurrence."""
+    rows = read(spark, d, "conversations").select("conv_id", "turn", "text", F.filter(F.split("text", " "), lambda w: F.length(w) > 3).alias("surface"))
+    rows = rows.withColumn("start", P.mention_starts(F.col("text"), F.col("surface")))
+    got = rows.select("conv_id", "turn", F.posexplode(F.arrays_zip("surface", "start")).alias("mention", "x"))
+    return got.select("conv_id", "turn", "mention", "x.surface", "x.start")
+
+
+@query("hinted_assignment", """WITH t AS (SELECT conv_id, turn, text, list_distinct(list_filter(string_split(text, ' '), lambda x: length(x) > 3)) AS ws FROM conversations),
+m AS (SELECT conv_id, turn, text, unnest(ws) AS surface FROM t),
+p AS (SELECT conv_id, turn, surface, length(text) AS n, string_split(text, surface) AS parts FROM m),
+o AS (SELECT conv_id, turn, surface, n, list_sum(list_transform(parts[1 : k], lambda x: length(x))) + (k - 1) * length(surface) AS s FROM p, unnest(generate_series(1, len(parts) - 1)) g(k))
+SELECT conv_id, turn, surface, arg_min(s, abs(s - n) * 1000000 + s)::INT AS start FROM o GROUP BY ALL""")
+def hinted_assignment(spark, d):
+    """Each distinct word goes to the occurrence nearest to a hint, here the turn's end."""
+    rows = read(spark, d, "conversations").select("conv_id", "turn", "text", F.array_distinct(F.filter(F.split("text", " "), lambda w: F.length(w) > 3)).alias("surface"))
+    hints = F.transform("surface", lambda w: F.length("text"))
+    rows = rows.withColumn("start", P.mention_starts(F.col("text"), F.col("surface"), hints))
+    return rows.select("conv_id", "turn", F.explode(F.arrays_zip("surface", "start")).alias("x")).select("conv_id", "turn", "x.surface", "x.start")
+
+
+@query("span_mend_report", f"""{ONE}{BROKEN}, w AS (SELECT type, CASE WHEN {FITS.format(a='s', b='e')} THEN 'exact' ELSE 'nearest' END AS way FROM b)
+SELECT type, way, count(*) AS n FROM w GROUP BY ALL""")
+def span_mend_report(spark, d):
+    """The chain of repairs over spans that are off by one: every surface occurs, so none is fuzzy or dropped."""
+    rows = broken_spans(spark, d)
+    ways = P.mended_spans(F.col("text"), F.col("x.surface"), F.col("x.s"), F.col("x.e"))["way"]
+    rows = rows.select(F.explode(F.arrays_zip(F.col("x.type").alias("type"), ways.alias("way"))).alias("z"))
+    return rows.groupBy("z.type", "z.way").agg(F.count("*").alias("n"))
 
 
 # -- conversations ---------------------------------------------------------------------------------------
@@ -203,7 +256,12 @@ def regroup_dialogue_rows(spark, d):
     return out.select("conv_id", F.size("turns").cast("long").alias("n"), F.when(F.size(own) > 0, F.array_join(F.transform(own, lambda t: t["text"]), "|")).alias("asked"))
 
 
-@query("passage_chunks")
+@query("passage_chunks", r"""WITH RECURSIVE t AS (SELECT doc_id, length(text) AS n, list_transform(regexp_extract_all(text, '(?s).*?(?:\. |。|\n)'), lambda x: length(x)) AS ls FROM documents WHERE text IS NOT NULL),
+e AS (SELECT doc_id, n, list_transform(range(1, len(ls) + 1), lambda i: list_sum(ls[1 : i])::BIGINT) AS ends FROM t),
+c AS (SELECT doc_id, n, ends, 0::BIGINT AS start, CASE WHEN n <= 2000 THEN n ELSE coalesce(list_max(list_filter(ends, lambda x: x > 0 AND x <= 2000)), 2000) END::BIGINT AS cut FROM e
+  UNION ALL SELECT doc_id, n, ends, s, CASE WHEN s + 2000 >= n THEN n ELSE coalesce(list_max(list_filter(ends, lambda x: x > s AND x <= s + 2000)), s + 2000) END::BIGINT
+  FROM (SELECT doc_id, n, ends, CASE WHEN cut - 200 > start THEN cut - 200 ELSE cut END AS s FROM c WHERE start + 2000 < n))
+SELECT doc_id, start::INT AS "offset", (cut - start)::INT AS size FROM c""")
 def passage_chunks(spark, d):
     cut = docs(spark, d, "text").withColumn("c", F.explode(P.passage_chunks("text")))
     return cut.select("doc_id", F.col("c.offset").alias("offset"), F.length("c.text").alias("size"))
@@ -241,10 +299,10 @@ def zero_shot_strip(spark, d):
 @query("chat_explode", f"""{ONE}, e AS (SELECT doc_id, type, start, substring(text, (start + 1)::INT, ("end" - start)::INT) AS surface FROM gold JOIN documents USING (doc_id) WHERE regexp_full_match(substring(text, (start + 1)::INT, ("end" - start)::INT), '[A-Za-z ]+'))
 SELECT doc_id, type AS query_type, '["' || string_agg(surface, '","' ORDER BY start) || '"]' AS answer FROM e GROUP BY ALL""")
 def chat_explode(spark, d):
-    rows = broken(spark, d).where(F.col("surface").rlike("^[A-Za-z ]+$"))
-    entities = F.transform(F.array_sort(F.collect_list(F.struct("start", "type", "surface"))), lambda e: F.struct(e["type"].alias("type"), e["surface"].alias("surface")))
-    records = rows.groupBy("doc_id").agg(entities.alias("entities"), F.collect_set("type").alias("query_types"))
-    return C.chat_rows(records)
+    fine = F.filter("x", lambda e: e["surface"].rlike("^[A-Za-z ]+$"))
+    records = with_spans(spark, d, x=GOLD).select("doc_id", fine.alias("x")).where(F.size("x") > 0)
+    entities = F.transform("x", lambda e: F.struct(e["type"].alias("type"), e["surface"].alias("surface")))
+    return C.chat_rows(records.select("doc_id", entities.alias("entities"), F.array_distinct("x.type").alias("query_types")))
 
 
 @query("type_frequency", f"{ONE} SELECT type, count(*) AS n, count(DISTINCT doc_id) AS n_docs FROM gold GROUP BY 1")
@@ -254,9 +312,7 @@ def type_frequency(spark, d):
 
 @query("offset_convention_vote", f"""{ONE}{BROKEN} SELECT type, count(*) AS n, count(*) FILTER ({FITS.format(a='s', b='e')}) AS exclusive, count(*) FILTER (NOT {FITS.format(a='s', b='e')} AND {FITS.format(a='s', b='(e + 1)')}) AS inclusive FROM b GROUP BY 1""")
 def offset_convention_vote(spark, d):
-    text, surface, s, e = (F.col(c) for c in ("text", "surface", "s", "e"))
-    exclusive, inclusive = C.valid_span(text, surface, s, e), C.valid_span(text, surface, s, e + 1)
-    return broken(spark, d).groupBy("type").agg(F.count("*").alias("n"), F.count_if(exclusive).alias("exclusive"), F.count_if(~exclusive & inclusive).alias("inclusive"))
+    return broken(spark, d).groupBy("type").agg(F.count("*").alias("n"), F.count_if(fits(0, 0)).alias("exclusive"), F.count_if(fits(0, 1)).alias("inclusive"))
 
 
 @query("field_presence", "SELECT source, count(*) AS n, count(text) AS n_text, count(*) FILTER (text LIKE '%@%') AS n_at, count(*) FILTER (n_chars > 2000) AS n_long FROM documents GROUP BY 1")
@@ -366,14 +422,8 @@ def leakage_audit(spark, d):
 
 @query("benchmark_contamination", "SELECT item_id, count(*) AS n_docs FROM benchmark b JOIN documents d ON contains(d.text, b.text) GROUP BY 1")
 def benchmark_contamination(spark, d):
-    """Items whose words occur in a row in a document: candidates share the item's first eight words."""
-    grams = lambda t: F.split(t, " ")
-    items = read(spark, d, "benchmark").select("item_id", F.col("text").alias("item"), F.array_join(F.slice(grams(F.col("text")), 2, 6), " ").alias("g"))
-    words = docs(spark, d, "text").withColumn("ws", grams(F.col("text")))
-    runs = F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.size("ws") - 5)), lambda i: F.array_join(F.slice("ws", i, 6), " "))
-    seen = words.select("doc_id", F.explode(F.array_distinct(runs)).alias("g")).join(items.select("g").distinct(), "g", "left_semi")
-    pairs = seen.join(items, "g").join(docs(spark, d, "text"), "doc_id").where(F.col("text").contains(F.col("item")))
-    return pairs.select("item_id", "doc_id").distinct().groupBy("item_id").agg(F.count("*").alias("n_docs"))
+    """Items whose text occurs in a document, whatever its length."""
+    return C.containing(docs(spark, d, "text"), read(spark, d, "benchmark"), "item_id").withColumnRenamed("n", "n_docs")
 
 
 @query("resume_anti_join", "SELECT conv_id, turn FROM conversations c WHERE NOT EXISTS (SELECT 1 FROM conversations p WHERE p.conv_id = c.conv_id AND p.turn = c.turn AND p.turn % 2 = 0)")
@@ -382,23 +432,29 @@ def resume_anti_join(spark, d):
     return rows.join(rows.where("turn % 2 = 0"), ["conv_id", "turn"], "left_anti")
 
 
-BACKFILL = """, f AS (SELECT doc_id, start, type || '/Sub' AS new_type, (start % 100) / 100.0::DOUBLE AS conf, start % 4 = 0 AS generic FROM gold WHERE (doc_id + start) % 3 = 0)"""
+BACKFILL = """, f AS (SELECT doc_id, start, "end", type || '/Sub' AS new_type, (start % 100) / 100.0::DOUBLE AS conf, start % 4 = 0 AS generic FROM gold WHERE (doc_id + start) % 3 = 0)"""
+ENTITY_KEY = ["source", "source_id", "turn_index", "start", "end", "surface"]
+
+
+def entities(spark, d):
+    """Gold spans as entities of records, with the six parts of their key; passages have no turn."""
+    return spans(spark, d, GOLD).select(F.lit("documents").alias("source"), F.col("doc_id").alias("source_id"), F.lit(None).cast("int").alias("turn_index"), "start", "end", "surface", "type")
 
 
 def backfill(spark, d):
-    own = spans(spark, d, GOLD).where("(doc_id + start) % 3 = 0")
-    return own.select("doc_id", "start", F.concat("type", F.lit("/Sub")).alias("new_type"), (F.col("start") % 100 / F.lit(100.0)).alias("conf"), (F.col("start") % 4 == 0).alias("generic"))
+    own = entities(spark, d).where("(source_id + start) % 3 = 0").withColumnRenamed("type", "old_type")
+    return own.select(*ENTITY_KEY, F.concat("old_type", F.lit("/Sub")).alias("new_type"), (F.col("start") % 100 / F.lit(100.0)).alias("conf"), (F.col("start") % 4 == 0).alias("generic"))
 
 
-@query("backfill_apply", f"""{ONE}{BACKFILL} SELECT doc_id, start, CASE WHEN conf >= 0.7 AND NOT generic THEN new_type ELSE type END AS type FROM gold LEFT JOIN f USING (doc_id, start)""")
+@query("backfill_apply", f"""{ONE} SELECT doc_id AS source_id, start, CASE WHEN (doc_id + start) % 3 = 0 AND (start % 100) / 100.0::DOUBLE >= 0.7 AND start % 4 <> 0 THEN type || '/Sub' ELSE type END AS type FROM gold""")
 def backfill_apply(spark, d):
-    joined = spans(spark, d, GOLD).join(backfill(spark, d), ["doc_id", "start"], "left")
-    return joined.select("doc_id", "start", F.when((F.col("conf") >= 0.7) & ~F.col("generic"), F.col("new_type")).otherwise(F.col("type")).alias("type"))
+    return C.apply_backfill(entities(spark, d), backfill(spark, d), ENTITY_KEY).select("source_id", "start", "type")
 
 
-@query("upgrade_summary", f"""{ONE}{BACKFILL} SELECT type, new_type, CASE WHEN conf < 0.5 THEN '<.5' WHEN conf < 0.7 THEN '.5-.7' WHEN conf < 0.9 THEN '.7-.9' ELSE '>=.9' END AS band, count(*) AS n FROM gold JOIN f USING (doc_id, start) WHERE type <> new_type GROUP BY ALL""")
+@query("upgrade_summary", f"""{ONE}{BACKFILL} SELECT type, new_type, CASE WHEN conf < 0.5 THEN '<.5' WHEN conf < 0.7 THEN '.5-.7' WHEN conf < 0.9 THEN '.7-.9' ELSE '>=.9' END AS band, count(*) AS n FROM gold JOIN f USING (doc_id, start, "end") WHERE type <> new_type GROUP BY ALL""")
 def upgrade_summary(spark, d):
-    joined = spans(spark, d, GOLD).join(backfill(spark, d), ["doc_id", "start"]).where("type <> new_type")
+    fills = backfill(spark, d)
+    joined = entities(spark, d).alias("a").join(fills.alias("b"), C.same_key("a", "b", ENTITY_KEY)).select("a.type", "b.new_type", "b.conf").where("type <> new_type")
     band = F.when(F.col("conf") < 0.5, "<.5").when(F.col("conf") < 0.7, ".5-.7").when(F.col("conf") < 0.9, ".7-.9").otherwise(">=.9")
     return joined.groupBy("type", "new_type", band.alias("band")).agg(F.count("*").alias("n"))
 

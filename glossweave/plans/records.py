@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from glossweave.functions import granularity as G
-from glossweave.functions import text as T
+from glossweave.functions import python as P
 from glossweave.operators import core as C
 from glossweave.operators import sampling as S
 
-from .queries import BOTH, BROKEN, GOLD, ONE, PRED, broken, docs, read, spans
+from .queries import BOTH, BROKEN, FITS, GOLD, ONE, PRED, WINDOWS, broken_spans, docs, read, spans, with_spans
 from .registry import query
 
 _MONTH = G._MONTH
@@ -98,10 +98,13 @@ g AS (SELECT doc_id, k, type, a, b, true AS kept, b AS reach FROM r WHERE k = 1
   UNION ALL SELECT r.doc_id, r.k, r.type, r.a, r.b, r.a >= g.reach, CASE WHEN r.a >= g.reach THEN r.b ELSE g.reach END FROM g JOIN r ON r.doc_id = g.doc_id AND r.k = g.k + 1)
 SELECT doc_id, type, a::INT AS first, b::INT AS last_end FROM g WHERE kept""")
 def label_conflicts(spark, d):
-    both = spans(spark, d, GOLD).union(spans(spark, d, PRED)).distinct()
-    entities = both.groupBy("doc_id").agg(F.collect_list(F.struct("start", "end", "type")).alias("entities"))
-    tokens = C.tokens(docs(spark, d, "text")).groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("start", (F.col("start") + F.length("token")).alias("end")))).alias("offsets"))
-    labelled = entities.join(tokens, "doc_id").select("doc_id", F.explode(C.label_tokens(F.col("offsets"), F.col("entities"))).alias("x"))
+    rows = with_spans(spark, d, g=GOLD, p=PRED)
+    plain = lambda c: F.transform(c, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), x["type"].alias("type")))
+    tokens = F.split("text", " ")
+    starts = P.token_starts(tokens)
+    offsets = F.transform(F.arrays_zip(tokens.alias("t"), starts.alias("s")), lambda x: F.struct(x["s"].alias("start"), (x["s"] + F.length(x["t"])).alias("end")))
+    rows = rows.select("doc_id", F.array_union(plain("g"), plain("p")).alias("entities"), offsets.alias("offsets")).where(F.size("entities") > 0)
+    labelled = rows.select("doc_id", F.explode(C.label_tokens(F.col("offsets"), F.col("entities"))).alias("x"))
     return labelled.select("doc_id", "x.type", "x.first", "x.last_end")
 
 
@@ -115,15 +118,44 @@ def retype_fallback(spark, d):
     return own.select(kind.alias("type"), "original").where("type IS NOT NULL").groupBy("type", "original").agg(F.count("*").alias("n"))
 
 
-@query("validate_records", f"""{ONE}{BROKEN}, c AS (SELECT doc_id, bool_or(e <= s) AS empty, bool_or(substring(text, s + 1, e - s) <> surface) AS differs, list_distinct(list(type)) AS kinds FROM b GROUP BY 1),
-r AS (SELECT doc_id, ['PERSON', 'PLACE', 'DATE', 'EVENT'] AS q, * EXCLUDE (doc_id) FROM c)
-SELECT doc_id, array_to_string(list_filter([CASE WHEN empty THEN 'empty_span' END, CASE WHEN differs THEN 'surface_differs' END, CASE WHEN list_contains(kinds, 'ORG') THEN 'type_not_asked' END,
-  CASE WHEN 4 - len(kinds) < 2 THEN 'negatives_out_of_range' END], lambda x: x IS NOT NULL), ',') AS errors FROM r""")
+#: Passages with faults of every kind, in the wide form of records: by the number of the document.
+FAULTS = {
+    "schema_version": "CASE WHEN doc_id % 11 = 0 THEN '0.9' ELSE '1.0' END",
+    "split": "CASE WHEN doc_id % 13 = 0 THEN 'other' ELSE 'train' END",
+    "confidence": "CASE WHEN doc_id % 17 = 0 THEN 'bronze' ELSE 'gold' END",
+    "holdout": "doc_id % 7 = 0",
+}
+
+
+@query("validate_records", f"""{ONE}{BROKEN}, c AS (SELECT doc_id, bool_or(e <= s) AS empty, bool_or(e > s AND NOT {FITS.format(a='s', b='e')}) AS differs, list_distinct(list(type)) AS kinds FROM b GROUP BY 1),
+r AS (SELECT c.*, {", ".join(f"{v} AS {k}" for k, v in FAULTS.items())} FROM c)
+SELECT doc_id, array_to_string(list_filter([CASE WHEN schema_version <> '1.0' THEN 'schema_version' END, CASE WHEN split = 'other' THEN 'split' END, CASE WHEN confidence = 'bronze' THEN 'confidence' END,
+  CASE WHEN empty THEN 'empty_span' END, CASE WHEN differs THEN 'surface_differs' END, CASE WHEN list_contains(kinds, 'ORG') THEN 'type_not_asked' END,
+  CASE WHEN 4 - len(kinds) < 2 THEN 'negatives_out_of_range' END, CASE WHEN holdout THEN 'holdout_negative' END], lambda x: x IS NOT NULL), ',') AS errors FROM r""")
 def validate_records(spark, d):
-    entities = F.collect_list(F.struct("surface", "type", F.col("s").alias("start"), F.col("e").alias("end")))
-    records = broken(spark, d).where("text IS NOT NULL").groupBy("doc_id").agg(F.first("text").alias("text"), entities.alias("entities"))
-    errors = C.record_errors(F.col("text"), F.array(*map(F.lit, ("PERSON", "PLACE", "DATE", "EVENT"))), F.col("entities"), F.array(F.lit("documents")))
-    return records.select("doc_id", F.array_join(errors, ",").alias("errors"))
+    rows = broken_spans(spark, d).where(F.size("x") > 0).withColumns({k: F.expr(v) for k, v in FAULTS.items()})
+    entities = F.transform("x", lambda x: F.struct(x["surface"].alias("surface"), x["type"].alias("type"), x["s"].alias("start"), x["e"].alias("end")))
+    asked = F.array(*map(F.lit, ("PERSON", "PLACE", "DATE", "EVENT")))
+    records = rows.select("doc_id", "schema_version", "split", "confidence", F.array(F.lit("documents")).alias("provenance"), "text", asked.alias("query_types"), entities.alias("entities"), "holdout")
+    holdouts = F.when(F.col("holdout"), F.array(F.lit("DATE"))).otherwise(F.array().cast("array<string>"))
+    return records.select("doc_id", F.array_join(C.record_errors(holdouts), ",").alias("errors"))
+
+
+@query("validate_conversations", f"""WITH {WINDOWS}, x AS (SELECT conv_id, s // 2 AS w, t[s + 1 : s + 4] AS win FROM w)
+SELECT conv_id, w::INT AS w, array_to_string(list_filter([CASE WHEN len(win) < 2 THEN 'too_few_turns' END, CASE WHEN conv_id % 5 = 0 THEN 'turn_out_of_range' WHEN length(win[1].text) < 3 THEN 'surface_differs' END], lambda e: e IS NOT NULL), ',') AS errors FROM x""")
+def validate_conversations(spark, d):
+    """Windows as conversation records with one entity, the first three letters; of some its turn is out of range."""
+    rows = C.turn_windows(C.gather_turns(read(spark, d, "conversations")))
+    turn = F.when(F.col("conv_id") % 5 == 0, F.lit(9)).otherwise(0)
+    entity = F.struct(F.substring(F.col("window")[0]["text"], 1, 3).alias("surface"), F.lit("PERSON").alias("type"), F.lit(0).alias("start"), F.lit(3).alias("end"), turn.cast("int").alias("turn_index"))
+    fixed = {"schema_version": F.lit("1.0"), "split": F.lit("train"), "confidence": F.lit("silver"), "provenance": F.array(F.lit("c")), "turns": F.col("window"), "query_types": F.array(*map(F.lit, ("PERSON", "PLACE", "DATE"))), "entities": F.array(entity)}
+    return rows.withColumns(fixed).select("conv_id", "w", F.array_join(C.conversation_errors(), ",").alias("errors"))
+
+
+@query("duplicate_record_ids", "SELECT source, doc_id % 500 AS source_id, count(*) AS n FROM documents GROUP BY ALL HAVING count(*) > 1")
+def duplicate_record_ids(spark, d):
+    rows = docs(spark, d, "source").select("source", (F.col("doc_id") % 500).alias("source_id"))
+    return rows.groupBy("source", "source_id").agg(F.count("*").alias("n")).where("n > 1")
 
 
 @query("sequence_ids", """SELECT turn, CASE WHEN k > 0 THEN conv_id || '_' || k ELSE conv_id::VARCHAR END AS conv_id FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS k FROM conversations)""")
@@ -140,10 +172,11 @@ def required_coverage(spark, d):
     return need.join(have, "name", "full").select("name", state.alias("state"))
 
 
-@query("context_windows", f"""{ONE}{BROKEN} SELECT type, count(*) AS n, sum(length(substring(text, (greatest(0, start - 50) + 1)::INT, ("end" + 50 - greatest(0, start - 50))::INT)))::BIGINT AS chars FROM b GROUP BY 1""")
+@query("context_windows", f"""{ONE} SELECT doc_id, start, md5(substring(text, (greatest(0, start - 50) + 1)::INT, ("end" + 50 - greatest(0, start - 50))::INT)) AS digest FROM gold JOIN documents USING (doc_id)""")
 def context_windows(spark, d):
-    around = T.context_window(F.col("text"), F.col("start").cast("int"), F.col("end").cast("int"), 50)
-    return broken(spark, d).groupBy("type").agg(F.count("*").alias("n"), F.sum(F.length(around)).alias("chars"))
+    around = P.span_contexts(F.col("text"), F.col("x.start"), F.col("x.end"), 50)
+    rows = with_spans(spark, d, x=GOLD).select("doc_id", F.explode(F.arrays_zip(F.col("x.start").cast("array<bigint>").alias("start"), around.alias("c"))).alias("z"))
+    return rows.select("doc_id", "z.start", F.md5("z.c").alias("digest"))
 
 
 @query("running_best", """SELECT event_id, event_type, value > coalesce(max(value) OVER (PARTITION BY event_type ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '-infinity'::DOUBLE) AS keep FROM events""")

@@ -72,8 +72,26 @@ def test_label_tokens(spark):
 
 
 def test_record_errors(spark):
-    entity = "array(named_struct('surface', 'ab', 'type', 'A', 'start', 0, 'end', 2))"
-    fine = C.record_errors(F.lit("ab c"), F.expr("array('A', 'B', 'C')"), F.expr(entity), F.expr("array('s')"))
-    bad = C.record_errors(F.lit(""), F.expr("array('B', 'B')"), F.expr(entity), F.expr("array()").cast("array<string>"))
-    got = spark.range(1).select(fine.alias("fine"), bad.alias("bad")).first()
-    assert got["fine"] == [] and got["bad"] == ["no_provenance", "no_text", "query_types_repeat", "surface_differs", "type_not_asked", "negatives_out_of_range"]
+    base = dict(schema_version="1.0", split="train", confidence="gold", provenance=["s"], text="ab c", query_types=["A", "B", "C"], entities=[("ab", "A", 0, 2, None)])
+    kind = "schema_version string, split string, confidence string, provenance array<string>, text string, query_types array<string>, entities array<struct<surface:string,type:string,start:int,end:int,turn_index:int>>"
+    bad = dict(base, schema_version="2", split="x", confidence=None, provenance=[], text="", query_types=["B", "B"])
+    span = dict(base, entities=[("ab", "A", 1, 3, None), ("c", "A", 3, 3, None)])
+    rows = spark.createDataFrame([tuple(r.values()) for r in (base, bad, span)], kind)
+    got = [r["x"] for r in rows.select(C.record_errors(F.array(F.lit("C"))).alias("x")).collect()]
+    assert got[0] == ["holdout_negative"]
+    assert got[1] == ["schema_version", "split", "confidence", "no_provenance", "query_types_repeat", "no_text", "surface_differs", "type_not_asked", "negatives_out_of_range"]
+    assert got[2] == ["empty_span", "surface_differs", "holdout_negative"]
+
+
+def test_conversation_errors(spark):
+    kind = "schema_version string, split string, confidence string, provenance array<string>, turns array<struct<speaker:string,text:string>>, query_types array<string>, entities array<struct<surface:string,type:string,start:int,end:int,turn_index:int>>"
+    rows = [("1.0", "val", "silver", ["s"], turns, ["A", "B", "C"], entities) for turns, entities in (
+        ([("a", "hi Ann"), ("b", "yo")], [("Ann", "A", 3, 6, 0)]),
+        ([("a", "hi Ann")], [("Ann", "A", 3, 6, 1)]),
+        ([("a", "hi"), ("", "x")] * 3, [("Ann", "A", 0, 3, 0)]),
+        (None, None),
+    )]
+    frame = spark.createDataFrame(rows, kind)
+    got = [r["x"] for r in frame.select(C.conversation_errors().alias("x")).collect()]
+    assert got[:3] == [[], ["too_few_turns", "turn_out_of_range"], ["too_many_turns", "blank_turn", "surface_differs"]] and got[3][0] == "too_few_turns"
+    assert frame.select(C.conversation_errors(most=None).alias("x")).collect()[2]["x"] == ["blank_turn", "surface_differs"]

@@ -69,6 +69,38 @@ def test_types_and_lexicons(spark):
     assert one(spark, T.base_id(F.lit("a__w3_canonical"))) == "a"
 
 
+def test_islands_within_rows():
+    import pyarrow as pa
+
+    tokens = pa.array([["Ab", "cdé", "x"], None, [], ["lm", "Zz", "q"], ["a", "b"]])
+    tags = pa.array([["B-A", "I-A", "O"], None, [], ["I-B", "B-A", "I-B"], ["I-B", "O"]])
+    got = [[tuple(s.values()) for s in r] for r in P.islands(tokens, tags).to_pylist()]
+    assert got == [[("A", 0, 2, 0, 6, "Ab cdé")], [], [], [("B", 0, 1, 0, 2, "lm"), ("A", 1, 2, 3, 5, "Zz"), ("B", 2, 3, 6, 7, "q")], [("B", 0, 1, 0, 1, "a")]]
+    assert P.islands(tokens[1:4], tags[1:4]).to_pylist() == P.islands(tokens, tags).to_pylist()[1:4]
+
+
+def test_mentions_and_repairs():
+    assert P.assign("Ann met Bob, Ann left", ["Ann", "Bob", "Ann", "Ann"]) == [0, 8, 13, None]
+    assert P.assign("Ann met Bob, Ann left", ["Ann", "Ann"], [20, None]) == [13, 0]
+    assert P.assign("ＡＢ x", ["AB"]) == [0] and P.assign("", [""]) == [None]
+    assert P.mended("a Bob b", "Bob", 2, 5)["way"] == "exact" and P.mended("a Bob b", "Bob", 0, 3) == {"start": 2, "end": 5, "surface": "Bob", "way": "nearest"}
+    assert P.mended("see Roberta now", "Robarta", 3, 10) == {"start": 4, "end": 11, "surface": "Roberta", "way": "fuzzy"} and P.mended("abc", "xyz", 0, 3)["way"] == "dropped"
+    assert P.shift("x ﬁ", ("ﬁ", "fi"), 2, 2) == {"d_start": 0, "d_end": 1} and P.shift("x fi", ("ﬁ", "fi"), 2, 4) == {"d_start": 0, "d_end": 0}
+
+
+def test_joined_tokens():
+    assert P.joined(["Hi", ",", "(", "you", ")", "!"]) == ("Hi, (you)!", [(0, 2), (2, 3), (4, 5), (5, 8), (8, 9), (9, 10)])
+    assert P.joined(["東京", "は", "big", "city"], True)[0] == "東京はbig city" and P.joined([]) == ("", [])
+
+
+def test_containing(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "one two three"), (2, "two"), (3, None), (4, "")], "doc_id int, text string")
+    items = spark.createDataFrame([(1, "two"), (2, "o t"), (3, ""), (4, None), (5, "two"), (6, "four")], "item int, text string")
+    for most in (C.AUTOMATON, 70):
+        monkeypatch.setattr(C, "AUTOMATON", most)
+        assert sorted(map(tuple, C.containing(docs, items, "item").collect())) == [(1, 2), (2, 1), (3, 3), (5, 2)]
+
+
 def test_readers(spark, tmp_path):
     (tmp_path / "x.conll").write_text("# id s1\nAnn _ _ B-PER\nran _ _ O\n\n# id s2\nOslo _ _ B-LOC\n")
     assert sorted((r["id"], r["tokens"], r["tags"]) for r in R.conll(spark, str(tmp_path / "x.conll")).collect()) == [("s1", ["Ann", "ran"], ["B-PER", "O"]), ("s2", ["Oslo"], ["B-LOC"])]
