@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import json
 import re
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 _WEEKDAY = "(?:monday|tuesday|wednesday|thursday|friday|saturday|sunday)"
@@ -62,6 +63,19 @@ def phrase(words: str, numbers: bool = False) -> str:
     return r"^\s*" + r"\d+".join(r"\s+".join(map(re.escape, p.split(" "))) for p in places) + r"\s*$"
 
 
+#: The lists of a vocabulary file that belong to each category.
+LISTS = {"Day": ["weekdays", "yesterday_today_tomorrow"], "Week": ["week_words"], "Month": ["months", "month_words"], "Season": ["seasons"], "Year": ["year_words"], "Hour": ["time_of_day"], "Vague": ["vague"]}
+
+
+def load_vocabulary(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """The phrases by category of a JSON file that has, for each language, lists of them; what has another form is
+    passed over. A small file, read through Spark, so that any of its stores will do."""
+    whole = "\n".join(r[0] for r in spark.read.text(path, wholetext=True).collect())
+    tables = [t for t in json.loads(whole).values() if isinstance(t, dict)]
+    lists = {c: [t.get(name) for t in tables for name in names] for c, names in LISTS.items()}
+    return {c: list(dict.fromkeys(x.strip() for own in found if isinstance(own, list) for x in own if isinstance(x, str) and x.strip())) for c, found in lists.items()}
+
+
 def granularity(surface: Column, vocabulary: dict[str, list[str]] | None = None) -> Column:
     """Struct of granularity, ambiguous and matched_categories.
 

@@ -160,6 +160,17 @@ def span_fits(text: Column, surfaces: Column, starts: Column, ends: Column) -> C
     return F.arrow_udf(lambda a, b, c, d: run(a, b, c, d), "array<boolean>")(text, surfaces, starts, ends)
 
 
+def pattern_hits(text: Column, patterns: list[tuple[str, str]], around: int = 100) -> Column:
+    """All matches of each pattern in the row's text, which don't overlap: (reason, start, end, surface, context)."""
+    compiled = [(re.compile(p, re.IGNORECASE), reason) for p, reason in patterns]
+    kind = pa.list_(pa.struct([("reason", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("surface", pa.string()), ("context", pa.string())]))
+
+    def run(texts):
+        return pa.array([[{"reason": reason, "start": m.start(), "end": m.end(), "surface": m[0], "context": t[max(0, m.start() - around) : m.end() + around]} for p, reason in compiled for m in p.finditer(t or "")] for t in texts.to_pylist()], kind)
+
+    return F.arrow_udf(lambda a: run(a), "array<struct<reason:string,start:int,end:int,surface:string,context:string>>")(text)
+
+
 def places_of(text: str, surface: str, words: bool = False) -> list[int]:
     """Starts of all occurrences that don't overlap; with words, whole words only. Else those of the NFKC
     surface, else those in the NFKC text, if that has the same length."""
@@ -273,17 +284,31 @@ def detokenized(tokens: Column, cjk: Column) -> Column:
     return F.arrow_udf(lambda a, b: run(a, b), "struct<text:string,offsets:array<struct<start:int,end:int>>>")(tokens, cjk)
 
 
-def label_place(token_starts, token_ends, starts, ends) -> list[dict]:
-    """Token ranges of the entities that no earlier one meets; tokens and entities are in order of start."""
-    first, last_end = np.searchsorted(token_ends, starts, "right"), np.searchsorted(token_starts, ends)
+# -- labels of tokens ------------------------------------------------------------------------------------
+
+
+def label_place(token_starts: np.ndarray, token_ends: np.ndarray, entities: list[tuple[int, int, str]]) -> list[dict]:
+    """Token ranges of the entities (start, end, type), by start and the longer first, that meet no earlier one's tokens."""
+    ranked = sorted(entities, key=lambda e: (e[0], -e[1], e[2]))
+    first = np.searchsorted(token_ends, [e[0] for e in ranked], "right").tolist()
+    last_end = np.searchsorted(token_starts, [e[1] for e in ranked]).tolist()
     out, reach = [], 0
-    for k, (a, b) in enumerate(zip(first.tolist(), last_end.tolist(), strict=True)):
+    for (_, _, kind), a, b in zip(ranked, first, last_end, strict=True):
         if reach <= a < b:
-            out.append({"entity": k, "first": a, "last_end": b})
+            out.append({"type": kind, "first": a, "last_end": b})
             reach = b
     return out
 
 
-def label_places(token_starts: Column, token_ends: Column, starts: Column, ends: Column) -> Column:
-    place = lambda *columns: pd.Series([None if any(x is None for x in row) else label_place(*row) for row in zip(*columns, strict=True)])
-    return F.pandas_udf(lambda a, b, c, d: place(a, b, c, d), "array<struct<entity:int,first:int,last_end:int>>")(token_starts, token_ends, starts, ends)
+def token_labels(tokens: Column, starts: Column, ends: Column, types: Column) -> Column:
+    """The entities (type, first, last_end) of each row that get tokens; tokens are joined by one blank."""
+    kind = pa.list_(pa.struct([("type", pa.string()), ("first", pa.int32()), ("last_end", pa.int32())]))
+
+    def run(lists, *columns):
+        sizes, _ = _rows(lists)
+        begin, length = _starts(lists)
+        cuts = np.concatenate([[0], np.cumsum(sizes)])
+        made = [label_place(begin[a:b], begin[a:b] + length[a:b], list(zip(x or [], y or [], z or [], strict=True))) for a, b, (x, y, z) in zip(cuts, cuts[1:], _lists(*columns), strict=False)]
+        return pa.array(made, kind)
+
+    return F.arrow_udf(lambda a, b, c, d: run(a, b, c, d), "array<struct<type:string,first:int,last_end:int>>")(tokens, starts, ends, types)

@@ -40,13 +40,17 @@ def merge_duplicates(records: DataFrame, order: str) -> DataFrame:
     )
 
 
-def stratified_split(records: DataFrame, strata: list[str], order: str, share: float = 0.05) -> DataFrame:
-    """Of a stratum of n > 2 rows the first max(1, floor(n * share)) in hash order are val, all others train."""
-    by = Window.partitionBy(*strata)
-    n = F.count("*").over(by)
-    rank = F.row_number().over(by.orderBy(order))
-    quota = F.greatest(F.lit(1), F.floor(n * share))
-    return records.withColumn("split", F.when((n > 2) & (rank <= quota), "val").otherwise("train"))
+def stratified_split(records: DataFrame, strata: list[str], order: str, share: float = 0.05, seed: int | None = None) -> DataFrame:
+    """Of a stratum of n > 2 rows the first max(1, floor(n * share)) in order are val, all others train.
+
+    order is a hash in hex, or, with a seed, any column, whose hash with the seed is taken.
+    """
+    from .records import first_of_strata
+
+    quota = F.when(F.col("n") > 2, F.greatest(F.lit(1), F.floor(F.col("n") * share))).otherwise(0)
+    by = F.col(order) if seed is None else T.hash_order(seed, F.col(order).cast("string"))
+    marked = first_of_strata(records, strata, by, order, quota)
+    return marked.select(*records.columns, F.when(F.col("chosen"), "val").otherwise("train").alias("split"))
 
 
 # -- tokens, tags, spans ------------------------------------------------------------------------------
@@ -193,11 +197,6 @@ def containing(docs: DataFrame, items: DataFrame, id: str, text: str = "text") -
 # -- types ------------------------------------------------------------------------------------------------
 
 
-def retype(spans: DataFrame, mapping: DataFrame) -> DataFrame:
-    """Spans with the type that the mapping (type, target) gives; others are dropped. The mapping has a type's rows only."""
-    return spans.join(mapping, "type").withColumn("type", F.col("target")).drop("target")
-
-
 def chat_rows(records: DataFrame) -> DataFrame:
     """One row for each query type: the surfaces of that type in entity order, as a JSON list."""
     asked = records.select("*", F.explode("query_types").alias("query_type"))
@@ -208,12 +207,6 @@ def chat_rows(records: DataFrame) -> DataFrame:
 # -- sampling ---------------------------------------------------------------------------------------------
 
 
-def first_in_hash_order(rows: DataFrame, strata: list[str], key: str, quota: Column, seed: int = 42) -> DataFrame:
-    """The first `quota` rows of each stratum in a seeded hash order."""
-    by = Window.partitionBy(*strata).orderBy(T.hash_order(seed, F.col(key).cast("string")), key)
-    return rows.withColumn("_rank", F.row_number().over(by)).where(F.col("_rank") <= quota).drop("_rank")
-
-
 def largest_remainder(weights: DataFrame, total: int) -> DataFrame:
     """Whole shares of a total in proportion to weight; what is left goes to the largest remainders."""
     every = Window.partitionBy(F.lit(0))
@@ -243,17 +236,6 @@ def with_prf(counts: DataFrame) -> DataFrame:
 # -- labels, validation, reports ------------------------------------------------------------------------------
 
 
-def label_tokens(offsets: Column, entities: Column) -> Column:
-    """The entities (type, first, last_end) that get tokens, by token number; entities is an array of (start, end, type).
-
-    They come by start, the longer first. A token is touched if it overlaps the entity; an entity with
-    a token that an earlier one has is dropped whole, and so is one that touches none. Tokens are in order.
-    """
-    ranked = F.array_sort(F.transform(entities, lambda e: F.struct(e["start"].alias("start"), (e["start"] - e["end"]).alias("less"), e["type"].alias("type"), e["end"].alias("end"))))
-    places = P.label_places(offsets["start"], offsets["end"], ranked["start"], ranked["end"])
-    return F.transform(places, lambda p: F.struct(F.get(ranked, p["entity"])["type"].alias("type"), p["first"].alias("first"), p["last_end"].alias("last_end")))
-
-
 def numbered_ids(rows: DataFrame, id: str, order: str) -> DataFrame:
     """The second and later rows of an id get a suffix: _1, _2 and so on, in the given order."""
     k = F.row_number().over(Window.partitionBy(id).orderBy(order)) - 1

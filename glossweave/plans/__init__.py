@@ -1 +1 @@
-from . import queries, records, silver  # noqa: F401
+from . import corpus, formats, queries, records, silver  # noqa: F401

@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from glossweave.functions import python as P
 from glossweave.functions import text as T
+from glossweave.functions import vocabulary as V
 from glossweave.operators import core as C
+from glossweave.operators import records as R
 
 from .registry import query
 
@@ -163,13 +165,15 @@ def turn_words(spark, d, *columns):
     return read(spark, d, "conversations").select("conv_id", "turn", *columns, words.alias("words"))
 
 
-@query("span_nearest_fix", f"""WITH t AS ({WORDS}),
-o AS (SELECT conv_id, turn, surface, length(text) // 2 AS hint, unnest(list_filter(range(0, length(text)), lambda i: substring(text, i + 1, length(surface)) = surface)) AS s FROM t)
+@query("span_nearest_fix", f"""WITH t AS ({WORDS}), p AS (SELECT conv_id, turn, surface, length(text) // 2 AS hint, string_split(text, surface) AS parts FROM t),
+o AS (SELECT conv_id, turn, surface, hint, list_sum(list_transform(parts[1 : k], lambda x: length(x))) + (k - 1) * length(surface) AS s FROM p, unnest(generate_series(1, len(parts) - 1)) g(k))
 SELECT conv_id, turn, surface, arg_min(s, abs(s - hint) * 1000000 + s)::INT AS start FROM o GROUP BY ALL""")
 def span_nearest_fix(spark, d):
+    """Every word of every turn at its place nearest to the middle."""
     rows = turn_words(spark, d, "text")
-    at = F.transform("words", lambda w: F.struct(w.alias("surface"), C.nearest_place(F.col("text"), w, F.expr("length(text) div 2").cast("int")).alias("start")))
-    return rows.select("conv_id", "turn", F.explode(at).alias("x")).select("conv_id", "turn", "x.*")
+    rows = rows.withColumn("start", P.mention_starts(F.col("text"), F.col("words"), F.transform("words", lambda w: F.expr("length(text) div 2").cast("int"))))
+    got = rows.select("conv_id", "turn", F.explode(F.arrays_zip("words", "start")).alias("x"))
+    return got.select("conv_id", "turn", F.col("x.words").alias("surface"), "x.start")
 
 
 @query("repeated_surface_audit", f"""WITH t AS ({WORDS}) SELECT conv_id, turn, surface, n FROM (SELECT *, ((length(text) - length(replace(text, surface, ''))) // length(surface))::BIGINT AS n FROM t) WHERE n > 1""")
@@ -274,28 +278,6 @@ def clean_text(spark, d):
 
 # -- types, views ------------------------------------------------------------------------------------------
 
-MAPPING = [("PERSON", "PERSON"), ("PLACE", "PLACE"), ("MISC", "EVENT")]
-
-
-def mapping(spark):
-    return spark.createDataFrame(MAPPING, "type string, target string")
-
-
-@query("retype_view_b", f"""{ONE}, m(type, target) AS (VALUES ('PERSON', 'PERSON'), ('PLACE', 'PLACE'), ('MISC', 'EVENT'))
-SELECT doc_id || '_canonical' AS id, target AS type, count(*) AS n FROM gold JOIN m USING (type) GROUP BY ALL""")
-def retype_view_b(spark, d):
-    out = C.retype(spans(spark, d, GOLD), F.broadcast(mapping(spark)))  # the mapping is a fixed list
-    return out.groupBy(F.concat(F.col("doc_id"), F.lit("_canonical")).alias("id"), "type").agg(F.count("*").alias("n"))
-
-
-@query("zero_shot_strip", f"""{ONE}, c AS (SELECT doc_id, count(*) AS n, count(*) FILTER (type = 'ORG') AS held FROM gold GROUP BY 1)
-SELECT doc_id, CASE WHEN coalesce(held, 0) = 0 THEN 'keep' WHEN held = n THEN 'zero_shot' ELSE 'strip' END AS fate, coalesce(n - held, 0) AS n_left FROM documents LEFT JOIN c USING (doc_id)""")
-def zero_shot_strip(spark, d):
-    counts = spans(spark, d, GOLD).groupBy("doc_id").agg(F.count("*").alias("n"), F.count_if(F.col("type") == "ORG").alias("held"))
-    fate = F.when(F.coalesce("held", F.lit(0)) == 0, "keep").when(F.col("held") == F.col("n"), "zero_shot").otherwise("strip")
-    return docs(spark, d).join(counts, "doc_id", "left").select("doc_id", fate.alias("fate"), F.coalesce(F.col("n") - F.col("held"), F.lit(0)).alias("n_left"))
-
-
 @query("chat_explode", f"""{ONE}, e AS (SELECT doc_id, type, start, substring(text, (start + 1)::INT, ("end" - start)::INT) AS surface FROM gold JOIN documents USING (doc_id) WHERE regexp_full_match(substring(text, (start + 1)::INT, ("end" - start)::INT), '[A-Za-z ]+'))
 SELECT doc_id, type AS query_type, '["' || string_agg(surface, '","' ORDER BY start) || '"]' AS answer FROM e GROUP BY ALL""")
 def chat_explode(spark, d):
@@ -323,16 +305,18 @@ def field_presence(spark, d):
 # -- sampling ------------------------------------------------------------------------------------------------
 
 
+def hashed(seed):
+    return T.hash_order(seed, F.col("doc_id").cast("string"))
+
+
 @query("language_cap", "SELECT doc_id, lang FROM documents QUALIFY row_number() OVER (PARTITION BY lang ORDER BY sha256('42|' || doc_id), doc_id) <= 50")
 def language_cap(spark, d):
-    return C.first_in_hash_order(docs(spark, d, "lang"), ["lang"], "doc_id", F.lit(50))
+    return R.first_of_strata(docs(spark, d, "lang"), ["lang"], hashed(42), "doc_id", F.lit(50)).where("chosen").select("doc_id", "lang")
 
 
 @query("source_cap", """SELECT doc_id, source FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY sha256('7|' || doc_id), doc_id) AS r FROM documents) WHERE r <= (SELECT floor(count(*) * 0.02) FROM documents)""")
 def source_cap(spark, d):
-    rows = docs(spark, d, "source")
-    total = rows.agg(F.floor(F.count("*") * 0.02).alias("cap"))
-    return C.first_in_hash_order(rows.crossJoin(F.broadcast(total)), ["source"], "doc_id", F.col("cap"), 7).select("doc_id", "source")
+    return R.first_of_strata(docs(spark, d, "source"), ["source"], hashed(7), "doc_id", F.floor(F.col("total") * 0.02)).where("chosen").select("doc_id", "source")
 
 
 @query("bucket_sample", """WITH b AS (SELECT d.doc_id, CASE WHEN quality = 1 THEN 'gold' WHEN lang = 'en' THEN 'silver_en' ELSE 'silver_ml' END AS bucket FROM documents d LEFT JOIN labels USING (doc_id)),
@@ -341,9 +325,8 @@ SELECT doc_id, bucket FROM n WHERE r <= greatest(1, floor(100 * nb / n))""")
 def bucket_sample(spark, d):
     rows = docs(spark, d, "lang").join(read(spark, d, "labels"), "doc_id", "left")
     rows = rows.select("doc_id", F.when(F.col("quality") == 1, "gold").when(F.col("lang") == "en", "silver_en").otherwise("silver_ml").alias("bucket"))
-    sizes = rows.groupBy("bucket").agg(F.count("*").alias("nb"))
-    quota = sizes.withColumn("quota", F.greatest(F.lit(1), F.floor(100 * F.col("nb") / F.expr("sum(nb) OVER (PARTITION BY 1)")))).drop("nb")
-    return C.first_in_hash_order(rows.join(F.broadcast(quota), "bucket"), ["bucket"], "doc_id", F.col("quota")).select("doc_id", "bucket")  # three buckets
+    quota = F.greatest(F.lit(1), F.floor(100 * F.col("n") / F.col("total")))
+    return R.first_of_strata(rows, ["bucket"], hashed(42), "doc_id", quota).where("chosen").select("doc_id", "bucket")
 
 
 @query("mixture_sample", """WITH b AS (SELECT doc_id, CASE lang WHEN 'en' THEN 'gold' WHEN 'de' THEN 'silver_en' ELSE 'silver_ml' END AS bucket FROM documents),
@@ -352,22 +335,9 @@ n AS (SELECT *, count(*) OVER (PARTITION BY bucket) AS nb, floor((SELECT count(*
 SELECT bucket, doc_id, (want // nb + CASE WHEN r <= want % nb THEN 1 ELSE 0 END)::BIGINT AS times FROM n WHERE want // nb + CASE WHEN r <= want % nb THEN 1 ELSE 0 END > 0""")
 def mixture_sample(spark, d):
     rows = docs(spark, d, F.expr("CASE lang WHEN 'en' THEN 'gold' WHEN 'de' THEN 'silver_en' ELSE 'silver_ml' END").alias("bucket"))
-    sizes = rows.groupBy("bucket").agg(F.count("*").alias("nb"))
-    share = F.expr("CASE bucket WHEN 'gold' THEN 0.75D WHEN 'silver_en' THEN 0.2D ELSE 0.05D END")
-    sizes = sizes.withColumn("want", F.floor(F.expr("sum(nb) OVER (PARTITION BY 1)") * share))
-    ranked = rows.withColumn("r", F.expr("row_number() OVER (PARTITION BY bucket ORDER BY sha2(concat_ws('|', '1', doc_id), 256), doc_id)")).join(F.broadcast(sizes), "bucket")
-    return ranked.select("bucket", "doc_id", F.expr("want div nb + CASE WHEN r <= want % nb THEN 1 ELSE 0 END").alias("times")).where("times > 0")
-
-
-@query("weighted_negatives", """WITH t AS (SELECT event_type AS type, sqrt(count(*)) AS w FROM events GROUP BY 1),
-k AS (SELECT doc_id, type, -ln((('0x' || sha256('42|' || doc_id || '|' || type)[1:13])::BIGINT + 1) / 4503599627370497.0::DOUBLE) / w AS key FROM documents, t)
-SELECT doc_id, string_agg(type, ',' ORDER BY type) AS negatives FROM (SELECT * FROM k QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY key, type) <= 2) GROUP BY 1""")
-def weighted_negatives(spark, d):
-    types = read(spark, d, "events").groupBy(F.col("event_type").alias("type")).agg(F.sqrt(F.count("*")).alias("w"))
-    pool = types.agg(F.array_sort(F.collect_list(F.struct("type", "w"))).alias("pool"))  # one row: the type vocabulary
-    unit = lambda t: (F.conv(F.substring(T.hash_order(42, F.col("doc_id").cast("string"), t["type"]), 1, 13), 16, 10).cast("long") + 1) / F.lit(4503599627370497.0)
-    keyed = F.array_sort(F.transform("pool", lambda t: F.struct((-F.log(unit(t)) / t["w"]).alias("key"), t["type"].alias("type"))))
-    return docs(spark, d).crossJoin(F.broadcast(pool)).select("doc_id", F.array_join(F.array_sort(F.transform(F.slice(keyed, 1, 2), lambda x: x["type"])), ",").alias("negatives"))
+    want = F.floor(F.col("total") * F.expr("CASE bucket WHEN 'gold' THEN 0.75D WHEN 'silver_en' THEN 0.2D ELSE 0.05D END"))
+    marked = R.first_of_strata(rows, ["bucket"], hashed(1), "doc_id", want % F.col("n")).withColumn("want", want)
+    return marked.select("bucket", "doc_id", F.expr("want div n + int(chosen)").alias("times")).where("times > 0")
 
 
 @query("largest_remainder", """WITH w AS (SELECT n_name AS name, (length(n_name))::DOUBLE AS weight FROM nation), x AS (SELECT name, floor(weight * 100 / sum(weight) OVER ()) AS f, weight * 100 / sum(weight) OVER () - floor(weight * 100 / sum(weight) OVER ()) AS r FROM w)
@@ -459,37 +429,8 @@ def upgrade_summary(spark, d):
     return joined.groupBy("type", "new_type", band.alias("band")).agg(F.count("*").alias("n"))
 
 
-@query("hard_negative_mine", r"""WITH t AS (SELECT conv_id, turn, text, strpos(text, ' the ') AS p FROM conversations)
-SELECT conv_id, turn, (p - 1)::INT AS start, substring(text, greatest(0, p - 1 - 20)::INT + 1, (p - 1 + 5 + 20 - greatest(0, p - 1 - 20))::INT) AS context FROM t WHERE p > 0 AND NOT regexp_matches(substring(text, greatest(p - 1, 1)::INT, 1), '[A-Z]')""")
-def hard_negative_mine(spark, d):
-    rows = read(spark, d, "conversations").withColumn("p", F.instr("text", " the ")).where("p > 0")
-    rows = rows.where(~F.expr("substring(text, greatest(p - 1, 1), 1)").rlike("[A-Z]")).withColumn("start", F.col("p") - 1)
-    return rows.select("conv_id", "turn", "start", T.context_window(F.col("text"), F.col("start"), F.col("start") + 5, 20).alias("context"))
-
-
 # -- lexicons -------------------------------------------------------------------------------------------------
 
-FIRST = "SELECT conv_id, turn, lower(string_split(text, ' ')[1] || ' ' || string_split(text, ' ')[2]) AS s, text FROM conversations"
-
-
-def surfaces(spark, d):
-    parts = F.split("text", " ")
-    return read(spark, d, "conversations").select("conv_id", "turn", F.lower(F.concat(F.get(parts, F.lit(0)), F.lit(" "), F.get(parts, F.lit(1)))).alias("s"), "text")
-
-
-@query("lexicon_event", f"""WITH x AS ({FIRST}), y AS (SELECT *, trim(regexp_replace(trim(s), '^(the|a|my|his|her|our|their)\\s+', '')) AS p FROM x)
-SELECT conv_id, turn, CASE WHEN p = 'of the' THEN NULL WHEN regexp_matches(p, 'tion|ing') THEN 'EVENT/Life' WHEN regexp_matches(p, 'and|that') THEN 'EVENT/General' END AS subtype FROM y WHERE p IS NOT NULL""".replace("\\\\", "\\"))
-def lexicon_event(spark, d):
-    return surfaces(spark, d).where("s IS NOT NULL").select("conv_id", "turn", T.event_subtype(F.col("s"), ["tion", "ing"], ["and", "that"], ["of the"]).alias("subtype"))
-
-
-@query("lexicon_relation", f"""WITH x AS ({FIRST}), y AS (SELECT *, trim(regexp_replace(regexp_replace(regexp_replace(s, '^(my|our|his|her|their|your) ', ''), '^(the|a|an) ', ''), '''s$', '')) AS p FROM x WHERE s IS NOT NULL)
-SELECT conv_id, turn, CASE WHEN list_has_any(regexp_split_to_array(p, '\\s+'), ['and', 'of']) OR contains(p, 'in the') THEN 'RELATIONSHIP_REF/Family' WHEN list_has_any(regexp_split_to_array(p, '\\s+'), ['that', 'with']) THEN 'RELATIONSHIP_REF/Friend' END AS subtype FROM y""".replace("\\\\", "\\"))
-def lexicon_relation(spark, d):
-    lexicons = [("Family", ["and", "of", "in the"]), ("Friend", ["that", "with"])]
-    return surfaces(spark, d).where("s IS NOT NULL").select("conv_id", "turn", T.relation_subtype(F.col("s"), lexicons).alias("subtype"))
-
-
 @query("pronoun_filter", f"""WITH {TOKENS} SELECT token, count(*) AS n FROM tok WHERE lower(trim(token)) IN ('i', 'it', 'he', 'you', 'me', 'us', 'we', 'she', 'her', 'him') GROUP BY 1""")
 def pronoun_filter(spark, d):
     own = F.explode(F.split("text", " ")).alias("token")
@@ -497,17 +438,17 @@ def pronoun_filter(spark, d):
     return rows.groupBy("token").agg(F.count("*").alias("n"))
 
 
-@query("noise_filter", """SELECT i AS id, s AS surface, k AS type, n FROM (VALUES (1, '頭', 'ACTIVITY', true), (2, '頭', 'PLACE', false), (3, '冬服', 'DATE/Season', true), (4, '女', 'RELATIONSHIP_REF/Friend', true), (5, '募集', 'EVENT/General', true)) t(i, s, k, n)""")
-def noise_filter(spark, d):
-    rows = spark.createDataFrame([(1, "頭", "ACTIVITY"), (2, "頭", "PLACE"), (3, "冬服", "DATE/Season"), (4, "女", "RELATIONSHIP_REF/Friend"), (5, "募集", "EVENT/General")], "id int, surface string, type string")
-    return rows.withColumn("n", T.is_noise(F.col("type"), F.col("surface")))
+NOISY = sorted({w for words in V.NOISE.values() for w in words} | {"山", "犬"})
+KINDS = ["ACTIVITY", "EMOTION", "RELATIONSHIP_REF/Friend", "EVENT/General", "DATE/Season", "PLACE"]
+_NOISE = " OR ".join([f"(starts_with(type, '{k}') AND surface IN ({', '.join(repr(w) for w in ws)}))" for k, ws in V.NOISE.items()] + [f"(type = '{k}' AND surface = '{w}')" for k, w in V.NOISE_EXACT])
 
 
-@query("specificity_gate", r"""WITH x AS (SELECT conv_id, turn, text, lower(string_split(text, ' ')[3]) AS s FROM conversations)
-SELECT conv_id, turn, regexp_matches(text, '(?i)(^|[^a-zA-Z0-9_À-ÿ])(my|our|his|her|their|your|that|this|the)\s+' || s) AS specific FROM x WHERE regexp_matches(s, '^[a-z]+$')""")
-def specificity_gate(spark, d):
-    rows = read(spark, d, "conversations").withColumn("s", F.lower(F.get(F.split("text", " "), F.lit(2)))).where(F.col("s").rlike("^[a-z]+$"))
-    return rows.select("conv_id", "turn", T.is_specific(F.col("s"), F.col("text")).alias("specific"))
+@query("noise_filter", f"""WITH t AS (SELECT conv_id, turn, {NOISY!r}[(conv_id * 7 + turn) % {len(NOISY)} + 1] AS surface, unnest({KINDS!r}) AS type FROM conversations) SELECT *, {_NOISE} AS noise FROM t""")
+def noise_filter(spark, d):
+    """A surface for every turn, under every type: is it noise there?"""
+    surface = F.element_at(F.array(*map(F.lit, NOISY)), ((F.col("conv_id") * 7 + F.col("turn")) % len(NOISY) + 1).cast("int"))
+    rows = read(spark, d, "conversations").select("conv_id", "turn", surface.alias("surface"), F.explode(F.array(*map(F.lit, KINDS))).alias("type"))
+    return rows.withColumn("noise", T.is_noise(F.col("type"), F.col("surface")))
 
 
 # -- metrics --------------------------------------------------------------------------------------------------
@@ -589,7 +530,9 @@ def composite_score(spark, d):
     return read(spark, d, "lineitem").groupBy(F.col("l_returnflag").alias("run")).agg(F.round(sum(w * m for w, m in weights), 6).alias("composite"))
 
 
-@query("llm_output_parse", """SELECT * FROM (VALUES (1, '[{"a":1}]'), (2, '[{"a":2}]'), (3, NULL), (4, '[1,2]')) t(id, parsed)""")
+@query("llm_output_parse", """SELECT doc_id, CASE doc_id % 5 WHEN 0 THEN '[{"n":' || length(text) || '}]' WHEN 1 THEN '[{"n":' || length(text) || '}]' WHEN 2 THEN NULL WHEN 3 THEN '[' || doc_id || ',2]' END AS parsed FROM documents WHERE text IS NOT NULL""")
 def llm_output_parse(spark, d):
-    raw = [(1, '```json\n[{"a":1}]\n```'), (2, 'Here: {"a":2} done'), (3, "no json at all"), (4, "x [1,2] y")]
-    return spark.createDataFrame(raw, "id int, raw string").select("id", T.json_list(F.col("raw")).alias("parsed"))
+    """An answer of some form for every document: a fenced list, an object in prose, none, a list in prose, a broken one."""
+    shapes = ["concat('```json\n[{\"n\":', length(text), '}]\n```')", "concat('Here: {\"n\":', length(text), '} done')", "'no json at all'", "concat('x [', doc_id, ',2] y')", "'[1, 2'"]
+    raw = F.expr("CASE doc_id % 5 " + " ".join(f"WHEN {i} THEN {x}" for i, x in enumerate(shapes)) + " END")
+    return docs(spark, d, "text").where("text IS NOT NULL").select("doc_id", T.json_list(raw).alias("parsed"))

@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from glossweave.functions import granularity as G
 from glossweave.functions import python as P
+from glossweave.functions import text as T
 from glossweave.operators import core as C
+from glossweave.operators import records as R
 from glossweave.operators import sampling as S
 
 from .queries import BOTH, BROKEN, FITS, GOLD, ONE, PRED, WINDOWS, broken_spans, docs, read, spans, with_spans
@@ -84,7 +86,8 @@ def batch_pack(spark, d):
 @query("holdout_indices", """SELECT lang, doc_id FROM documents QUALIFY row_number() OVER (PARTITION BY lang ORDER BY sha256('42|' || lang || '|' || doc_id), doc_id) <= 5""")
 def holdout_indices(spark, d):
     rows = docs(spark, d, "lang").withColumn("key", F.concat_ws("|", "lang", "doc_id"))
-    return C.first_in_hash_order(rows, ["lang"], "key", F.lit(5)).select("lang", "doc_id")
+    order = T.hash_order(42, F.col("key"))
+    return R.first_of_strata(rows, ["lang"], order, "doc_id", F.lit(5)).where("chosen").select("lang", "doc_id")
 
 
 # -- labels, types, validation ----------------------------------------------------------------------------------
@@ -100,11 +103,8 @@ SELECT doc_id, type, a::INT AS first, b::INT AS last_end FROM g WHERE kept""")
 def label_conflicts(spark, d):
     rows = with_spans(spark, d, g=GOLD, p=PRED)
     plain = lambda c: F.transform(c, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), x["type"].alias("type")))
-    tokens = F.split("text", " ")
-    starts = P.token_starts(tokens)
-    offsets = F.transform(F.arrays_zip(tokens.alias("t"), starts.alias("s")), lambda x: F.struct(x["s"].alias("start"), (x["s"] + F.length(x["t"])).alias("end")))
-    rows = rows.select("doc_id", F.array_union(plain("g"), plain("p")).alias("entities"), offsets.alias("offsets")).where(F.size("entities") > 0)
-    labelled = rows.select("doc_id", F.explode(C.label_tokens(F.col("offsets"), F.col("entities"))).alias("x"))
+    rows = rows.select("doc_id", F.split("text", " ").alias("tokens"), F.array_union(plain("g"), plain("p")).alias("e")).where(F.size("e") > 0)
+    labelled = rows.select("doc_id", F.explode(P.token_labels(F.col("tokens"), F.col("e.start"), F.col("e.end"), F.col("e.type"))).alias("x"))
     return labelled.select("doc_id", "x.type", "x.first", "x.last_end")
 
 
@@ -181,8 +181,13 @@ def context_windows(spark, d):
 
 @query("running_best", """SELECT event_id, event_type, value > coalesce(max(value) OVER (PARTITION BY event_type ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '-infinity'::DOUBLE) AS keep FROM events""")
 def running_best(spark, d):
-    best = F.expr("max(value) OVER (PARTITION BY event_type ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)")
-    return read(spark, d, "events").select("event_id", "event_type", (F.col("value") > F.coalesce(best, F.lit(float("-inf")))).alias("keep"))
+    """The best of all earlier days, and of the day so far, so that no type of event is one task's."""
+    rows = read(spark, d, "events").withColumn("day", F.to_date("ts"))
+    days = rows.groupBy("event_type", "day").agg(F.max("value").alias("most"))
+    days = days.withColumn("past", F.expr("max(most) OVER (PARTITION BY event_type ORDER BY day ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"))
+    today = F.expr("max(value) OVER (PARTITION BY event_type, day ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)")
+    met = rows.withColumn("today", today).join(days.drop("most"), ["event_type", "day"])
+    return met.select("event_id", "event_type", (F.col("value") > F.coalesce(F.greatest("past", "today"), F.lit(float("-inf")))).alias("keep"))
 
 
 @query("report_markdown", """WITH c AS (SELECT lang, count(*) AS n, sum(n_chars)::BIGINT AS chars FROM documents GROUP BY 1)

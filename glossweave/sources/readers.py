@@ -21,17 +21,25 @@ def records(spark: SparkSession, *paths: str) -> DataFrame:
 def records_with_place(spark: SparkSession, *paths: str) -> DataFrame:
     """Records with their file and an order (file, place in it) that merges can rely on."""
     rows = spark.read.text(list(paths)).where("trim(value) <> ''").select(F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("ord"), "value")
-    return rows.select("file", "ord", F.from_json("value", RECORD).alias("record"), F.from_json("value", RECORD).isNull().alias("broken"))
+    parsed = rows.select("file", "ord", F.from_json("value", f"{RECORD}, _broken string", {"columnNameOfCorruptRecord": "_broken"}).alias("record"))
+    return parsed.select("file", "ord", "record", F.col("record._broken").isNotNull().alias("broken"))
+
+
+def dispatched(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(passages, conversations) of wide records, told apart by their format."""
+    talk = F.coalesce(F.col("format") == "conversation", F.lit(False))
+    return rows.where(~talk).drop("turns"), rows.where(talk).drop("text")
 
 
 def json_array(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).option("multiLine", True).json(path)
 
 
-def char_span_parquet(spark: SparkSession, path: str) -> DataFrame:
-    """Text with character spans; the language is the file's stem."""
+def char_span_parquet(spark: SparkSession, path: str, folders: bool = False) -> DataFrame:
+    """Text with character spans; the language is the stem of the file, or of the folder that a writer made of it."""
     rows = spark.read.parquet(path)
-    return rows.withColumn("language", F.regexp_extract(F.col("_metadata.file_name"), r"^([^.]+)", 1))
+    stem = F.regexp_extract(F.col("_metadata.file_path"), r"/([^/.]+)\.parquet/[^/]*$", 1) if folders else F.regexp_extract(F.col("_metadata.file_name"), r"^([^.]+)", 1)
+    return rows.withColumn("language", stem)
 
 
 def token_tag_parquet(spark: SparkSession, path: str, labels: list[str]) -> DataFrame:
@@ -41,8 +49,9 @@ def token_tag_parquet(spark: SparkSession, path: str, labels: list[str]) -> Data
 
 
 def _blocks(spark: SparkSession, path: str) -> DataFrame:
-    """Blocks of lines that blank lines part; a block is a row, so files can be split."""
-    return spark.read.option("lineSep", "\n\n").text(path).select(F.filter(F.split(F.trim("value"), "\n"), lambda x: F.trim(x) != "").alias("lines")).where(F.size("lines") > 0)
+    """Blocks of lines that blank lines part (lines of blanks, and CRLF, too); files can be split at empty lines."""
+    rows = spark.read.option("lineSep", "\n\n").text(path).select(F.explode(F.split(F.regexp_replace("value", "\r", ""), r"\n[ \t]*\n")).alias("value"))
+    return rows.select(F.filter(F.split(F.trim("value"), "\n"), lambda x: F.trim(x) != "").alias("lines")).where(F.size("lines") > 0)
 
 
 def conll(spark: SparkSession, path: str) -> DataFrame:

@@ -3,6 +3,7 @@ import random
 from pyspark.sql import functions as F
 
 from glossweave.functions import granularity as G
+from glossweave.functions import python as P
 from glossweave.operators import core as C
 from glossweave.operators import sampling as S
 
@@ -64,11 +65,9 @@ def test_quota_sample(spark):
 
 
 def test_label_tokens(spark):
-    row = spark.range(1).select(F.expr("array(named_struct('start', 0, 'end', 2), named_struct('start', 3, 'end', 5), named_struct('start', 6, 'end', 8))").alias("o"),
-        F.expr("array(named_struct('start', 4, 'end', 8, 'type', 'C'), named_struct('start', 0, 'end', 2, 'type', 'B'), named_struct('start', 0, 'end', 4, 'type', 'A'), named_struct('start', 7, 'end', 8, 'type', 'D'), named_struct('start', 2, 'end', 3, 'type', 'E'))").alias("e"))
-    got = row.select(C.label_tokens(F.col("o"), F.col("e")).alias("x")).first()["x"]
-    assert [tuple(x) for x in got] == [("A", 0, 2), ("D", 2, 3)]
-    assert row.select(C.label_tokens(F.col("o"), F.filter("e", lambda _: F.lit(False))).alias("x")).first()["x"] == []
+    row = spark.createDataFrame([(["ab", "cd", "e", "fg"], [3, 0, 6, 6, 40], [5, 5, 7, 10, 44], ["B", "A", "C", "D", "E"]), (["x"], [], [], []), (None, None, None, None)], "t array<string>, a array<int>, b array<int>, c array<string>")
+    got = [r["x"] for r in row.select(P.token_labels(*map(F.col, "tabc")).alias("x")).collect()]
+    assert [tuple(x) for x in got[0]] == [("A", 0, 2), ("D", 2, 4)] and got[1:] == [[], []]
 
 
 def test_record_errors(spark):

@@ -127,3 +127,66 @@ def test_empty_tables(spark):
     none = spark.createDataFrame([], "doc_id long, text string, lang string, source string")
     assert C.tokens(none).count() == 0 and C.stratified_split(C.with_hash(none), ["lang"], "text_hash").count() == 0
     assert C.matched(*[spark.createDataFrame([], "doc_id int, type string")] * 2, ["doc_id", "type"]).count() == 0
+
+
+def test_merging_records(spark):
+    from glossweave.operators import records as R
+
+    kind = "ord int, source string, source_id string, language string, confidence string, provenance array<string>, text string, turns array<struct<speaker:string,text:string>>, entities array<struct<surface:string,type:string,start:int,end:int>>"
+    rows = [
+        (2, "b", "2", "en", "human-gold", ["b", "a"], "ﬁne Ann", None, [("Ann", "P", 4, 7)]),
+        (1, "a", "1", "en", "silver", ["a"], "fine Ann", None, [("fine", "Q", 0, 4), ("Ann", "P", 5, 8)]),
+        (3, "c", "3", "en", "gold", ["c"], "fine Ann", None, [("Ann", "R", 5, 8), ("gone", "P", 9, 13)]),
+        (4, "d", "4", "en", "gold", ["d"], None, [("x", "hi"), ("y", "yo")], [("hi", "P", 0, 2)]),
+        (5, "e", "5", "en", "gold", ["e"], None, [("z", "hi"), ("y", "yo")], [("yo", "P", 0, 2)]),
+        (6, "f", "6", "en", "gold", [], "", None, []),
+    ]
+    frame = C.with_hash(spark.createDataFrame(rows, kind), C.record_text(F.col("text"), F.col("turns")))
+    got = {r["source_id"]: r for r in R.merge_by_text(frame).collect()}
+    assert sorted(got) == ["1", "4", "6"] and (got["1"]["n"], got["1"]["confidence"], got["1"]["provenance"]) == (3, "human-gold", ["a", "b", "c"])
+    assert [tuple(e) for e in got["1"]["entities"]] == [("fine", "Q", 0, 4), ("Ann", "P", 5, 8), ("Ann", "R", 5, 8), ("gone", "P", 9, 13)]
+    assert [tuple(e) for e in got["4"]["entities"]] == [("hi", "P", 0, 2)] and got["6"]["entities"] == [] == got["6"]["provenance"]
+    assert R.merge_by_text(frame.limit(0)).count() == 0
+
+
+def test_realigned_entities():
+    from glossweave.operators.records import aligned
+
+    rows = [(True, "off", "P", 3, 6), (False, "Ann", "P", 0, 3), (False, "fine", "P", 9, 13), (False, "not", "P", 0, 3), (False, "Ann", "P", 5, 8)]
+    assert [tuple(e.values()) for e in aligned("fine Ann", rows)] == [("off", "P", 3, 6), ("Ann", "P", 5, 8), ("fine", "P", 0, 4)]
+
+
+def test_negatives(spark):
+    import numpy as np
+
+    from glossweave.operators import records as R
+
+    types, weights = ["a", "b", "c", "d"], np.cumsum([100.0, 1, 1, 1])
+    got = [R.drawn(str(k), {"b"}, types, weights, 42) for k in range(400)]
+    assert all("b" not in g and 2 <= len(g) <= 3 and g == sorted(set(g)) for g in got) and sum("a" in g for g in got) > 350
+    assert R.drawn("x", set(), [], np.array([]), 1) == []
+    counts = spark.createDataFrame([("a", 4), ("a", 5), ("h", 9), ("", 9), ("b", 1), ("c", 1)], "type string, n long")
+    rows = spark.createDataFrame([("1", ["a"]), ("2", None)], "k string, p array<string>")
+    out = [set(r["x"]) for r in rows.select(R.negatives(F.col("k"), F.col("p"), counts, {"h"}).alias("x")).collect()]
+    assert out[0] == {"b", "c"} and out[1] <= {"a", "b", "c"}
+
+
+def test_first_of_strata(spark):
+    from glossweave.operators import records as R
+
+    rows = [(i, ["a", None, "b"][min(2, i // 500)], format(i * 7919 % 400 * 99, "05x")) for i in range(1010)]
+    frame = spark.createDataFrame(rows, "id int, s string, h string")
+    for quota, want in ((F.lit(3), 3), (F.floor(F.col("n") * 0.1), None), (F.lit(0), 0), (F.lit(10**6), 10**6)):
+        got = R.first_of_strata(frame, ["s"], F.col("h"), "id", quota)
+        assert got.count() == len(rows)
+        for s in ("a", None, "b"):
+            own = sorted((h, i) for i, x, h in rows if x == s)
+            n = len(own) // 10 if want is None else want
+            assert sorted(r["id"] for r in got.where(F.col("s").eqNullSafe(s) & F.col("chosen")).collect()) == sorted(i for _, i in own[:n])
+    split = C.stratified_split(frame, ["s"], "id", seed=1)
+    assert {r["s"]: r["n"] for r in split.where("split = 'val'").groupBy("s").agg(F.count("*").alias("n")).collect()} == {"a": 25, None: 25, "b": 1}
+
+
+def test_blocks_that_blank_lines_part(spark, tmp_path):
+    (tmp_path / "x.conll").write_bytes(b"# id s1\r\nAnn _ _ B-PER\r\n\r\n# id s2\r\nOslo _ _ B-LOC\r\n \t\r\n# id s3\r\nBonn _ _ B-LOC\r\n")
+    assert sorted((r["id"], r["tokens"]) for r in R.conll(spark, str(tmp_path / "x.conll")).collect()) == [("s1", ["Ann"]), ("s2", ["Oslo"]), ("s3", ["Bonn"])]
