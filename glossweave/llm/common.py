@@ -45,7 +45,15 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def numbered(df: DataFrame, name: str = "_n") -> DataFrame:
+def spare(df: DataFrame, name: str) -> str:
+    """A column name that df doesn't have."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
+def numbered(df: DataFrame, name: str) -> DataFrame:
     """The rows with a number of their own, in table order, that stays the same however often they are read.
 
     Rows of a file or a checkpoint are read in one order, so these are numbered as they are; what comes of

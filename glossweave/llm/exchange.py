@@ -81,10 +81,10 @@ def opened(blob: bytes) -> tuple[np.ndarray, list[bytes]]:
     return places, [body[e - s : e] for s, e in zip(sizes.tolist(), ends.tolist(), strict=True)]
 
 
-def repeats(rows: DataFrame, scan: Callable, judge: Callable, bits: int, parts: Callable, key: Callable | None = None) -> DataFrame:
+def repeats(rows: DataFrame, n: str, scan: Callable, judge: Callable, bits: int, parts: Callable, key: Callable | None = None) -> DataFrame:
     """Rows (number, spans) with the spans that repeat, as pairs of 64-bit integers (start, length).
 
-    rows: documents with their numbers (common.numbered), _n.
+    rows: documents with their numbers (common.numbered) in column n.
     scan(rows, texts, outbox) adds a block's super-k-mers to the outbox; a row is (k, number, units before the
     text). judge(places, strings) yields (number, start, length) for a bucket, given its places and strings.
     parts cuts long texts. key(places, strings) gives what strings with one anchor have in common; the
@@ -118,20 +118,21 @@ def repeats(rows: DataFrame, scan: Callable, judge: Callable, bits: int, parts:
             found[number].append((start, length))
         return pa.table({"number": pa.array(list(found), pa.int64()), "spans": pa.array([np.array(x, np.int64).tobytes() for x in found.values()], pa.binary())})
 
-    sent = rows.select(common.doc_key().alias("k"), "_n", F.col("text").cast("binary").alias("text")).mapInArrow(send, "bucket int, blob binary")
+    sent = rows.select(common.doc_key().alias("k"), F.col(n).alias("n"), F.col("text").cast("binary").alias("text")).mapInArrow(send, "bucket int, blob binary")
     return sent.groupBy("bucket").applyInArrow(receive, "number bigint, spans binary")
 
 
-def finish(rows: DataFrame, spans: DataFrame, fn: Callable, outputs: dict[str, str]) -> DataFrame:
+def finish(rows: DataFrame, n: str, spans: DataFrame, fn: Callable, outputs: dict[str, str]) -> DataFrame:
     """The documents with what fn(text, starts, ends) gives for each; spans sorted and merged."""
-    each = spans.groupBy(F.col("number").alias("_n")).agg(F.collect_list("spans").alias("_spans"))
+    lists = common.spare(rows, "_spans")
+    each = spans.groupBy(F.col("number").alias(n)).agg(F.collect_list("spans").alias(lists))
 
-    def run(own, lists):
+    def run(own, found):
         texts = common.field(own, "text").to_pylist()
-        got = [fn(t, *merged(s)) for t, s in zip(texts, lists.to_pylist(), strict=True)]
+        got = [fn(t, *merged(s)) for t, s in zip(texts, found.to_pylist(), strict=True)]
         return [pa.array(c, _ARROW[kind]) for c, kind in zip(zip(*got, strict=True) if got else [[]] * len(outputs), outputs.values(), strict=True)]
 
-    return common.attach(rows.join(each, "_n", "left").drop("_n"), run, outputs, ("_spans",))
+    return common.attach(rows.join(each, n, "left").drop(n), run, outputs, (lists,))
 
 
 _ARROW = {"bigint": pa.int64(), "string": pa.string(), "binary": pa.binary()}

@@ -280,10 +280,11 @@ def one_of_each(docs: DataFrame) -> DataFrame:
 
     Ids may be null or repeated; rows without words all stay. Columns stay as they are.
     """
-    first = join(docs).where("first").select(F.col("k").alias("_k"), F.col("h").alias("_h"))
+    k, h, alone = (common.spare(docs, c) for c in ("_k", "_h", "_alone"))
+    first = join(docs).where("first").select(F.col("k").alias(k), F.col("h").alias(h))
     wordless = F.coalesce(F.translate("text", common.SEPARATORS.decode(), "") == "", F.lit(True))
-    keyed = docs.withColumns({"_k": common.doc_key(), "_h": text_key(), "_alone": F.when(wordless, F.monotonically_increasing_id())})
-    return keyed.join(first, ["_k", "_h"], "left_semi").dropDuplicates(["_k", "_h", "_alone"]).drop("_k", "_h", "_alone")
+    keyed = docs.withColumns({k: common.doc_key(), h: text_key(), alone: F.when(wordless, F.monotonically_increasing_id())})
+    return keyed.join(first, [k, h], "left_semi").dropDuplicates([k, h, alone]).drop(k, h, alone)
 
 
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -21,8 +21,8 @@ from . import common
 from .token_counts import Splitter, encodes_as_the_library, piece_encoder, vocabulary_path
 
 CAPACITY = 2048
-#: Pieces of one length are numbered in shares, 256 for each shuffle partition, which are numbered apart.
-SHARES = 256
+#: Pieces of one length are numbered in shares, so many for each shuffle partition, which are numbered apart.
+SHARES = 16
 
 
 def plan(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int, int, int, int]]:

@@ -72,7 +72,7 @@ def clean(docs: DataFrame) -> DataFrame:
     """
     outputs = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "cleaned", "kept")
     rest = docs.drop(*[c for c in docs.columns if c.lower() in outputs])
-    text = F.coalesce(F.col("text"), F.lit(""))
+    text, lost = F.coalesce(F.col("text"), F.lit("")), common.spare(rest, "_lost")
     cleaned = F.array_join(F.filter(F.split(text, "\n"), lambda x: ~line_fails(x)), "\n")
     counted = lambda w, c: F.struct(
         F.size(w).cast("long").alias("n_words"),
@@ -81,13 +81,13 @@ def clean(docs: DataFrame) -> DataFrame:
         duplicate_lines(text).alias("n_dup_lines"),
         repeat_words(w).alias("n_repeat_words"),
         c.alias("cleaned"),
-        F.when(c == text, 0).otherwise(F.length(F.array_join(w, "")) - F.length(F.regexp_replace(c, _SEPARATORS, ""))).cast("long").alias("_lost"),
+        F.when(c == text, 0).otherwise(F.length(F.array_join(w, "")) - F.length(F.regexp_replace(c, _SEPARATORS, ""))).cast("long").alias(lost),
     )
     # one generated row, so that the rules run once, below whatever filters on them
     made = F.transform(F.array(words_of(text)), lambda w: _let(cleaned, lambda c: counted(w, c)))
     out = rest.select("*", F.inline(made))
     out = out.withColumn("base_failed", (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")))
-    out = out.withColumn("kept", ~F.col("base_failed") & (100 * F.col("_lost") <= MAX_LOST_PERCENT * F.col("word_chars")))
+    out = out.withColumn("kept", ~F.col("base_failed") & (100 * F.col(lost) <= MAX_LOST_PERCENT * F.col("word_chars")))
     return out.select(*[F.col(f"`{c}`") for c in rest.columns], *outputs)
 
 

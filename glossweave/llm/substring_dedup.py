@@ -133,9 +133,10 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     space). Null and empty texts have no words and kept_text ''. Very long texts are scanned in
     overlapping parts, with the same result. Other columns pass; those with an output's name are replaced.
     """
-    rows = common.numbered(docs)
+    n = common.spare(docs, "_n")
+    rows = common.numbered(docs, n)
     parts = lambda text, size: common.word_parts(text, size, window - 1)
-    spans = exchange.repeats(rows, _scan(window), _judge(window), 18, parts)
+    spans = exchange.repeats(rows, n, _scan(window), _judge(window), 18, parts)
 
     def finish(text, starts, ends):
         words = (text or "").encode().translate(_TO_SPACE).split(b" ") if text else []
@@ -147,7 +148,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         removed = sum(ends) - sum(starts)
         return len(words), removed, b" ".join(kept + words[at:]).decode()
 
-    return exchange.finish(rows, spans, finish, {"n_words": "bigint", "n_removed": "bigint", "kept_text": "string"})
+    return exchange.finish(rows, n, spans, finish, {"n_words": "bigint", "n_removed": "bigint", "kept_text": "string"})
 
 
 _TO_SPACE = bytes(32 if c in common.SEPARATORS else c for c in range(256))

@@ -253,9 +253,10 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     repeated rows repeat each other. Very long texts are scanned in overlapping parts, with the same
     result. Other columns pass; those with an output's name are replaced.
     """
-    rows = common.numbered(docs)
+    n = common.spare(docs, "_n")
+    rows = common.numbered(docs, n)
     parts = lambda text, size: common.byte_parts(text, size, window - 1)
-    spans = exchange.repeats(rows, _scan(window), _judge(window), 0, parts, _anchored)
+    spans = exchange.repeats(rows, n, _scan(window), _judge(window), 0, parts, _anchored)
 
     def finish(text, starts, ends):
         body, at, kept = (text or "").encode(), 0, []
@@ -264,7 +265,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             at = e
         return len(body), sum(ends) - sum(starts), len(starts), b"".join([*kept, body[at:]])
 
-    return exchange.finish(rows, spans, finish, {"n_bytes": "bigint", "n_removed": "bigint", "n_spans": "bigint", "kept": "binary"})
+    return exchange.finish(rows, n, spans, finish, {"n_bytes": "bigint", "n_removed": "bigint", "n_spans": "bigint", "kept": "binary"})
 
 
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -552,3 +552,59 @@ def test_near_duplicates_with_null_and_repeated_ids(spark):
     assert got.columns == list(cp.COLUMNS)
     want = [(None, t) for t in texts[:3]] + [(7, texts[3]), (7, texts[4]), (None, texts[5]), (8, texts[6]), (None, texts[7]), (None, ""), (None, None), (11, " \n"), (11, " \n")]
     assert collections.Counter((x["doc_id"], x["text"]) for x in got.collect()) == collections.Counter(want)
+
+
+def test_pipeline_stages_with_odd_rows(spark):
+    import corpus_pipeline as cp
+
+    r = random.Random(20)
+    line = lambda: " ".join(f"w{r.randint(0, 9999)}" for _ in range(30)) + "."
+    good = [line() for _ in range(6)]
+    passage = line()
+    rows = [(None, good[0]), (None, good[1]), (7, good[2]), (7, good[3]), (7, good[3]), (8, None), (9, ""), (None, None), (10, "too short."), (11, good[4] + "\n" + passage), (12, good[5] + "\n" + passage), (13, "ask a@b.cd " + line())]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"lang": F.lit(None).cast("string"), "source": F.lit(None).cast("string"), "n_chars": F.lit(None).cast("long")})
+    listed = lambda df: collections.Counter((x["doc_id"], x["text"]) for x in df.collect())
+    kept = common.cut(cp.quality(spark, frame, DATA))
+    assert listed(kept) == collections.Counter((k, t) for k, t in rows if t and len(t) > 20)
+    alone = common.cut(cp.near_duplicates(spark, kept, DATA))
+    assert listed(alone) == collections.Counter(dict.fromkeys([(k, t) for k, t in rows if t and len(t) > 20], 1))
+    cut = common.cut(cp.repeated_passages(spark, alone, DATA))
+    words = lambda t: " ".join(t.split())
+    assert listed(cut) == collections.Counter((k, words(t) if k != 12 else good[5]) for k, t in listed(alone))
+    safe = cp.personal_data(spark, cut, DATA)
+    assert [x["text"][:12] for x in safe.where("doc_id = 13").collect()] == ["ask [EMAIL] "] and safe.columns == list(cp.COLUMNS)
+    packed = cp.packed(spark, safe, DATA).collect()
+    assert len(packed) == safe.count() and len({x["sequence_id"] for x in packed}) == 1
+    none = frame.limit(0)
+    for _, stage in cp.STAGES:
+        assert stage(spark, none, DATA).count() == 0
+    odd = [stage(spark, frame, DATA).count() for _, stage in cp.STAGES]
+    assert odd == [8, 11, 8, 12, 12]
+
+
+def test_clashing_columns_pass(spark):
+    names = ["_n", "_spans", "_row", "_lost", "_k", "_h", "_alone", "number", "n", "k", "class_id"]
+    frame = spark.createDataFrame([(1, "a b", *names), (None, None, *names)], "doc_id long, text string, " + ", ".join(f"{c} string" for c in names))
+    for fn in (substring_dedup.remove_repeats, suffix_dedup.remove_repeats, quality_rules.clean, jaccard_join.one_of_each, pii.detect, lambda d: token_counts.count_tokens(d, BYTE_BPE), lambda d: bpe_codec.encode_decode(d, WORD_BPE)):
+        got = fn(frame).collect()
+        assert len(got) == 2 and all(r[c] == c for r in got for c in names)
+
+
+def test_checkpoint_folder_must_be_shared(monkeypatch):
+    class Context:
+        master = "yarn"
+
+        class _jsc:
+            class sc:
+                class getCheckpointDir:
+                    isDefined = staticmethod(lambda: False)
+
+    class Frame:
+        class sparkSession:
+            sparkContext = Context()
+
+            class conf:
+                get = staticmethod(lambda *_: "")
+
+    with pytest.raises(ValueError, match="share"):
+        common.cut(Frame())
