@@ -33,9 +33,20 @@ def tagged(spark, d, least: int, text: str = "text"):
     return C.tokens(docs(spark, d, text), text=text).withColumn("tag", tag(F.col("token"), least))
 
 
+#: Bytes below which a table may lie in one row group, which one task would read.
+SMALL = 1 << 30
+
+
+def spread(rows, key: str):
+    """A small table dealt to all cores; larger ones have row groups enough, and are read as they lie."""
+    if rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() < SMALL:
+        return rows.repartition(rows.sparkSession.sparkContext.defaultParallelism, key)
+    return rows
+
+
 def with_spans(spark, d, *columns, **sides):
     """The documents with an array of spans for each name in sides, whose value is the tags' least length."""
-    cut = docs(spark, d, "text", *columns).withColumn("_t", F.split("text", " "))
+    cut = spread(docs(spark, d, "text", *columns), "doc_id").withColumn("_t", F.split("text", " "))
     tags = lambda least: F.transform("_t", lambda t: tag(t, least))
     return cut.withColumns({name: P.bio_spans(F.col("_t"), tags(least)) for name, least in sides.items()}).drop("_t")
 

@@ -103,7 +103,7 @@ SELECT doc_id, type, a::INT AS first, b::INT AS last_end FROM g WHERE kept""")
 def label_conflicts(spark, d):
     rows = with_spans(spark, d, g=GOLD, p=PRED)
     plain = lambda c: F.transform(c, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), x["type"].alias("type")))
-    rows = rows.select("doc_id", F.split("text", " ").alias("tokens"), F.array_union(plain("g"), plain("p")).alias("e")).where(F.size("e") > 0)
+    rows = rows.select("doc_id", F.split("text", " ").alias("tokens"), F.concat(plain("g"), plain("p")).alias("e")).where(F.size("e") > 0)
     labelled = rows.select("doc_id", F.explode(P.token_labels(F.col("tokens"), F.col("e.start"), F.col("e.end"), F.col("e.type"))).alias("x"))
     return labelled.select("doc_id", "x.type", "x.first", "x.last_end")
 
