@@ -5,6 +5,11 @@ Documents are told apart by their row's number, which travels with the strings.
 Shared by both exact substring operators. A map task holds back repeats of a packed string, so a
 passage that a third of all documents share reaches its bucket once for each block of a task; the
 places of the held-back repeats travel apart, spread over all buckets.
+
+A piece that stands in ever new surroundings would be the minimiser of one huge group. Such pieces are
+counted first, over all documents, and come last in the order of minimisers; windows that have no other
+piece travel by themselves, to a bucket that the whole window gives. That moves strings to other buckets and
+changes no result.
 """
 
 from __future__ import annotations
@@ -24,6 +29,13 @@ from . import common
 FLUSH = 96 << 20
 #: Bytes of text scanned at once.
 BLOCK = 1 << 20
+#: Pieces of text whose surroundings are counted at once.
+COUNTED = 1 << 21
+#: A group of fewer strings is never split.
+FEW = 4096
+#: Hashes lie above this many bits; those of frequent pieces are all ones.
+LOW_BITS = np.uint64(28)
+LOW = np.uint64((1 << 28) - 1)
 #: Columns of the places in a message: document id, document number, first unit, units, minimiser, more.
 WIDTH = 6
 
@@ -81,22 +93,94 @@ def opened(blob: bytes) -> tuple[np.ndarray, list[bytes]]:
     return places, [body[e - s : e] for s, e in zip(sizes.tolist(), ends.tolist(), strict=True)]
 
 
-def repeats(rows: DataFrame, n: str, scan: Callable, judge: Callable, bits: int, parts: Callable, key: Callable | None = None) -> DataFrame:
+def surroundings(pieces: np.ndarray, edges: np.ndarray, piece: int, reach: int) -> np.ndarray:
+    """Each piece's hash above 28 bits for the pieces of its document that start at most `reach` away.
+
+    edges: where documents start, and the end of the last, in units of text; a piece has `piece` units, and
+    those that cross into another document are left out.
+    """
+    sizes = np.diff(edges)
+    last = np.repeat(edges[1:] - piece + 1, sizes)[: len(pieces)]
+    first = np.repeat(edges[:-1], sizes)[: len(pieces)]
+    at = np.flatnonzero(np.arange(len(pieces)) < last)
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(pieces)])
+    near = sums[np.minimum(at + reach + 1, last[at])] - sums[np.maximum(at - reach, first[at])]
+    return (pieces[at] & ~LOW) | (common.mix(near) >> np.uint64(36))
+
+
+def frequent(rows: DataFrame, look: Callable, parts: Callable, buckets: int) -> np.ndarray:
+    """Hashes of the pieces in more than one of 16 * buckets of all surroundings, sorted; at most 32 * buckets.
+
+    look(texts) gives a block's surroundings. Of each COUNTED of them a task sends on the hashes with more
+    than a share of 1 / (64 * buckets), so a sum lacks at most that share of all.
+    """
+    most = 16 * buckets
+
+    def count(batches):
+        held, size = [], 0
+
+        def flush():
+            hashes, counts = np.unique(np.unique(np.concatenate(held)) >> LOW_BITS, return_counts=True)
+            often = counts > int(counts.sum()) // (4 * most)
+            kept = [pa.array(np.concatenate([[-1], hashes[often].astype(np.int64)])), pa.array(np.concatenate([[counts.sum()], counts[often]]))]
+            yield pa.RecordBatch.from_arrays(kept, ["piece", "n"])
+
+        for _, texts in common.blocks(batches, BLOCK, parts):
+            held.append(look(texts))
+            size += len(held[-1])
+            if size >= COUNTED:
+                yield from flush()
+                held, size = [], 0
+        if size:
+            yield from flush()
+
+    counted = common.cut(rows.select(F.col("text").cast("binary").alias("text")).mapInArrow(count, "piece bigint, n bigint").groupBy("piece").agg(F.sum("n").alias("n")))
+    whole = counted.where("piece = -1").first()
+    if whole is None:
+        return np.zeros(0, np.uint64)
+    hot = counted.where((F.col("piece") >= 0) & (F.col("n") > max(FEW, whole["n"] // (2 * most)))).select("piece").toArrow()
+    return np.sort(hot.column(0).to_numpy().astype(np.uint64))
+
+
+def last_in_order(pieces: np.ndarray, hot: np.ndarray) -> np.ndarray:
+    """Hashes above places, those of frequent pieces all ones, so that the least is the leftmost of the least."""
+    keys = (pieces & ~LOW) | (np.arange(len(pieces), dtype=np.uint64) & LOW)
+    if len(hot):
+        own = pieces >> LOW_BITS
+        at = np.minimum(np.searchsorted(hot, own), len(hot) - 1)
+        keys[hot[at] == own] |= ~LOW
+    return keys
+
+
+def minimisers(least: np.ndarray, pieces: np.ndarray, offsets: list[int]) -> np.ndarray:
+    """The minimiser of each window; where all its pieces are frequent, a hash of its pieces at the offsets."""
+    mins = least >> LOW_BITS
+    alone = np.flatnonzero(mins == ~np.uint64(0) >> LOW_BITS)
+    if len(alone):
+        whole = np.zeros(len(alone), np.uint64)
+        for o in offsets:
+            whole = common.mix(whole * common.MULT + pieces[alone + o])
+        mins[alone] = whole >> LOW_BITS
+    return mins
+
+
+def repeats(rows: DataFrame, n: str, look: Callable, scan: Callable, judge: Callable, bits: int, parts: Callable, key: Callable | None = None) -> DataFrame:
     """Rows (number, spans) with the spans that repeat, as pairs of 64-bit integers (start, length).
 
     rows: documents with their numbers (common.numbered) in column n.
-    scan(rows, texts, outbox) adds a block's super-k-mers to the outbox; a row is (k, number, units before the
-    text). judge(places, strings) yields (number, start, length) for a bucket, given its places and strings.
+    look(texts) gives the surroundings of a block's pieces. scan(hot) makes a function (rows, texts, outbox)
+    that adds a block's super-k-mers to the outbox; a row is (k, number, units before the text). judge(places, strings) yields (number, start, length) for a bucket, given its places and strings.
     parts cuts long texts. key(places, strings) gives what strings with one anchor have in common; the
     minimiser's `bits` low bits otherwise. A bucket has the minimisers of one hash class; there are 16 for
     each shuffle partition, so raise spark.sql.shuffle.partitions with the input to keep buckets small.
     """
     buckets = 16 * common.partitions(rows)
+    add = scan(frequent(rows, look, parts, buckets))
 
     def send(batches):
         out = Outbox(buckets, bits)
         for block, texts in common.blocks(batches, BLOCK, parts):
-            scan(block, texts, out)
+            add(block, texts, out)
             if out.held >= FLUSH:
                 yield from out.messages()
         yield from out.messages()

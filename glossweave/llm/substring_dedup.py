@@ -16,25 +16,36 @@ WINDOW = 20
 #: Words in the pieces that minimisers are chosen from; common pairs of words don't get a bucket of their own.
 PIECE = 4
 _RADIX = np.uint64(0xD6E8FEB86659FD93)
-_LOW_BITS = np.uint64(28)
-_LOW = np.uint64((1 << 28) - 1)
 
 
-def _scan(window: int):
+def _pieces(words: common.Words, piece: int) -> np.ndarray:
+    grams = np.zeros(max(0, len(words.start) - piece + 1), np.uint64)
+    for j in range(piece):
+        grams = grams * _RADIX + words.hash[j : len(grams) + j]
+    return common.mix(grams)
+
+
+def _look(window: int):
+    piece = min(PIECE, window)
+
+    def look(texts) -> np.ndarray:
+        words = common.Words(texts)
+        return exchange.surroundings(_pieces(words, piece), words.first, piece, window - piece)
+
+    return look
+
+
+def _scan(window: int, hot: np.ndarray):
     piece = min(PIECE, window)
+    offsets = [*range(0, window - piece, piece), window - piece]
 
     def scan(rows, texts, out: exchange.Outbox) -> None:
         words = common.Words(texts)
-        n = len(words.start)
-        if n < window:
+        if len(words.start) < window:
             return
-        grams = np.zeros(n - piece + 1, np.uint64)
-        for j in range(piece):
-            grams = grams * _RADIX + words.hash[j : n - piece + 1 + j]
-        grams = common.mix(grams)
-        # the hash above the place: the least is the leftmost of the least hashes
-        keys = (grams & ~_LOW) | (np.arange(len(grams), dtype=np.uint64) & _LOW)
-        least = common.sliding_min(keys, window - piece + 1)
+        grams = _pieces(words, piece)
+        least = common.sliding_min(exchange.last_in_order(grams, hot), window - piece + 1)
+        minimisers = exchange.minimisers(least, grams, offsets)
         first, spot = words.first.tolist(), 0
         starts, ends, packed = words.start, words.end, words.packed
         change = np.flatnonzero(np.diff(least)) + 1  # another place, so no window repeats within a string
@@ -50,7 +61,7 @@ def _scan(window: int):
             k, number, before = row
             lefts = starts[cuts[:-1]].tolist()
             rights = ends[[c + window - 2 for c in cuts[1:]]].tolist()
-            mins = (least[cuts[:-1]] >> _LOW_BITS).tolist()
+            mins = minimisers[cuts[:-1]].tolist()
             for i, (left, right, m) in enumerate(zip(lefts, rights, mins, strict=True)):
                 add(out, packed[left:right], k, number, before + cuts[i] - a, cuts[i + 1] - cuts[i] + window - 1, m)
 
@@ -136,7 +147,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     n = common.spare(docs, "_n")
     rows = common.numbered(docs, n)
     parts = lambda text, size: common.word_parts(text, size, window - 1)
-    spans = exchange.repeats(rows, n, _scan(window), _judge(window), 18, parts)
+    spans = exchange.repeats(rows, n, _look(window), lambda hot: _scan(window, hot), _judge(window), 18, parts)
 
     def finish(text, starts, ends):
         words = (text or "").encode().translate(_TO_SPACE).split(b" ") if text else []

@@ -20,18 +20,29 @@ WINDOW = 200
 #: Bytes of an anchor, and the shallow depth of the sort; three keys of 8 bytes.
 SHALLOW = 24
 _RADIX = np.uint64(0xD6E8FEB86659FD93)
-_LOW_BITS = np.uint64(28)
-_LOW = np.uint64((1 << 28) - 1)
 
 
-def _scan(window: int):
+def _look(window: int):
     piece = min(SHALLOW, window // 8 * 8) or 8
 
+    def look(texts) -> np.ndarray:
+        edges = np.cumsum([0, *map(len, texts)])
+        return exchange.surroundings(_pieces(np.frombuffer(b"".join(texts), np.uint8), piece), edges, piece, window - piece)
+
+    return look
+
+
+def _scan(window: int, hot: np.ndarray):
+    piece = min(SHALLOW, window // 8 * 8) or 8
+    between = [*range(0, window - piece, piece), window - piece]
+
     def scan(rows, texts, out: exchange.Outbox) -> None:
         body = b"".join(texts)
         if len(body) < window:
             return
-        least = _anchors(np.frombuffer(body, np.uint8), piece, window)
+        pieces = _pieces(np.frombuffer(body, np.uint8), piece)
+        least = common.sliding_min(exchange.last_in_order(pieces, hot), window - piece + 1)
+        minimisers = exchange.minimisers(least, pieces, between)
         change = np.flatnonzero(np.diff(least)) + 1
         at, spot = 0, 0
         places, strings, seen = out.places, out.strings, out.seen
@@ -44,10 +55,10 @@ def _scan(window: int):
             upto = int(np.searchsorted(change, b))
             cuts = np.concatenate([[a], change[spot:upto], [b]])
             own = least[cuts[:-1]]
-            where = (own & _LOW).astype(np.int64)
+            where = (own & exchange.LOW).astype(np.int64)
             # places count modulo 2**28; a window's anchor is at its start or after
             where = cuts[:-1] + ((where - cuts[:-1]) & ((1 << 28) - 1))
-            mins = (own >> _LOW_BITS).tolist()
+            mins = minimisers[cuts[:-1]].tolist()
             offsets = (where - cuts[:-1]).tolist()
             rights = (cuts[1:] + (window - 1)).tolist()
             out.held += sum(rights) - int(cuts[:-1].sum()) + 160 * len(mins)
@@ -66,8 +77,10 @@ def _scan(window: int):
     return scan
 
 
-def _anchors(data: np.ndarray, piece: int, window: int) -> np.ndarray:
-    """For each window: the least hash of its pieces above that piece's place."""
+def _pieces(data: np.ndarray, piece: int) -> np.ndarray:
+    """The hash of the `piece` bytes at each place."""
+    if len(data) < piece:
+        return np.zeros(0, np.uint64)
     sums = common.BYTE[data]
     size, radix, parts = 1, _RADIX, []
     while True:  # hashes of 1, 2, 4, ... bytes; those in piece's binary form are joined
@@ -89,9 +102,7 @@ def _anchors(data: np.ndarray, piece: int, window: int) -> np.ndarray:
         offset += size
     total ^= total >> np.uint64(31)
     total *= common.MULT
-    total &= ~_LOW
-    total |= np.arange(n, dtype=np.uint64) & _LOW
-    return common.sliding_min(total, window - piece + 1)
+    return total
 
 
 def shallow_groups(suffixes: list[bytes], depth: int) -> list[list[int]]:
@@ -256,7 +267,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     n = common.spare(docs, "_n")
     rows = common.numbered(docs, n)
     parts = lambda text, size: common.byte_parts(text, size, window - 1)
-    spans = exchange.repeats(rows, n, _scan(window), _judge(window), 0, parts, _anchored)
+    spans = exchange.repeats(rows, n, _look(window), lambda hot: _scan(window, hot), _judge(window), 0, parts, _anchored)
 
     def finish(text, starts, ends):
         body, at, kept = (text or "").encode(), 0, []

@@ -81,7 +81,9 @@ def brute_words(docs, size):
     return {k: (len(w := WORD.findall(t)), len(gone[k]), " ".join(x for i, x in enumerate(w) if i not in gone[k])) for k, t in docs}
 
 
-def test_substring_dedup(spark):
+@pytest.mark.parametrize("few", [exchange.FEW, 2])  # 2: nearly all pieces come last, windows travel alone
+def test_substring_dedup(spark, few, monkeypatch):
+    monkeypatch.setattr(exchange, "FEW", few)
     rows = list(enumerate(random_texts(["a", "b", "c"], 80, 1)))
     rows[7] = (7, "a " * 200)
     for size in (6, 20):
@@ -100,7 +102,9 @@ def brute_bytes(docs, size):
     return out
 
 
-def test_suffix_dedup(spark, docs):
+@pytest.mark.parametrize("few", [exchange.FEW, 2])
+def test_suffix_dedup(spark, docs, few, monkeypatch):
+    monkeypatch.setattr(exchange, "FEW", few)
     rows = list(enumerate(random_texts(list("ab"), 80, 2, "")))
     rows[7] = (7, "a" * 150)
     for size, own in ((8, rows), (30, rows), (200, docs)):
@@ -109,6 +113,30 @@ def test_suffix_dedup(spark, docs):
         assert {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], bytes(r["kept"])) for r in got} == want
 
 
+def test_frequent_pieces_come_last(spark, monkeypatch):
+    monkeypatch.setattr(exchange, "FEW", 20)
+    r = random.Random(21)
+    phrase = "by the power of the old grey seal".split()  # in ever new surroundings, once in every document
+    words = [f"w{i}" for i in range(5000)]
+    rows = [(i, " ".join([*r.choices(words, k=30), *phrase, *r.choices(words, k=30)])) for i in range(300)]
+    rows += [(300 + i, rows[i][1]) for i in range(20)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    for module, window in ((substring_dedup, 20), (suffix_dedup, 200)):
+        parts = lambda text, size: [(0, text)]
+        hot = exchange.frequent(frame, module._look(window), parts, 128)
+        assert 0 < len(hot) <= 32 * 128
+        largest = []
+        for given in (hot[:0], hot):
+            out = exchange.Outbox(16, 18)
+            module._scan(window, given)([(i, i, 0) for i, _ in rows], [t.encode() for _, t in rows], out)
+            largest.append(max(collections.Counter(p[4] for p in out.places if p[4] != -1).values()))
+        assert largest[0] > 40 > 20 > largest[1]
+    got = substring_dedup.remove_repeats(frame).collect()
+    assert {x["doc_id"]: (x["n_words"], x["n_removed"], x["kept_text"]) for x in got} == brute_words(rows, 20)
+    got = suffix_dedup.remove_repeats(frame).collect()
+    assert {x["doc_id"]: (x["n_bytes"], x["n_removed"], x["n_spans"], bytes(x["kept"])) for x in got} == brute_bytes([(k, t.encode()) for k, t in rows], 200)
+
+
 def test_suffix_order_and_common_prefixes():
     r = random.Random(3)
     strings = [bytes(r.choice(b"ab") for _ in range(r.randint(8, 22))) for _ in range(300)]
