@@ -31,6 +31,8 @@ FLUSH = 96 << 20
 BLOCK = 1 << 20
 #: Pieces of text whose surroundings are counted at once.
 COUNTED = 1 << 21
+#: Of a task's last, smaller number of pieces, only counts above this are sent on.
+LAST = 16
 #: A group of fewer strings is never split.
 FEW = 4096
 #: Hashes lie above this many bits; those of frequent pieces are all ones.
@@ -93,35 +95,36 @@ def opened(blob: bytes) -> tuple[np.ndarray, list[bytes]]:
     return places, [body[e - s : e] for s, e in zip(sizes.tolist(), ends.tolist(), strict=True)]
 
 
-def surroundings(pieces: np.ndarray, edges: np.ndarray, piece: int, reach: int) -> np.ndarray:
+def surroundings(pieces: np.ndarray, edges: np.ndarray, piece: int, reach: int, low: int = 64) -> np.ndarray:
     """Each piece's hash above 28 bits for the pieces of its document that start at most `reach` away.
 
     edges: where documents start, and the end of the last, in units of text; a piece has `piece` units, and
-    those that cross into another document are left out.
+    those that cross into another document are left out, and so are hashes of more than `low` bits, which are
+    hardly ever the least of a wide window.
     """
     sizes = np.diff(edges)
     last = np.repeat(edges[1:] - piece + 1, sizes)[: len(pieces)]
     first = np.repeat(edges[:-1], sizes)[: len(pieces)]
-    at = np.flatnonzero(np.arange(len(pieces)) < last)
+    at = np.flatnonzero((np.arange(len(pieces)) < last) & (pieces <= np.uint64(2**low - 1)))
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(pieces)])
     near = sums[np.minimum(at + reach + 1, last[at])] - sums[np.maximum(at - reach, first[at])]
     return (pieces[at] & ~LOW) | (common.mix(near) >> np.uint64(36))
 
 
 def frequent(rows: DataFrame, look: Callable, parts: Callable, buckets: int) -> np.ndarray:
-    """Hashes of the pieces in more than one of 16 * buckets of all surroundings, sorted; at most 32 * buckets.
+    """Hashes of the pieces in more than FEW and one of 32 * buckets of all surroundings, sorted; so at most 32 * buckets.
 
-    look(texts) gives a block's surroundings. Of each COUNTED of them a task sends on the hashes with more
-    than a share of 1 / (64 * buckets), so a sum lacks at most that share of all.
+    look(texts) gives a block's surroundings. Of each COUNTED of them a task sends on the hashes that one of
+    64 * buckets of them have, and two at least. So a sum lacks at most that share, or LAST for each task.
     """
     most = 16 * buckets
 
     def count(batches):
         held, size = [], 0
 
-        def flush():
+        def flush(least):
             hashes, counts = np.unique(np.unique(np.concatenate(held)) >> LOW_BITS, return_counts=True)
-            often = counts > int(counts.sum()) // (4 * most)
+            often = counts > max(least, int(counts.sum()) // (4 * most))
             kept = [pa.array(np.concatenate([[-1], hashes[often].astype(np.int64)])), pa.array(np.concatenate([[counts.sum()], counts[often]]))]
             yield pa.RecordBatch.from_arrays(kept, ["piece", "n"])
 
@@ -129,10 +132,10 @@ def frequent(rows: DataFrame, look: Callable, parts: Callable, buckets: int) ->
             held.append(look(texts))
             size += len(held[-1])
             if size >= COUNTED:
-                yield from flush()
+                yield from flush(1)
                 held, size = [], 0
         if size:
-            yield from flush()
+            yield from flush(LAST)
 
     counted = common.cut(rows.select(F.col("text").cast("binary").alias("text")).mapInArrow(count, "piece bigint, n bigint").groupBy("piece").agg(F.sum("n").alias("n")))
     whole = counted.where("piece = -1").first()
