@@ -27,7 +27,7 @@ def _look(window: int):
 
     def look(texts) -> np.ndarray:
         edges = np.cumsum([0, *map(len, texts)])
-        return exchange.surroundings(_pieces(np.frombuffer(b"".join(texts), np.uint8), piece), edges, piece, window - piece)
+        return exchange.surroundings(_pieces(np.frombuffer(b"".join(texts), np.uint8), piece), edges, piece, window - piece, 60)
 
     return look
 
