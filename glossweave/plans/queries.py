@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
 from glossweave.functions import python as P
@@ -23,12 +26,22 @@ def docs(spark, d, *columns):
     return read(spark, d, "documents").select("doc_id", *columns)
 
 
+TAGGED = ["PERSON", "PLACE", "ORG"]
+
+
 def tag(token, least: int):
     """Tags by rule: an upper-case initial begins a span, a long token goes on; the type follows the length."""
-    kind = F.element_at(F.array(*map(F.lit, ("PERSON", "PLACE", "ORG"))), (F.length(token) % 3 + 1).cast("int"))
+    kind = F.element_at(F.array(*map(F.lit, TAGGED)), (F.length(token) % 3 + 1).cast("int"))
     return F.when(token.rlike("^[A-Z]"), F.concat(F.lit("B-"), kind)).when(F.length(token) >= least, F.concat(F.lit("I-"), kind)).otherwise("O")
 
 
+def tag_codes(tokens: pa.Array, least: np.ndarray) -> np.ndarray:
+    """The same tags as numbers: 2 k for B and 2 k + 1 for I of TAGGED[k], -1 for O."""
+    length = np.asarray(pc.utf8_length(tokens)).astype(np.int64)
+    initial = np.asarray(pc.and_(pc.greater_equal(tokens, "A"), pc.less(tokens, "[")))  # the first byte is one of A to Z
+    return np.where(initial, length % 3 * 2, np.where(length >= least, length % 3 * 2 + 1, -1))
+
+
 def tagged(spark, d, least: int, text: str = "text"):
     return C.tokens(docs(spark, d, text), text=text).withColumn("tag", tag(F.col("token"), least))
 
@@ -38,17 +51,17 @@ SMALL = 1 << 30
 
 
 def spread(rows, key: str):
-    """A small table dealt to all cores; larger ones have row groups enough, and are read as they lie."""
-    if rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() < SMALL:
-        return rows.repartition(rows.sparkSession.sparkContext.defaultParallelism, key)
+    """A small table of few files dealt to all cores; others have row groups enough, and are read as they lie."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    if rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() < SMALL and len(rows.inputFiles()) < cores:
+        return rows.repartition(cores, key)
     return rows
 
 
 def with_spans(spark, d, *columns, **sides):
-    """The documents with an array of spans for each name in sides, whose value is the tags' least length."""
-    cut = spread(docs(spark, d, "text", *columns), "doc_id").withColumn("_t", F.split("text", " "))
-    tags = lambda least: F.transform("_t", lambda t: tag(t, least))
-    return cut.withColumns({name: P.bio_spans(F.col("_t"), tags(least)) for name, least in sides.items()}).drop("_t")
+    """The documents with an array of spans for each name in sides, whose value is the tags' least length (also a column)."""
+    rows = spread(docs(spark, d, "text", *columns), "doc_id")
+    return rows.withColumns({name: P.text_spans(F.col("text"), F.lit(least) if isinstance(least, int) else least, tag_codes, TAGGED) for name, least in sides.items()})
 
 
 def spans(spark, d, least: int):

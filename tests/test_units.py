@@ -190,3 +190,51 @@ def test_first_of_strata(spark):
 def test_blocks_that_blank_lines_part(spark, tmp_path):
     (tmp_path / "x.conll").write_bytes(b"# id s1\r\nAnn _ _ B-PER\r\n\r\n# id s2\r\nOslo _ _ B-LOC\r\n \t\r\n# id s3\r\nBonn _ _ B-LOC\r\n")
     assert sorted((r["id"], r["tokens"]) for r in R.conll(spark, str(tmp_path / "x.conll")).collect()) == [("s1", ["Ann"]), ("s2", ["Oslo"]), ("s3", ["Bonn"])]
+
+
+def test_packed_entities(spark):
+    import pyarrow as pa
+
+    from glossweave.operators import records as R
+
+    long = [{"surface": "é😀" * (i % 3), "type": f"T{i % 4}", "start": i * 7 % 50, "end": i} for i in range(1200)]
+    rows = [None, [], long, [{"surface": None, "type": "P", "start": 1, "end": None}, None], [{"surface": "x", "type": "", "start": -(2**31), "end": 2**31 - 1}], long[:1]]
+    for several in (1, 2, 500):
+        got = [R.unpack(b) for b in R.pack(pa.array(rows, R._LIST)[0:], several).to_pylist()]
+        assert got == [[tuple((e or dict.fromkeys(R._FIELDS)).values()) for e in row or []] for row in rows]
+    plain = [R._unpacked(b) for b in R.pack(pa.array([long, [], long[:1]], R._LIST)).to_pylist()]
+    assert R._entities(plain).to_pylist() == [long, [], long[:1]] and R.pack(pa.array([], R._LIST)).to_pylist() == []
+
+
+def test_entities_are_joined_in_order_of_appearance(spark):
+    from glossweave.operators import records as R
+
+    kind = "ord int, source string, source_id string, language string, confidence string, provenance array<string>, text string, entities array<struct<surface:string,type:string,start:int,end:int>>"
+    own = {1: [("b", "P", 2, 3), ("a", "P", 0, 1), ("a", "P", 0, 1)], 2: [("a", "Q", 0, 1), ("b", "P", 2, 3)], 0: None}
+    frame = C.with_hash(spark.createDataFrame([(i, "s", str(i), "en", "gold", [f"p{i % 3}"], "a b", own[i % 3]) for i in range(300)], kind))
+    row = R.merge_by_text(frame.repartition(7)).first()
+    assert row["n"] == 300 and row["source_id"] == "0" and row["provenance"] == ["p0", "p1", "p2"]
+    assert [tuple(e) for e in row["entities"]] == [("b", "P", 2, 3), ("a", "P", 0, 1), ("a", "Q", 0, 1)]
+
+
+def test_texts_cut_in_slices(monkeypatch):
+    import pyarrow as pa
+
+    from glossweave.functions import python as P
+    from glossweave.plans import queries as Q
+
+    texts = [None, "", " ", "Ab  É abcd abcdefgh", "abcdefgh Abcdefghi x", None, "abcdefghi"]
+    tag = lambda t, n: f"B-{Q.TAGGED[len(t) % 3]}" if "A" <= t < "[" else f"I-{Q.TAGGED[len(t) % 3]}" if len(t) >= n else "O"
+    least = [8, 8, 8, 8, 9, 9, 8]
+    tokens = [None if t is None else t.split(" ") for t in texts]
+    want = P.islands(pa.array(tokens), pa.array([None if t is None else [tag(x, n) for x in t] for t, n in zip(tokens, least, strict=True)])).to_pylist()
+    for size in (1, 4, 1 << 17):
+        monkeypatch.setattr(P, "SLICE", size)
+        assert P.text_islands(pa.array(texts), pa.array(least), Q.tag_codes, Q.TAGGED).to_pylist() == want
+
+
+def test_conversion_merges_once(spark):
+    from glossweave.plans.registry import QUERIES
+
+    plan = QUERIES["convert_all"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [doc_id") <= 2  # texts, and lists of entities; each further reading would shuffle again
